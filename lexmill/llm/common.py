@@ -41,10 +41,23 @@ def shared_dir(spark: SparkSession) -> str:
     return where
 
 
+#: Lets Spark drop the shuffle files of a query once its result is written.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """Materialise `df` on shared storage: later stages never recompute what is above."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Materialise `df` on shared storage: later stages never recompute what is above.
+
+    The shuffle files behind it go as soon as it is written.
+    """
+    spark = df.sparkSession
+    shared_dir(spark)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        return df.select("*").checkpoint(eager=True)  # a new plan, which reads the setting
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
 
 
 def count_of(df: DataFrame) -> int:
@@ -87,6 +100,25 @@ def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[bytes]:
     return [b or b"" for b in col.cast(pa.large_binary()).to_pylist()]
 
 
+def runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
+    """Consecutive rows with equal `key`, a table each, from sorted batches."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        col = batch.column(batch.schema.get_field_index(key)).to_numpy(zero_copy_only=False)
+        edges = np.concatenate(([0], np.flatnonzero(col[1:] != col[:-1]) + 1, [len(col)]))
+        for lo, hi in zip(edges[:-1], edges[1:], strict=True):
+            if held and col[lo] != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(lo, hi - lo))
+            last = col[lo]
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 # ------------------------------------------------------------------ hashing
 
 _RNG = np.random.Generator(np.random.PCG64(20240917))

@@ -6,13 +6,17 @@ k < COORDINATES.  Both permutations are invertible mixers, so none is stored.
 Bands of ROWS coordinates make buckets.  Documents with equal shingle sets are
 one class, and only its smallest doc_id takes part in the search.
 
-Search: every bucket first links its members to its smallest doc_id.  Links are
-confirmed on full shingle sets and joined into components.  Buckets whose
-members then lie in one component need no more work; the others are searched
-again across components until each such pair was compared.  A bucket of a
-thousand copies so costs a thousand comparisons instead of half a million, and
-no link between members of a bucket is lost.  With 32 bands of 4 a link at
-similarity 0.8 shares no bucket with probability 5e-8.
+Search: every document is first compared with the smallest doc_id that any of its
+buckets starts with.  Links are confirmed on full shingle sets and joined into
+components.  Buckets whose members then lie in one component need no more work.
+The other buckets are joined into clusters, in which a document stands once with
+its full set.  A cluster is split into blocks of BLOCK documents, and pairs of
+blocks are dealt to the tasks.  A task compares members of different components,
+first by signature, then by full set, and unites components as it goes, so it
+returns a link for each union instead of all pairs.
+
+With 32 bands of 5 a link at similarity 0.8 shares no bucket with probability
+3e-6; at 0.8 fewer than `min_agree` of 160 coordinates agree with probability 4e-7.
 """
 
 from __future__ import annotations
@@ -25,13 +29,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_rows, count_of, cut, mix64, shingle_sets, texts_of
+from .common import arrow_rows, count_of, cut, mix64, runs, shingle_sets, texts_of
 from .graph import components
 
-BANDS, ROWS = 32, 4
+BANDS, ROWS = 32, 5
 COORDINATES = BANDS * ROWS
 #: Columns of the shift table handled at once, to stay in cache.
 WIDTH = 512
+#: Documents of a cluster that a task compares with as many others.
+BLOCK = 512
+
+
+def min_agree(percent: int) -> int:
+    """Coordinates that agree in all but 4e-7 of the pairs at the threshold: five deviations below the mean."""
+    s = percent / 100
+    return max(1, int(COORDINATES * s - 5 * (COORDINATES * s * (1 - s)) ** 0.5))
 
 
 def _permute32(x: np.ndarray) -> np.ndarray:
@@ -65,15 +77,16 @@ def band_keys(sig: np.ndarray) -> np.ndarray:
 
 def _sign(batch: pa.RecordBatch, words: int) -> pa.RecordBatch:
     sets = shingle_sets(texts_of(batch), words)
-    bands = [band_keys(signature(s)) if len(s) else None for s in sets]
+    signatures = [signature(s) if len(s) else None for s in sets]
     return pa.RecordBatch.from_arrays(
         [
             batch.column(0),
             pa.array([len(s) for s in sets], pa.int64()),
             pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
-            pa.array(bands, pa.list_(pa.int64())),
+            pa.array([None if s is None else band_keys(s) for s in signatures], pa.list_(pa.int64())),
+            pa.array([None if s is None else s.astype(np.uint8).tobytes() for s in signatures], pa.binary()),
         ],
-        names=["doc_id", "n_shingles", "set_key", "bands"],
+        names=["doc_id", "n_shingles", "set_key", "bands", "low"],
     )
 
 
@@ -105,6 +118,71 @@ def _confirm(batches, words: int, percent: int):
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1)], names=["a", "b"]).filter(pa.array(ok))
 
 
+def _bytes(col: pa.ChunkedArray | pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(col.to_pylist()), np.uint8).reshape(-1, COORDINATES)
+
+
+def _likely(batches, least: int):
+    """Pairs (a, b, low_a, low_b) whose signatures agree in `least` coordinates."""
+    for batch in batches:
+        if batch.num_rows:
+            ok = (_bytes(batch.column(2)) == _bytes(batch.column(3))).sum(axis=1) >= least
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(ok))
+
+
+def _sets(batch: pa.RecordBatch, words: int) -> pa.RecordBatch:
+    at = batch.schema.get_field_index("text")
+    sets = pa.array([s.tobytes() for s in shingle_sets(texts_of(batch), words)], pa.binary())
+    return batch.set_column(at, pa.field("text", pa.binary()), sets)
+
+
+def _across(batches, least: int, percent: int):
+    """Links between components, from runs of (key, side, first, second, doc_id, root, low, shingles).
+
+    Only links that unite two components of those known so far are returned.
+    """
+    for run in runs(batches, "key"):
+        roots = run.column("root").to_pylist()
+        if len(set(roots)) < 2:
+            continue
+        over = {r: r for r in roots}
+
+        def top(r, over=over):
+            while over[r] != r:
+                over[r] = over[over[r]]
+                r = over[r]
+            return r
+
+        ids, side = run.column("doc_id").to_pylist(), run.column("side").to_numpy()
+        apart = run.column("first")[0].as_py() != run.column("second")[0].as_py()
+        low = _bytes(run.column("low"))
+        sets = [np.frombuffer(s, np.uint64) for s in run.column("shingles").to_pylist()]
+        sizes = np.array([len(s) for s in sets])
+        owner = np.unique(roots, return_inverse=True)[1]
+        links = []
+        for k in range(len(ids) - 1):
+            rest = slice(k + 1, len(ids))
+            fits = (owner[rest] != owner[k]) & (100 * np.minimum(sizes[rest], sizes[k]) >= percent * np.maximum(sizes[rest], sizes[k]))
+            if apart:
+                fits &= side[rest] != side[k]
+            maybe = np.flatnonzero(fits) + k + 1
+            maybe = maybe[(low[maybe] == low[k]).sum(axis=1) >= least]
+            if not len(maybe):
+                continue
+            values = np.concatenate([sets[m] for m in maybe])
+            place = np.minimum(np.searchsorted(sets[k], values), sizes[k] - 1)
+            ends = np.concatenate(([0], np.cumsum(sizes[maybe])))
+            hits = np.concatenate(([0], np.cumsum(sets[k][place] == values)))
+            shared = hits[ends[1:]] - hits[ends[:-1]]
+            for m in maybe[100 * shared >= percent * (sizes[maybe] + sizes[k] - shared)]:
+                x, y = top(roots[k]), top(roots[m])
+                if x != y:
+                    over[max(x, y)] = min(x, y)
+                    links.append((min(ids[k], ids[m]), max(ids[k], ids[m])))
+        if links:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*links, strict=True)], names=["a", "b"])
+
+
 def _linked(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs that an exact comparison of full shingle sets confirms."""
     with_b = pairs.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
@@ -124,48 +202,48 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     doc_id are judged each by its own text; repeated rows get equal results.  An
     empty table gives no rows.
     """
+    least = min_agree(percent)
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    signed = cut(source.mapInArrow(arrow_rows(partial(_sign, words=words)), "doc_id long, n_shingles long, set_key binary, bands array<long>"))
+    signed = cut(source.mapInArrow(arrow_rows(partial(_sign, words=words)), "doc_id long, n_shingles long, set_key binary, bands array<long>, low binary"))
     live = signed.where("doc_id is not null and n_shingles > 0")
-    chosen = live.groupBy("set_key").agg(F.min(F.struct("doc_id", "n_shingles", "bands")).alias("r")).select("set_key", "r.*")
+    chosen = live.groupBy("set_key").agg(F.min(F.struct("doc_id", "n_shingles", "bands", "low")).alias("r")).select("set_key", "r.*")
+    chosen = cut(chosen)
+    lows = chosen.select("doc_id", "low").dropDuplicates(["doc_id"])
     entries = chosen.select("doc_id", F.col("n_shingles").alias("n"), F.explode("bands").alias("bucket"))
     buckets = entries.groupBy("bucket").agg(F.min(F.struct("doc_id", "n")).alias("first"), F.count(F.lit(1)).alias("size")).where("size > 1")
     entries = cut(entries.join(buckets.select("bucket", F.col("first.doc_id").alias("lead"), F.col("first.n").alias("lead_n")), "bucket"))
     texts = source.where("doc_id is not null and text is not null")
     near = F.expr(f"100 * least(n, lead_n) >= {percent} * greatest(n, lead_n)")
-    pairs = cut(entries.where("doc_id <> lead").where(near).select(F.col("lead").alias("a"), F.col("doc_id").alias("b")).distinct())
-    tried, links = pairs, cut(_linked(pairs, texts, words, percent))
+    pairs = entries.where("doc_id > lead").where(near).groupBy("doc_id").agg(F.min("lead").alias("a")).withColumnRenamed("doc_id", "b")
+    pairs = pairs.join(lows.select(F.col("doc_id").alias("b"), F.col("low").alias("low_b")), "b").join(lows.select(F.col("doc_id").alias("a"), F.col("low").alias("low_a")), "a")
+    tried = cut(pairs.select("a", "b", "low_a", "low_b").mapInArrow(partial(_likely, least=least), "a long, b long"))
+    links = cut(_linked(tried, texts, words, percent))
     roots = components(links)
-    for turn in range(8):
-        owned = entries.select("doc_id", "n", "bucket").join(roots.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("bucket", "doc_id", "n", F.coalesce("root", "doc_id").alias("root"))
-        split = owned.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("s")).groupBy("bucket").agg(F.count(F.lit(1)).alias("roots"), F.sum("s").alias("size"), F.sum(F.col("s").cast("double") * F.col("s")).alias("same")).where("roots > 1")
-        open_ = cut(owned.join(split.select("bucket", (F.expr("cast(size as double) * size - same") / 2).alias("across")), "bucket"))
-        row = open_.agg(F.count(F.lit(1)).alias("n")).first()
-        if not row["n"]:
-            break
-        across = split.agg(F.sum(F.expr("cast(size as double) * size - same") / 2).alias("x")).first()["x"]
-        last = across <= 8 * row["n"] or turn == 7
-        left = open_.select("bucket", F.col("doc_id").alias("a"), F.col("n").alias("lead_n"), F.col("root").alias("root_a"))
-        if not last:  # one drawn member of each bucket against those of other components
-            left = left.groupBy("bucket").agg(F.min(F.struct(F.xxhash64("a", F.lit(turn)).alias("h"), "a", "lead_n", "root_a")).alias("r")).select("bucket", "r.a", "r.lead_n", "r.root_a")
-        both = left.join(open_.select("bucket", F.col("doc_id").alias("b"), "n", "root"), "bucket").where("root <> root_a and a <> b").where(near)
-        if last:
-            both = both.where("a < b")
-        fresh = both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        done = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        fresh = cut(fresh.join(done, ["a", "b"], "left_anti"))
-        if count_of(fresh):
-            found = cut(_linked(fresh, texts, words, percent))
-            if count_of(found):
-                links = links.union(found)
-                roots = components(links)
-            tried = tried.union(fresh)
-        if last:
-            break
-    return _labelled(signed, live, chosen, roots)
-
-
-def _labelled(signed: DataFrame, live: DataFrame, chosen: DataFrame, roots: DataFrame) -> DataFrame:
+    owned = entries.join(roots.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("bucket", "doc_id", F.coalesce("root", "doc_id").alias("root"))
+    split = owned.groupBy("bucket").agg(F.min("doc_id").alias("lead"), F.min("root").alias("low_root"), F.max("root").alias("high_root")).where("low_root <> high_root")
+    owned = owned.join(split.select("bucket", "lead"), "bucket").groupBy("doc_id", "root", "lead").agg(F.count(F.lit(1)).alias("shared"))
+    owned = cut(owned.select("doc_id", "root", "lead"))
+    across = cut(_cluster_links(owned, lows, texts, words, percent, least))
+    if count_of(across):
+        roots = components(links.union(across))
+    return _labelled(signed, chosen, roots)
+
+
+def _cluster_links(owned: DataFrame, lows: DataFrame, texts: DataFrame, words: int, percent: int, least: int) -> DataFrame:
+    """(a, b): links across components within the clusters that (doc_id, root, lead) span."""
+    grouped = components(owned.select(F.col("doc_id").alias("a"), F.col("lead").alias("b")))
+    members = owned.select("doc_id", "root").distinct().join(grouped.withColumnsRenamed({"node": "doc_id", "root": "cluster"}), "doc_id", "left").withColumn("cluster", F.coalesce("cluster", "doc_id"))
+    sizes = members.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    sided = members.join(sizes, "cluster").withColumn("side", F.expr("cast(pmod(xxhash64(doc_id), blocks) as int)"))
+    full = sided.join(lows, "doc_id").join(texts, "doc_id")
+    schema = "doc_id long, root long, cluster long, blocks int, side int, low binary"
+    sets = full.select("doc_id", "root", "cluster", "blocks", "side", "low", "text").mapInArrow(arrow_rows(partial(_sets, words=words)), f"{schema}, text binary")
+    dealt = sets.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).select("doc_id", "root", "cluster", "side", F.least("side", "other").alias("first"), F.greatest("side", "other").alias("second"), "low", F.col("text").alias("shingles"))
+    rows = dealt.withColumn("key", F.xxhash64("cluster", "first", "second")).repartition("key").sortWithinPartitions("key", "doc_id")
+    return rows.select("key", "side", "first", "second", "doc_id", "root", "low", "shingles").mapInArrow(partial(_across, least=least, percent=percent), "a long, b long")
+
+
+def _labelled(signed: DataFrame, chosen: DataFrame, roots: DataFrame) -> DataFrame:
     classes = chosen.join(roots.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("set_key", F.coalesce("root", "doc_id").alias("component"))
     rows = signed.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("set_key")).alias("set_key"))
     out = rows.join(classes, "set_key", "left").select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
