@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import decontaminate as _decontaminate
-from . import minhash, mixing, quality, secrets
+from . import chat, extract, minhash, mixing, quality, secrets, suffix, toxicity, warc
 from .common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,10 +18,33 @@ def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(read_table(spark, sf_dir, "documents"), words=4, percent=80)
 
 
+def op2_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.extract(read_table(spark, sf_dir, "pages"))
+
+
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.dedup(read_table(spark, sf_dir, "documents"))
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(read_table(spark, sf_dir, "documents")).drop("found")
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = warc.archive(read_table(spark, sf_dir, "pages"))
+    return rows.select(
+        F.col("metadata.fields")["pageId"].cast("long").alias("page_id"),
+        F.col("response.declared_bytes").alias("payload_bytes"),
+        F.col("response.digest").alias("payload_digest"),
+        F.col("response.type").alias("record_type"),
+        F.regexp_extract("response.refers_to", "page:(-?[0-9]+)>", 1).try_cast("long").alias("refers_to"),
+    )
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read_table(spark, sf_dir, "documents").select("doc_id", "source", "n_chars"))
 
@@ -29,12 +53,16 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _decontaminate.decontaminate(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op9_chat_threads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.threads(read_table(spark, sf_dir, "conversations"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality.quality(read_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_minhash_dedup, op4_secret_scan, op7_mix_sources, op8_decontaminate, op10_quality_rules)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_minhash_dedup, op2_html_extract, op3_suffix_dedup, op4_secret_scan, op5_warc, op6_toxicity, op7_mix_sources, op8_decontaminate, op9_chat_threads, op10_quality_rules)}
 
 _WORD = "'[^\\x20\\x09-\\x0D]+'"
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -95,4 +123,27 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM r LEFT JOIN f ON r.lang IS NOT DISTINCT FROM f.lang AND r.source IS NOT DISTINCT FROM f.source
 """
 
-ORACLES: dict[str, str] = {"op1_minhash_dedup": OP1_SQL, "op4_secret_scan": OP4_SQL, "op10_quality_rules": OP10_SQL}
+OP5_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+b AS (SELECT page_id, h, CAST(CAST(unhex(sha1(h)) AS BIT) AS VARCHAR) AS bits, min(page_id) OVER (PARTITION BY h) AS first FROM p)
+SELECT page_id, CAST(strlen(h) AS BIGINT) AS payload_bytes,
+    array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(1 + list_sum(list_transform(range(1, 6), lambda j: CAST(substr(bits, CAST(5 * i + j AS BIGINT), 1) AS INTEGER) * CAST(pow(2, 5 - j) AS INTEGER))) AS BIGINT), 1)), '') AS payload_digest,
+    CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to
+FROM b
+"""
+
+OP3_SQL = """
+WITH b AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+n AS (SELECT doc_id, h, CAST(strlen(h) // 2 AS BIGINT) AS n FROM b),
+w AS (SELECT doc_id, i, h[2 * i + 1:2 * i + 100] AS w FROM (SELECT doc_id, h, unnest(range(0, n - 49)) AS i FROM n)),
+f AS (SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY w) AS m FROM w) WHERE m < doc_id),
+g AS (SELECT *, CASE WHEN i <= 50 + lag(i) OVER o THEN 0 ELSE 1 END AS new FROM f WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+s AS (SELECT doc_id, k, min(i) AS a, max(i) + 50 AS b FROM (SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM g) GROUP BY 1, 2),
+p AS (SELECT doc_id, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS x, a AS y FROM s UNION ALL SELECT n.doc_id, coalesce(max(b), 0), max(n.n) FROM n LEFT JOIN s USING (doc_id) GROUP BY 1),
+kept AS (SELECT doc_id, string_agg(h[2 * x + 1:2 * y], '' ORDER BY x) AS t FROM p JOIN n USING (doc_id) GROUP BY 1),
+c AS (SELECT doc_id, CAST(sum(b - a) AS BIGINT) AS removed, count(*) AS spans FROM s GROUP BY 1)
+SELECT n.doc_id, n.n AS n_bytes, coalesce(removed, 0) AS n_removed, coalesce(spans, 0) AS n_spans, sha256(unhex(coalesce(t, ''))) AS kept_sha256
+FROM n LEFT JOIN c USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+ORACLES: dict[str, str] = {"op3_suffix_dedup": OP3_SQL, "op5_warc": OP5_SQL, "op1_minhash_dedup": OP1_SQL, "op4_secret_scan": OP4_SQL, "op10_quality_rules": OP10_SQL}
