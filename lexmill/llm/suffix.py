@@ -268,7 +268,7 @@ def _chunk(left: pa.Table, right: pa.Table) -> tuple[list[int], list[bytes]]:
     """doc_ids and texts of a chunk that stand for their class, in order."""
     if not left.num_rows or not right.num_rows:  # an empty side comes without columns
         return [], []
-    rep = set(right.column("doc_id").drop_null().to_pylist())
+    rep = set(right.column("rep").drop_null().to_pylist())
     rows = {(i, t) for i, t in zip(left.column("doc_id").to_pylist(), left.column("text").cast(pa.large_binary()).to_pylist(), strict=True) if i in rep}
     rows = sorted(r for r in rows if len(r[1]) >= WIDTH)
     return [r[0] for r in rows], [r[1] for r in rows]
@@ -437,17 +437,17 @@ def dedup(docs: DataFrame) -> DataFrame:
     chunk = F.pmod(F.xxhash64("doc_id"), F.lit(chunks)).alias("chunk")
     texts = source.where(f"doc_id is not null and octet_length(text) >= {WIDTH}").select(chunk, "doc_id", "text").groupBy("chunk")
     none = F.lit(None).cast("binary")
-    flags = info.where(f"n_bytes >= {WIDTH} and doc_id = first").select(chunk, "doc_id", none.alias("keys"), none.alias("owners"))
+    flags = info.where(f"n_bytes >= {WIDTH} and doc_id = first").select(chunk, F.col("doc_id").alias("rep"), none.alias("keys"), none.alias("owners"))
 
     def told(rows: DataFrame):
         return rows.groupBy("chunk")
 
     sent = texts.cogroup(told(flags)).applyInArrow(partial(_send_keys, parts=parts), "part int, chunk long, keys binary")
     replies = cut(sent.groupBy("part").applyInArrow(_reply_keys, "chunk long, keys binary"))
-    control = flags.unionByName(replies.select("chunk", F.lit(None).cast("long").alias("doc_id"), "keys", none.alias("owners")))
+    control = flags.unionByName(replies.select("chunk", F.lit(None).cast("long").alias("rep"), "keys", none.alias("owners")))
     segments = texts.cogroup(told(control)).applyInArrow(partial(_send_segments, parts=parts), "part int, chunk long, anchors binary, numbers binary, segments binary")
     found = cut(segments.groupBy("part").applyInArrow(_find_owners, "chunk long, owners binary"))
-    control = control.unionByName(found.select("chunk", F.lit(None).cast("long").alias("doc_id"), none.alias("keys"), "owners"))
+    control = control.unionByName(found.select("chunk", F.lit(None).cast("long").alias("rep"), none.alias("keys"), "owners"))
     done = texts.cogroup(told(control)).applyInArrow(_cut_texts, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
     whole = info.where(f"n_bytes < {WIDTH} or doc_id is null").select("doc_id", "n_bytes", F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"), F.col("sha").alias("kept_sha256"))
     copies = info.where(f"n_bytes >= {WIDTH} and doc_id <> first").select("doc_id", "n_bytes", F.col("n_bytes").alias("n_removed"), F.lit(1).cast("long").alias("n_spans"), F.sha2(F.lit(""), 256).alias("kept_sha256"))
