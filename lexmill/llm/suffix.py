@@ -244,10 +244,6 @@ class Runs:
         self.doc = doc[self.start]
         self.key = grams[self.anchor]
 
-    def segment(self, k: int) -> bytes:
-        raw, a = self.pack.raw, self.anchor[k]
-        return raw[self.start[k] : a] + ANCHOR + raw[a + GRAM : self.start[k] + self.count[k] + WIDTH - 1]
-
 
 def _pieces(ids: list[int], texts: list[bytes]):
     """Packs of (index of the text, offset, piece)."""
@@ -305,9 +301,15 @@ def _reply_keys(table: pa.Table) -> pa.Table:
     sent = np.concatenate(each)
     plain = sent & ~np.uint64(1)
     several = (sent & np.uint64(1)).astype(bool)
-    ranked = np.sort(plain)
-    shared = np.unique(np.concatenate((ranked[1:][ranked[1:] == ranked[:-1]], plain[several])))
-    out = [x[np.isin(x, shared)].tobytes() for x in (e & ~np.uint64(1) for e in each)]
+    order = np.argsort(plain)
+    ranked = plain[order]
+    again = np.concatenate(([False], ranked[1:] == ranked[:-1], [False]))
+    head = np.flatnonzero(~again[:-1])
+    in_two = np.logical_or.reduceat(several[order] | again[1:], head)
+    shared = np.empty(len(plain), bool)
+    shared[order] = np.repeat(in_two, np.diff(np.append(head, len(plain))))
+    ends = np.cumsum([len(e) for e in each])
+    out = [plain[hi - len(e) : hi][shared[hi - len(e) : hi]].tobytes() for e, hi in zip(each, ends, strict=True)]
     full = [k for k, b in enumerate(out) if b]
     return pa.table(dict(chunk=pa.array([chunks[k] for k in full], pa.int64()), keys=pa.array([out[k] for k in full], pa.binary())))
 
@@ -324,32 +326,39 @@ def _shared_runs(left: pa.Table, right: pa.Table):
             r = Runs([p[2] for p in pack])
             plain = r.key & ~np.uint64(1)
             place = np.minimum(np.searchsorted(wanted, plain), len(wanted) - 1)
-            for k in np.flatnonzero(wanted[place] == plain):
-                name = (int(plain[k]), r.segment(k))
-                number = known.setdefault(name, len(known))
-                text, offset, _ = pack[r.doc[k]]
-                where.append((number, text, offset + int(r.start[k] - r.pack.starts[r.doc[k]])))
+            hit = np.flatnonzero(wanted[place] == plain)
+            raw, doc, start, anchor = r.pack.raw, r.doc[hit], r.start[hit], r.anchor[hit]
+            first = np.array([p[1] for p in pack])[doc] + start - r.pack.starts[doc]
+            number_of = np.array([p[0] for p in pack])[doc]
+            stop = start + r.count[hit] + WIDTH - 1
+            for key, s, a, e, text, at in zip(*(x.tolist() for x in (plain[hit], start, anchor, stop, number_of, first)), strict=True):
+                number = known.setdefault((key, raw[s:a] + ANCHOR + raw[a + GRAM : e]), len(known))
+                where.append((number, text, at))
     return ids, texts, known, where
 
 
 def _send_segments(key, left: pa.Table, right: pa.Table, parts: int) -> pa.Table:
     """(part, chunk, rows): segments with number, smallest and largest doc_id."""
     ids, _, known, where = _shared_runs(left, right)
-    low, high = [1 << 62] * len(known), [-(1 << 62)] * len(known)
-    for number, text, _ in where:
-        low[number], high[number] = min(low[number], ids[text]), max(high[number], ids[text])
+    number_of, text_of = np.array([w[0] for w in where], np.int64), np.array([w[1] for w in where], np.int64)
+    low, high = np.full(len(known), np.iinfo(np.int64).max), np.full(len(known), np.iinfo(np.int64).min)
+    holder = np.array(ids, np.int64)[text_of] if where else text_of
+    np.minimum.at(low, number_of, holder)
+    np.maximum.at(high, number_of, holder)
+    low, high = low.tolist(), high.tolist()
     by_part: dict[int, list[tuple]] = {}
     for (anchor, segment), number in known.items():
         by_part.setdefault((anchor >> 40) % parts, []).append((anchor, number, low[number], high[number], segment))
     names = sorted(by_part)
-    head = [np.array([r[:4] for r in by_part[p]], object) for p in names]
-    return pa.table(dict(
-        part=pa.array(names, pa.int32()),
-        chunk=pa.array([key[0].as_py()] * len(names), pa.int64()),
-        anchors=pa.array([h[:, 0].astype(np.uint64).tobytes() for h in head], pa.binary()),
-        numbers=pa.array([h[:, 1:].astype(np.int64).tobytes() for h in head], pa.binary()),
-        segments=pa.array([END.join(r[4] for r in by_part[p]) for p in names], pa.binary()),
-    ))
+    return pa.table(
+        dict(
+            part=pa.array(names, pa.int32()),
+            chunk=pa.array([key[0].as_py()] * len(names), pa.int64()),
+            anchors=pa.array([np.array([r[0] for r in by_part[p]], np.uint64).tobytes() for p in names], pa.binary()),
+            numbers=pa.array([np.array([r[1:4] for r in by_part[p]], np.int64).tobytes() for p in names], pa.binary()),
+            segments=pa.array([END.join(r[4] for r in by_part[p]) for p in names], pa.binary()),
+        )
+    )
 
 
 def _find_owners(table: pa.Table) -> pa.Table:
