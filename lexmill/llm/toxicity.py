@@ -17,12 +17,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Pack, arrow_rows, cut, mix64, shuffle_parts, texts_of, word_spans
+from .common import Pack, arrow_rows, count_of, cut, mix64, sliced, texts_of, word_spans
 
 BITS = 17
 SIZES = (3, 5)
 SMOOTHING = 1.0
 MAX_FIT_ROWS = 6000
+#: Labels of so many documents at most are sent to all executors (20 bytes each).
+MAX_SENT_LABELS = 500_000
 #: Slots in fewer training rows, or with a ratio nearer to 0, get no weight.
 LEAST_ROWS, LEAST_RATIO = 8, 1.0
 STEPS, RATE, PENALTY = 200, 0.05, 1e-3
@@ -64,10 +66,11 @@ def _counted(batches):
     counts = np.zeros((2, 1 << BITS), np.int64)
     rows = np.zeros(2, np.int64)
     for batch in batches:
-        labels = batch.column(batch.schema.get_field_index("toxic")).to_pylist()
-        for label, f in zip(labels, features(texts_of(batch)), strict=True):
-            counts[label, f] += 1
-            rows[label] += 1
+        for part in sliced(batch):
+            labels = part.column(part.schema.get_field_index("toxic")).to_pylist()
+            for label, f in zip(labels, features(texts_of(part)), strict=True):
+                counts[label, f] += 1
+                rows[label] += 1
     used = np.flatnonzero(counts.any(axis=0))
     yield pa.RecordBatch.from_arrays(
         [pa.array(np.append(used, -1)), pa.array(np.append(counts[1, used], rows[1])), pa.array(np.append(counts[0, used], rows[0]))], names=["slot", "positive", "negative"]
@@ -96,8 +99,9 @@ def fit(rows: DataFrame) -> tuple[np.ndarray, float]:
         return np.zeros(1 << BITS), float(np.log(share / (1 - share)))
     ratio = np.log(p / (total[1] + 2 * SMOOTHING)) - np.log(n / (total[0] + 2 * SMOOTHING))
     ratio[(p + n < LEAST_ROWS + 2 * SMOOTHING) | (np.abs(ratio) < LEAST_RATIO)] = 0
-    draw = rows.orderBy(F.xxhash64("doc_id", "text")).limit(MAX_FIT_ROWS).select("toxic", "text")
-    got = draw.repartition(shuffle_parts(rows.sparkSession)).sortWithinPartitions("text").mapInArrow(arrow_rows(_features), "toxic int, slots binary").toPandas()
+    drawn = rows.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_FIT_ROWS)
+    got = rows.join(F.broadcast(drawn), "doc_id", "left_semi").select("toxic", "text").mapInArrow(arrow_rows(_features), "toxic int, slots binary").toPandas()
+    got = got.sort_values(["toxic", "slots"], ignore_index=True).iloc[: 2 * MAX_FIT_ROWS]  # a doc_id may have more rows
     y = got["toxic"].to_numpy(np.float64)
     each = [np.frombuffer(b, np.int32) for b in got["slots"]]
     sizes = np.array([len(x) for x in each])
@@ -155,7 +159,9 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     data = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     marks = labels.where("toxic in (0, 1) and doc_id is not null").select("doc_id", F.col("toxic").cast("int").alias("toxic")).distinct()
-    learnt = cut(data.where("not held_out").join(marks, "doc_id").select("doc_id", "text", "toxic"))
-    weights, bias = fit(learnt)
+    marks = cut(marks)
+    if count_of(marks) <= MAX_SENT_LABELS:
+        marks = F.broadcast(marks)
+    weights, bias = fit(data.where("not held_out").join(marks, "doc_id").select("doc_id", "text", "toxic"))
     sent = spark.sparkContext.broadcast(weights.astype(np.float32).astype(np.float64))
     return data.mapInArrow(arrow_rows(partial(_score, weights=sent, bias=bias)), "doc_id long, held_out boolean, score double, predicted int")
