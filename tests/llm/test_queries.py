@@ -1,0 +1,108 @@
+"""Queries over whole tables against SQL, and against plain versions where SQL can't say it."""
+
+import html
+import random
+import re
+from collections import Counter
+from math import ceil
+
+import pytest
+from oracle import check
+
+from lexmill.llm import queries as Q
+from lexmill.llm.decontaminate import decontaminate
+from lexmill.llm.mixing import mix, schedule, whole_parts
+from lexmill.llm.suffix import SPAN, owners, suffix_array
+from lexmill.llm.toxicity import toxicity
+
+SF, SF1 = "/root/testdata/sf0.001", "/root/testdata/sf0.1"
+
+
+@pytest.mark.parametrize("name", sorted(Q.ORACLES))
+def test_same_rows_as_sql(spark, name):
+    check(spark, Q.QUERIES[name], Q.ORACLES[name], SF)
+
+
+def test_html_is_the_article(spark):
+    pages = spark.read.parquet(f"{SF1}/pages.parquet")
+    got = {r["page_id"]: r["text"] for r in Q.op2_html_extract(spark, SF1).collect()}
+    for r in pages.collect():
+        start, end = r["html"].find("<article>") + 9, r["html"].find("</article>")
+        inner = re.sub(r"<(?:br|b)>|</b>", " ", r["html"][start : end if end >= 0 else None])
+        parts = [" ".join(html.unescape(re.sub(r"<[^>]*>?", "", p)).split()) for p in re.split(r"</?(?:p|h1)>", inner)]
+        assert got[r["page_id"]] == "\n".join(p for p in parts if p)
+
+
+def test_suffix_array_and_owners():
+    draw = random.Random(5)
+    for _ in range(500):
+        s = bytes(draw.choice(b"ab\xff") for _ in range(draw.randint(1, 50)))
+        assert suffix_array(s) == sorted(range(len(s)), key=lambda i: s[i:])
+    segments = list({bytes(draw.choice(b"ab") for _ in range(draw.randint(0, 3))) + b"c" * (SPAN - 3) + b"\xff" + bytes(draw.choice(b"ab") for _ in range(4)) for _ in range(30)})
+    least = [draw.randint(1, 99) for _ in segments]
+    for seg, row in zip(segments, owners(segments, least), strict=True):
+        for i, low in enumerate(row):
+            assert low == min(d for other, d in zip(segments, least, strict=True) if seg[i : i + SPAN] in other)
+
+
+def test_toxicity_held_out(spark):
+    docs, labels = spark.read.parquet(f"{SF1}/documents.parquet"), spark.read.parquet(f"{SF1}/labels.parquet")
+    out = toxicity(docs, labels).toPandas()
+    assert len(out) == docs.count() and out["score"].between(0, 1).all() and ((out["score"] >= 0.3) == (out["predicted"] == 1)).all()
+    held = out[out["held_out"]].merge(labels.toPandas(), on="doc_id")
+    hit = held[held["predicted"] == 1]
+    assert hit["toxic"].mean() > 0.9 and (held[held["toxic"] == 1]["predicted"]).mean() > 0.45
+    # the labels of held-out rows are not learnt
+    flipped = labels.withColumn("toxic", (1 - labels["toxic"])).where("pmod(crc32(cast(cast(doc_id as string) as binary)), 4) = 2")
+    kept = labels.where("pmod(crc32(cast(cast(doc_id as string) as binary)), 4) <> 2")
+    again = toxicity(docs, kept.unionByName(flipped.select(*kept.columns))).toPandas()
+    both = out.merge(again, on="doc_id")
+    assert (both["score_x"] - both["score_y"]).abs().max() < 1e-6
+
+
+def test_schedule_deviates_by_less_than_a_block():
+    for weights in ({"a": 5, "b": 3, "c": 1}, {"x": 1}, {k: 1 / (k + 1) for k in range(40)}, {"a": 997, None: 1}):
+        parts = whole_parts(weights)
+        slots, period = schedule(parts), sum(parts.values())
+        assert sorted(s for each in slots.values() for s in each) == list(range(period))
+        for name, each in slots.items():
+            for j, slot in enumerate(each):
+                assert j * period // parts[name] <= slot < ceil((j + 1) * period / parts[name])
+                assert abs((j + 1) - (slot + 1) * parts[name] / period) < 1
+
+
+def test_mixture_holds_the_weights(spark):
+    docs = spark.read.parquet(f"{SF1}/documents.parquet").select("doc_id", "source", "n_chars")
+    rows = mix(docs, {"src0": 0.5, "src1": 0.25, "src2": 0.25}, block_rows=4).orderBy("mix_position").collect()
+    assert len(rows) == docs.count() == len({r["mix_position"] for r in rows})
+    sizes = Counter(r["source"] for r in rows)
+    for s, n in sizes.items():
+        assert sorted(r["mix_rank"] for r in rows if r["source"] == s) == list(range(n))
+    target = whole_parts({s: {"src0": 0.5}.get(s, 0.25) for s in sizes})
+    period, seen = sum(target.values()), Counter()
+    for slot in range(max(r["mix_slot"] for r in rows if r["on_target"]) + 1):
+        here = [r for r in rows if r["mix_slot"] == slot]
+        assert len(here) == 4 and len({r["source"] for r in here}) == 1
+        seen[here[0]["source"]] += 1
+        assert all(abs(seen[s] - (slot + 1) * p / period) < 1 for s, p in target.items())
+
+
+def test_leaks_whole_and_with_other_values(spark):
+    docs, bench = spark.read.parquet(f"{SF1}/documents.parquet"), spark.read.parquet(f"{SF1}/benchmark.parquet")
+    items = [r["text"] for r in bench.collect()]
+    expect = {r["doc_id"] for r in docs.collect() if any(t in r["text"] for t in items)}
+    assert {r["doc_id"] for r in decontaminate(docs, bench).where("contaminated").collect()} == expect
+    item = "A train leaves with 12 wagons and 30 people, then meets Anna after 12 km and stops there for 30 minutes today."
+    other = item.replace("12", "17").replace("30", "44").replace("Anna", "Boris").replace("km", "miles")
+    uneven = item.replace("12 wagons", "17 wagons").replace("30", "44")
+    rows = [(1, "Before. " + item + " After."), (2, other), (3, uneven), (4, "nothing of the kind is to be found in this longer text at all, really"), (5, None)]
+    got = {r["doc_id"]: r for r in decontaminate(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(9, item)], "item_id long, text string")).collect()}
+    assert (got[1]["contaminated"], got[1]["reparameterised"]) == (True, False)
+    assert (got[2]["contaminated"], got[2]["reparameterised"]) == (True, True)
+    assert not got[3]["contaminated"] and not got[4]["contaminated"] and not got[5]["contaminated"]
+
+
+def test_every_message_has_a_place(spark):
+    rows = Q.op9_chat_threads(spark, SF1).collect()
+    assert len(rows) == spark.read.parquet(f"{SF1}/conversations.parquet").count()
+    assert all(r["reply_to"] is None or r["reply_to"] < r["turn"] for r in rows)
