@@ -185,7 +185,8 @@ def word_spans(pack: Pack) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     edge[1:] = space
     start = np.flatnonzero(edge[:-1] & ~space)
     end = np.flatnonzero(space & ~edge[:-1])
-    return start, end, np.searchsorted(pack.ends, start, side="right")
+    counts = np.diff(np.searchsorted(start, pack.ends), prepend=0)
+    return start, end, np.repeat(np.arange(len(counts)), counts)
 
 
 def rolled(words: np.ndarray, n: int) -> np.ndarray:

@@ -231,9 +231,8 @@ class Runs:
         mask = np.uint64((1 << _POS_BITS) - 1)
         marked = (grams & ~mask) | np.arange(len(grams), dtype=np.uint64)
         at = (_slide_min(marked, SPAN) & mask).astype(np.int64)
-        begin = np.arange(len(at))
-        doc = np.searchsorted(pack.ends, begin, side="left")
-        valid = begin + WIDTH <= pack.ends[np.minimum(doc, len(texts) - 1)]
+        doc = np.repeat(np.arange(len(texts)), pack.sizes + 1)[: len(at)]
+        valid = np.arange(WIDTH, len(at) + WIDTH) <= np.repeat(pack.ends, pack.sizes + 1)[: len(at)]
         change = np.ones(len(at), bool)
         change[1:] = (at[1:] != at[:-1]) | (valid[1:] != valid[:-1])
         heads = np.flatnonzero(change)
