@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 MASK64 = (1 << 64) - 1
 #: Texts are hashed in packs of about this many bytes, so that arrays stay in cache.
-PACK_BYTES = 1 << 20
+PACK_BYTES = 1 << 17
 
 
 # ------------------------------------------------------------------ Spark side
