@@ -32,6 +32,11 @@ MARKUP = (
 BLANKS = ((" ", " "), ("[ \\t]+", " "), ("\\n{3,}", "\n\n"))
 
 
+def let(value: Column, use) -> Column:
+    """`use(value)`, with `value` computed once however often `use` names it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def strip(c: Column) -> Column:
     return F.regexp_replace(c, f"^[{WHITE}]+|[{WHITE}]+\\z", "")
 
@@ -69,14 +74,15 @@ def clean_page_lines(c: Column) -> Column:
 
 def drop_nav_prefix(c: Column) -> Column:
     """Drops mail lines, then all up to the first line that reads like text; unchanged if nothing is left."""
-    kept = F.filter(lines(c), lambda x: ~x.rlike("@|mail[0-9]|Ud%|-->|\\$"))
     low = lambda x: F.lower(strip(x))
-    starts = F.transform(
-        kept,
-        lambda x: (F.length(x) > 25) & ~low(x).isin(*MENU) & ~x.rlike("^[0-9]{4}\\z") & ~low(x).rlike(f"^(?:{MONTHS})") & ~x.rlike("^[\\s/←→0-9]+\\z"),
-    )
-    first = F.array_position(starts, True).cast("int")
-    return F.when(first > 0, F.array_join(F.slice(kept, first, F.size(kept)), "\n")).otherwise(c)
+    starts = lambda x: (F.length(x) > 25) & ~low(x).isin(*MENU) & ~x.rlike("^[0-9]{4}\\z") & ~low(x).rlike(f"^(?:{MONTHS})") & ~x.rlike("^[\\s/←→0-9]+\\z")
+
+    def body(text: Column) -> Column:
+        kept = F.filter(lines(text), lambda x: ~x.rlike("@|mail[0-9]|Ud%|-->|\\$"))
+        placed = let(kept, lambda k: F.struct(k.alias("k"), F.array_position(F.transform(k, starts), True).cast("int").alias("at")))
+        return let(placed, lambda p: F.when(p["at"] > 0, F.array_join(F.slice(p["k"], p["at"], F.size(p["k"])), "\n")).otherwise(text))
+
+    return let(c, body)
 
 
 def extract_title(plain: Column, markup: Column) -> Column:

@@ -32,6 +32,18 @@ FRAME: tuple[Rule, ...] = (
     ("C15", "if(selection_role = 'not_selected', annotation_item_id is null and not seen_by_annotators and size(allowed_classification_splits) = 0, annotation_item_id is not null and seen_by_annotators and allowed_classification_splits = array('train'))"),
     ("C16", "size(search_basis) > 0 and size(query_refs) > 0 and size(array_distinct(query_refs)) = size(query_refs) and stratum_population_size >= 1 and inclusion_probability > 0 and inclusion_probability <= 1"),
 )
+_ANSWER = "annotator_id is not null and annotator_decision is not null and confidence is not null and decision_rationale is not null"
+LABELS: tuple[Rule, ...] = (
+    ("C17", "record_type <> 'grnti_assignment' or (grnti_assignment is not null and annotator_id is null and annotator_decision is null and adjudicator_id is null and adjudicated_decision is null)"),
+    ("C19", "grnti_assignment is null or h2_class_id <=> element_at(map('29.05', 'C1', '29.15', 'C2', '29.19', 'C3', '29.27', 'C4', '29.33', 'C5'), regexp_extract(grnti_assignment.code, '^([0-9]{2}[.][0-9]{2})', 1))"),
+    ("C20", "label_status <> 'eligible' or grnti_assignment is null or (label_verification_status = 'verified' and h2_class_id is not null and grnti_assignment.is_primary_explicit)"),
+    ("C21", f"record_type <> 'annotation' or ({_ANSWER} and grnti_assignment is null and adjudicator_id is null)"),
+    ("C22", "record_type <> 'adjudication' or (adjudicator_id is not null and adjudicated_decision is not null and adjudication_reason is not null and annotator_id is null and (adjudication_kind <> 'annotator_disagreement' or size(source_label_record_ids) = 2))"),
+    ("C23", "adjudicated_decision is null or h2_class_id <=> if(adjudicated_decision rlike '^C[1-5]$', adjudicated_decision, null)"),
+    ("C24", "adjudication_kind is null or adjudication_kind <> 'grnti_conflict' or (size(source_label_record_ids) >= 3 and evidence_bundle_sha256 is not null)"),
+)
+ANNOTATION_FORM: tuple[Rule, ...] = (("C26", "if(annotator_decision is null, confidence is null and decision_rationale is null and completed_at is null, confidence is not null and decision_rationale is not null and completed_at is not null)"),)
+AUDIT_RUN: tuple[Rule, ...] = (("C28", "calibration_size = 30 and audit_size = 200 and size(annotator_ids) = 2 and size(array_distinct(annotator_ids)) = 2"),)
 WORKS_PROXY: tuple[Rule, ...] = (
     ("doc_id", "doc_id is not null"),
     ("text", "length(text) > 0"),

@@ -113,7 +113,8 @@ SELECT page_id, coalesce(substr(list_filter(string_split(body, chr(10)), lambda
     AND NOT regexp_matches(lower(l), '^(?:{T.MONTHS})'))[1], 1, 500), {_q(T.UNTITLED)}) AS title, CAST(length(body) AS BIGINT) AS n_chars FROM b""")
 def nav_drop_title(spark, sf_dir):
     body = table(spark, sf_dir, "pages").select("page_id", "html", T.drop_nav_prefix(T.html_to_text(F.col("html"))).alias("body"))
-    return body.select("page_id", T.extract_title(F.col("body"), F.col("html")).alias("title"), F.length("body").cast("long").alias("n_chars"))
+    both_of = T.let(F.struct("body", "html"), lambda x: F.struct(T.extract_title(x["body"], x["html"]).alias("title"), F.length(x["body"]).cast("long").alias("n_chars")))
+    return body.select("page_id", both_of.alias("x")).select("page_id", "x.title", "x.n_chars")
 
 
 @query("SELECT page_id, path, row_number() OVER (PARTITION BY page_id ORDER BY path DESC) AS rank FROM (SELECT DISTINCT page_id, unnest(regexp_extract_all(html, 'href=\"(/[^\"]*)\"', 1)) AS path FROM pages)")
