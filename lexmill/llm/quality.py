@@ -26,9 +26,9 @@ ACCURACY = 10_000
 MAX_SENT_GROUPS = 20_000
 #: ratio: (numerator, denominator, slack)
 RATIOS = {
-    "symbol_ratio": ("n_symbols", "word_chars", 0.10),
-    "repeat_ratio": ("n_repeat_words", "n_words", 0.20),
-    "dup_line_ratio": ("n_dup_lines", "n_lines", 0.30),
+    "symbol_ratio": ("n_symbols", "word_chars", 0.05),
+    "repeat_ratio": ("n_repeat_words", "n_words", 0.35),
+    "dup_line_ratio": ("n_dup_lines", "n_lines", 0.40),
     "word_length": ("word_chars", "n_words", 4.0),
 }
 COUNTS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_lines long"
