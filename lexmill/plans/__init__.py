@@ -1 +1,3 @@
 """Spark-native corpus building and auditing."""
+
+from . import audits as audits  # registers its queries
