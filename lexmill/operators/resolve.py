@@ -33,7 +33,7 @@ def consensus(labels: DataFrame) -> DataFrame:
     A grouped maximum and minimum per item replace a self join.
     """
     answer = F.when(F.col("record_type") == "annotation", F.col("annotator_decision"))
-    ruled = F.when((F.col("record_type") == "adjudication"), F.col("adjudicated_decision"))
+    ruled = F.when((F.col("record_type") == "annotation_adjudication"), F.col("adjudicated_decision"))
     per = labels.groupBy("annotation_item_id").agg(F.count(answer).alias("answers"), F.min(answer).alias("low"), F.max(answer).alias("high"), F.max(ruled).alias("ruled"), F.count(ruled).alias("rulings"))
     differ = F.col("low") != F.col("high")
     return per.where("answers > 0").select(

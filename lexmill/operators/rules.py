@@ -17,10 +17,14 @@ RIGHTS: tuple[Rule, ...] = (
     ("C9", "operation <> 'acquisition' or (acquisition_method is not null and acquisition_scope is not null)"),
     ("C10", "operation <> 'derivatives_release' or size(coalesce(derivative_scope, array())) > 0"),
     ("C11", "status <> 'conditional' or size(coalesce(rights_conditions, array())) > 0"),
+    ("C12", "basis_type <> 'lawful_access_research_assumption' or (status = 'conditional' and operation in ('acquisition', 'storage', 'evaluation', 'ml_training') and size(coalesce(rights_conditions, array())) > 0)"),
     ("C13", "basis_type <> 'unknown' or status in ('unknown', 'permission_required')"),
+    ("C14", "operation not in ('redistribution', 'derivatives_release', 'checkpoint_release') or status not in ('allowed', 'conditional') or basis_type in ('explicit_license', 'written_permission', 'contract', 'statutory_exception')"),
 )
 ARTIFACTS: tuple[Rule, ...] = (
     ("C6", "if(acquisition_status = 'retrieved', artifact_id is not null and sha256 is not null, artifact_id is null and sha256 is null and path is null and bytes is null and h2_input_sha256 is null)"),
+    ("C7", "processing_status <> 'eligible' or (size(retrievals) > 0 and size(rights_record_ids) > 0 and artifact_id rlike '^sha256:[0-9a-f]{64}' and length(artifact_id) = 71 and length(sha256) = 64 and length(path) > 0 and bytes >= 0 and acquisition_status = 'retrieved' and extraction_status = 'succeeded' and qa_status = 'passed' and error_code is null and error_detail is null)"),
+    ("C8", "content_role <> 'title_abstract' or processing_status <> 'eligible' or (length(h2_input_sha256) = 64 and length(label_leakage_audit_version) > 0 and label_leakage_audit_status = 'passed')"),
     ("V8", "artifact_id is null or artifact_id = concat('sha256:', sha256)"),
 )
 WORKS: tuple[Rule, ...] = (
@@ -33,16 +37,34 @@ FRAME: tuple[Rule, ...] = (
     ("C16", "size(search_basis) > 0 and size(query_refs) > 0 and size(array_distinct(query_refs)) = size(query_refs) and stratum_population_size >= 1 and inclusion_probability > 0 and inclusion_probability <= 1"),
 )
 _ANSWER = "annotator_id is not null and annotator_decision is not null and confidence is not null and decision_rationale is not null"
+_RULING = "adjudicator_id is not null and adjudication_reason is not null and annotator_id is null and grnti_assignment is null"
+_CLASSES = "('C1', 'C2', 'C3', 'C4', 'C5')"
 LABELS: tuple[Rule, ...] = (
     ("C17", "record_type <> 'grnti_assignment' or (grnti_assignment is not null and annotator_id is null and annotator_decision is null and adjudicator_id is null and adjudicated_decision is null)"),
     ("C19", "grnti_assignment is null or h2_class_id <=> element_at(map('29.05', 'C1', '29.15', 'C2', '29.19', 'C3', '29.27', 'C4', '29.33', 'C5'), regexp_extract(grnti_assignment.code, '^([0-9]{2}[.][0-9]{2})', 1))"),
     ("C20", "label_status <> 'eligible' or grnti_assignment is null or (label_verification_status = 'verified' and h2_class_id is not null and grnti_assignment.is_primary_explicit)"),
-    ("C21", f"record_type <> 'annotation' or ({_ANSWER} and grnti_assignment is null and adjudicator_id is null)"),
-    ("C22", "record_type <> 'adjudication' or (adjudicator_id is not null and adjudicated_decision is not null and adjudication_reason is not null and annotator_id is null and (adjudication_kind <> 'annotator_disagreement' or size(source_label_record_ids) = 2))"),
-    ("C23", "adjudicated_decision is null or h2_class_id <=> if(adjudicated_decision rlike '^C[1-5]$', adjudicated_decision, null)"),
-    ("C24", "adjudication_kind is null or adjudication_kind <> 'grnti_conflict' or (size(source_label_record_ids) >= 3 and evidence_bundle_sha256 is not null)"),
+    ("C18", "record_type <> 'grnti_assignment' or label_provenance = element_at(map('publisher', 'publisher_explicit_grnti', 'bibliographic_catalog', 'bibliographic_grnti'), grnti_assignment.assignment_source_type)"),
+    ("C21", f"record_type <> 'annotation' or ({_ANSWER} and grnti_assignment is null and adjudicator_id is null and h2_class_id is null and label_status = 'pending' and label_verification_status = 'pending' and label_provenance = 'none')"),
+    ("C22", f"record_type <> 'annotation_adjudication' or ({_RULING} and adjudicated_decision is not null and adjudication_kind = 'annotator_disagreement' and size(source_label_record_ids) = 2)"),
+    ("C23", f"record_type <> 'annotation_adjudication' or if(adjudicated_decision in {_CLASSES}, h2_class_id <=> adjudicated_decision and label_status = 'eligible', h2_class_id is null and label_status = element_at(map('OTHER', 'other_class', 'AMBIGUOUS', 'ambiguous_multilabel', 'INSUFFICIENT', 'insufficient'), adjudicated_decision))"),
+    ("C24", f"record_type <> 'grnti_conflict_resolution' or ({_RULING} and adjudicated_decision is null and adjudication_kind = 'grnti_conflict' and size(source_label_record_ids) >= 3 and evidence_bundle_sha256 is not null)"),
+    (
+        "C25",
+        f"record_type <> 'grnti_conflict_resolution' or case grnti_conflict_outcome when 'catalog_confirmed' then h2_class_id in {_CLASSES} and label_verification_status = 'verified' and label_status = 'eligible' "
+        "when 'catalog_rejected' then h2_class_id is null and label_verification_status = 'rejected' and label_status = 'conflict_excluded' "
+        "when 'unresolved_excluded' then h2_class_id is null and label_verification_status = 'conflict' and label_status = 'conflict_excluded' end",
+    ),
 )
 ANNOTATION_FORM: tuple[Rule, ...] = (("C26", "if(annotator_decision is null, confidence is null and decision_rationale is null and completed_at is null, confidence is not null and decision_rationale is not null and completed_at is not null)"),)
+_TWO_ANSWERS = "size(source_decisions) = 2 and forall(source_decisions, d -> d.record_type = 'annotation')"
+ADJUDICATION_FORM: tuple[Rule, ...] = (
+    (
+        "C27",
+        f"if(adjudication_kind = 'annotator_disagreement', {_TWO_ANSWERS} and size(coalesce(grnti_evidence, array())) = 0 and evidence_bundle_sha256 is null and adjudicated_decision is not null and grnti_conflict_outcome is null, "
+        f"(({_TWO_ANSWERS}) or (size(source_decisions) = 1 and source_decisions[0].record_type = 'annotation_adjudication')) and size(grnti_evidence) >= 2 and evidence_bundle_sha256 is not null and adjudicated_decision is null "
+        "and grnti_conflict_outcome in ('catalog_confirmed', 'catalog_rejected', 'unresolved_excluded'))",
+    ),
+)
 AUDIT_RUN: tuple[Rule, ...] = (("C28", "calibration_size = 30 and audit_size = 200 and size(annotator_ids) = 2 and size(array_distinct(annotator_ids)) = 2"),)
 WORKS_PROXY: tuple[Rule, ...] = (
     ("doc_id", "doc_id is not null"),

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from lexmill.operators import layout as L
 from lexmill.operators import resolve as R
-from lexmill.operators.rules import ANNOTATION_FORM, AUDIT_RUN, LABELS, violations
+from lexmill.operators.rules import ADJUDICATION_FORM, ANNOTATION_FORM, ARTIFACTS, AUDIT_RUN, LABELS, RIGHTS, violations
 
 
 def page(two_from=None, h=1650, w=1275):
@@ -44,7 +44,7 @@ def test_rights(spark):
 
 
 def test_consensus(spark):
-    rows = [("i1", "annotation", "C1", None), ("i1", "annotation", "C1", None), ("i2", "annotation", "C4", None), ("i2", "annotation", "C5", None), ("i2", "adjudication", None, "C4"), ("i3", "annotation", "C1", None), ("i3", "annotation", "C2", None)]
+    rows = [("i1", "annotation", "C1", None), ("i1", "annotation", "C1", None), ("i2", "annotation", "C4", None), ("i2", "annotation", "C5", None), ("i2", "annotation_adjudication", None, "C4"), ("i3", "annotation", "C1", None), ("i3", "annotation", "C2", None)]
     got = {r["annotation_item_id"]: (r["decision"], r["disagreement"], r["invalid"]) for r in R.consensus(spark.createDataFrame(rows, "annotation_item_id string, record_type string, annotator_decision string, adjudicated_decision string")).collect()}
     assert got == {"i1": ("C1", False, False), "i2": ("C4", True, False), "i3": (None, True, True)}
 
@@ -74,12 +74,35 @@ def test_label_rules(spark):
     run = spark.createDataFrame([("r", 30, 200, ["a", "a"])], "id string, calibration_size long, audit_size long, annotator_ids array<string>")
     assert [r["rule_id"] for r in violations(run, "id", AUDIT_RUN).collect()] == ["C28"]
     schema = (
-        "id string, record_type string, grnti_assignment struct<code:string,is_primary_explicit:boolean>, h2_class_id string, label_status string, label_verification_status string, annotator_id string, annotator_decision string,"
-        "confidence string, decision_rationale string, adjudicator_id string, adjudicated_decision string, adjudication_reason string, adjudication_kind string, source_label_record_ids array<string>, evidence_bundle_sha256 string"
+        "id string, record_type string, grnti_assignment struct<code:string,is_primary_explicit:boolean,assignment_source_type:string>, h2_class_id string, label_status string, label_verification_status string, annotator_id string, annotator_decision string,"
+        "confidence string, decision_rationale string, adjudicator_id string, adjudicated_decision string, adjudication_reason string, adjudication_kind string, source_label_record_ids array<string>, evidence_bundle_sha256 string,"
+        "label_provenance string, grnti_conflict_outcome string"
     )
-    code = ("g", "grnti_assignment", ("29.27.01", True), "C4", "eligible", "verified", *[None] * 10)
-    note = ("n", "annotation", None, None, "pending", None, "p", "C4", "high", "why", *[None] * 6)
-    rule = ("j", "adjudication", None, "C4", "excluded", None, None, None, None, None, "q", "C4", "why", "annotator_disagreement", ["a", "b"], None)
-    assert violations(spark.createDataFrame([code, note, rule], schema), "id", LABELS).count() == 0
-    wrong = [(*code[:3], "C5", *code[4:]), (*note[:8], None, *note[9:]), (*rule[:14], ["a"], None)]
-    assert sorted(r["rule_id"] for r in violations(spark.createDataFrame(wrong, schema), "id", LABELS).collect()) == ["C19", "C21", "C22"]
+    code = ("g", "grnti_assignment", ("29.27.01", True, "publisher"), "C4", "eligible", "verified", *[None] * 10, "publisher_explicit_grnti", None)
+    note = ("n", "annotation", None, None, "pending", "pending", "p", "C4", "high", "why", *[None] * 6, "none", None)
+    rule = ("j", "annotation_adjudication", None, "C4", "eligible", "verified", None, None, None, None, "q", "C4", "why", "annotator_disagreement", ["a", "b"], None, "expert_adjudicated", None)
+    other = (*rule[:3], None, "other_class", *rule[5:11], "OTHER", *rule[12:])
+    clash = ("k", "grnti_conflict_resolution", None, None, "conflict_excluded", "rejected", None, None, None, None, "q", None, "why", "grnti_conflict", ["a", "b", "c"], "e", "none", "catalog_rejected")
+    assert violations(spark.createDataFrame([code, note, rule, other, clash], schema), "id", LABELS).count() == 0
+    wrong = [(*code[:3], "C5", *code[4:]), (*code[:16], "bibliographic_grnti", None), (*note[:8], None, *note[9:]), (*rule[:14], ["a"], *rule[15:]), (*other[:4], "eligible", *other[5:]), (*clash[:14], ["a"], *clash[15:]), (*clash[:17], "catalog_confirmed")]
+    assert sorted(r["rule_id"] for r in violations(spark.createDataFrame(wrong, schema), "id", LABELS).collect()) == ["C18", "C19", "C21", "C22", "C23", "C24", "C25"]
+
+
+def test_rights_artifact_and_form_rules(spark):
+    rights = spark.createDataFrame(
+        [("a", "ml_training", "conditional", "lawful_access_research_assumption", ["c"]), ("b", "redistribution", "allowed", "lawful_access_research_assumption", []), ("c", "checkpoint_release", "allowed", "unknown", [])],
+        "id string, operation string, status string, basis_type string, rights_conditions array<string>",
+    ).selectExpr("*", "cast(null as string) as acquisition_method", "cast(null as string) as acquisition_scope", "cast(null as array<string>) as derivative_scope")
+    assert sorted((r["record_key"], r["rule_id"]) for r in violations(rights, "id", RIGHTS).collect()) == [("b", "C12"), ("b", "C14"), ("c", "C13"), ("c", "C14")]
+    sha = "0" * 64
+    good = ("a", "eligible", "retrieved", ["x"], ["r"], f"sha256:{sha}", sha, "p", 1, "succeeded", "passed", None, None, "title_abstract", sha, "v1", "passed")
+    schema = (
+        "id string, processing_status string, acquisition_status string, retrievals array<string>, rights_record_ids array<string>, artifact_id string, sha256 string, path string, bytes long, extraction_status string, qa_status string,"
+        "error_code string, error_detail string, content_role string, h2_input_sha256 string, label_leakage_audit_version string, label_leakage_audit_status string"
+    )
+    bad = [("b", *good[1:10], "failed", *good[11:]), ("c", *good[1:16], "failed")]
+    assert [(r["record_key"], r["rule_id"]) for r in violations(spark.createDataFrame([good, *bad], schema), "id", ARTIFACTS).collect()] == [("b", "C7"), ("c", "C8")]
+    schema = "id string, adjudication_kind string, source_decisions array<struct<record_type:string>>, grnti_evidence array<string>, evidence_bundle_sha256 string, adjudicated_decision string, grnti_conflict_outcome string"
+    two, one = [("annotation",)] * 2, [("annotation_adjudication",)]
+    forms = [("a", "annotator_disagreement", two, [], None, "C1", None), ("b", "grnti_conflict", one, ["x", "y"], "e", None, "catalog_rejected"), ("c", "grnti_conflict", [("annotation",)], ["x", "y"], "e", None, "catalog_rejected")]
+    assert [r["record_key"] for r in violations(spark.createDataFrame(forms, schema), "id", ADJUDICATION_FORM).collect()] == ["c"]

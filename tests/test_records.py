@@ -64,6 +64,8 @@ def test_rules(spark):
     rights = rights.withColumn("derivative_scope", F.array().cast("array<string>")).withColumn("rights_conditions", F.array().cast("array<string>"))
     assert sorted(r["rule_id"] for r in violations(rights, "id", RIGHTS).collect()) == ["C11", "C13", "C9"]
     artifacts = spark.createDataFrame([("k", "retrieved", "sha256:b", "a", "p", 1, "h")], "id string, acquisition_status string, artifact_id string, sha256 string, path string, bytes long, h2_input_sha256 string")
+    lists, texts = ("retrievals", "rights_record_ids"), ("extraction_status", "qa_status", "error_code", "error_detail", "label_leakage_audit_version", "label_leakage_audit_status")
+    artifacts = artifacts.withColumns({c: F.array().cast("array<string>") for c in lists} | {c: F.lit(None).cast("string") for c in texts} | {"processing_status": F.lit("pending"), "content_role": F.lit("full_text")})
     assert [r["rule_id"] for r in violations(artifacts, "id", ARTIFACTS).collect()] == ["V8"]
     lines = spark.createDataFrame([('{"a":1}',), ('{"a":1,"b":2}',), ('{"a":1,"b":2,"c":3}',), ("{",)], "value string")
     assert unexpected_keys(lines, ("a", "b")).count() == 3
