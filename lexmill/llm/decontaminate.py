@@ -4,10 +4,14 @@ Tokens lose outer punctuation and case; numbers, names (capitalised words that
 don't open a sentence) and units after a number become typed placeholders.
 Windows of WINDOW template tokens are hashed and joined with those of the
 benchmark.  A window with few literal tokens keeps its raw tokens instead,
-so that a run of numbers matches only the same numbers.  On each diagonal (document
-position minus item position) the slots must be consistent: one benchmark value
-stands for one document value.  A consistent diagonal that covers enough of an
-item is a leak, re-parameterised if any slot differs.
+so that a run of numbers matches only the same numbers.  In each run of overlapping
+windows on a diagonal (document position minus item position) the slots must be
+consistent: one benchmark value stands for one document value.  Of an inconsistent
+run only the windows with equal raw tokens count.  Diagonals at most WINDOW apart
+are added up, so inserted, lost and changed words split nothing: if the windows
+that count cover enough of the item's tokens, it is a leak, re-parameterised if any
+slot differs.  Items of 2 * WINDOW - 1 or 2 * WINDOW tokens have windows one token
+shorter, so that one changed word in their middle leaves windows on both sides.
 
 The benchmark's hashes go to the tasks only while they are fewer than
 MAX_SENT_WINDOWS; beyond that all windows of the documents are joined by shuffle.
@@ -26,7 +30,7 @@ from .common import BYTE_TABLE, Pack, arrow_rows, cut, mix64, powers, rolled, te
 
 WINDOW = 8
 MIN_LITERALS = 4
-#: A leak covers this share of an item's windows, or so many windows in all.
+#: A leak covers more than this share of an item's tokens, or so many windows in all.
 MIN_SHARE, MIN_RUN = 0.5, 6
 MAX_SENT_WINDOWS = 2_000_000
 #: Units of measurement, lower case.
@@ -93,18 +97,28 @@ class Template:
         token = np.where(number, NUMBER, np.where(unit, UNIT, np.where(name, NAME, raw_hash)))
         self.start, self.end, self.doc = s, e, doc
         self.slot = number | unit | name
-        literal = np.concatenate(([0], np.cumsum(~self.slot)))
-        w = max(0, len(s) - WINDOW + 1)
-        inside = doc[:w] == doc[WINDOW - 1 :] if w else np.zeros(0, bool)
-        enough = literal[WINDOW : WINDOW + w] - literal[:w] >= MIN_LITERALS
-        keys = np.where(enough, rolled(token, WINDOW), rolled(raw_hash, WINDOW) ^ np.uint64(1)) if w else np.zeros(0, np.uint64)
-        self.at = np.flatnonzero(inside)
-        self.keys = keys[self.at]
-        counts = np.bincount(doc, minlength=len(texts))
-        self.first = np.concatenate(([0], np.cumsum(counts)))[:-1]
+        self.token, self.raw_hash = token, raw_hash
+        self.literal = np.concatenate(([0], np.cumsum(~self.slot)))
+        self.counts = np.bincount(doc, minlength=len(texts))
+        self.first = np.concatenate(([0], np.cumsum(self.counts)))[:-1]
 
-    def slots(self, at: int) -> list[str]:
-        return [self.pack.raw[self.start[k] : self.end[k]].decode("utf-8", "replace").lower() if self.slot[k] else "" for k in range(at, at + WINDOW)]
+    def windows(self, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """First token, number of tokens and key of the windows of `size` tokens."""
+        w = max(0, len(self.start) - size + 1)
+        if not w:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        enough = self.literal[size : size + w] - self.literal[:w] >= MIN_LITERALS
+        keys = np.where(enough, rolled(self.token, size), rolled(self.raw_hash, size) ^ np.uint64(1))
+        at = np.flatnonzero(self.doc[:w] == self.doc[size - 1 :])
+        return at, np.full(len(at), size), keys[at]
+
+    def slots(self, at: int, size: int) -> list[str]:
+        return [self.pack.raw[self.start[k] : self.end[k]].decode("utf-8", "replace").lower() if self.slot[k] else "" for k in range(at, at + size)]
+
+
+def sizes_of(n: np.ndarray) -> np.ndarray:
+    """Window size of items of n tokens."""
+    return np.where((n == 2 * WINDOW - 1) | (n == 2 * WINDOW), WINDOW - 1, WINDOW)
 
 
 _units: list[np.ndarray] = []
@@ -117,64 +131,116 @@ def unit_hashes() -> np.ndarray:
     return _units[0]
 
 
-def _windows(batch: pa.RecordBatch, wanted: np.ndarray | None) -> pa.RecordBatch:
-    """(id, key, pos, slots) of each window, or only of those whose key is wanted (sorted)."""
+def _windows(batch: pa.RecordBatch, wanted: np.ndarray | None, sizes: tuple[int, ...] | None) -> pa.RecordBatch:
+    """(id, key, pos, size, base, n, slots) of each window of `sizes`, or only of those whose key is wanted (sorted).
+
+    Without `sizes` each text has windows of its own base size.  n is the number of tokens of the text.
+    """
     t = Template(texts_of(batch))
-    pick = np.arange(len(t.keys))
-    if wanted is not None:
-        maybe = _bitmap(wanted)[t.keys >> np.uint64(44)]
-        pick = pick[maybe]
-        if len(wanted):
-            k = np.minimum(np.searchsorted(wanted, t.keys[pick]), len(wanted) - 1)
-            pick = pick[wanted[k] == t.keys[pick]]
-    rows = t.doc[t.at[pick]]
+    own = sizes_of(t.counts)
+    found = []
+    for base in sizes or np.unique(own[t.counts > 0]).tolist():
+        at, size, keys = t.windows(base)
+        if sizes is None:
+            mine = own[t.doc[at]] == base
+            at, size, keys = at[mine], size[mine], keys[mine]
+        if wanted is not None:
+            pick = np.flatnonzero(_bitmap(wanted)[keys >> np.uint64(44)])
+            if len(wanted):
+                k = np.minimum(np.searchsorted(wanted, keys[pick]), len(wanted) - 1)
+                pick = pick[wanted[k] == keys[pick]]
+            at, size, keys = at[pick], size[pick], keys[pick]
+        found.append((at, size, keys, np.full(len(at), base)))
+    none = np.zeros(0, np.int64)
+    at, size, keys, base = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (none, none, none.view(np.uint64), none)
+    rows = t.doc[at]
     return pa.RecordBatch.from_arrays(
         [
             batch.column(0).take(pa.array(rows)),
-            pa.array(t.keys[pick].view(np.int64)),
-            pa.array(t.at[pick] - t.first[rows], pa.int64()),
-            pa.array([t.slots(k) for k in t.at[pick]], pa.list_(pa.string())),
+            pa.array(keys.view(np.int64)),
+            pa.array(at - t.first[rows], pa.int64()),
+            pa.array(size, pa.int64()),
+            pa.array(base, pa.int64()),
+            pa.array(t.counts[rows], pa.int64()),
+            pa.array([t.slots(k, n) for k, n in zip(at, size, strict=True)], pa.list_(pa.string())),
         ],
-        names=["id", "key", "pos", "slots"],
+        names=["id", "key", "pos", "size", "base", "n", "slots"],
     )
 
 
-_maps: dict[int, np.ndarray] = {}
+_maps: list[tuple[np.ndarray, np.ndarray]] = []
 
 
 def _bitmap(wanted: np.ndarray) -> np.ndarray:
-    if id(wanted) not in _maps:
-        _maps.clear()
+    if not _maps or _maps[0][0] is not wanted:  # a worker outlives its query, so an id() may come again
         bits = np.zeros(1 << 20, bool)
         bits[wanted >> np.uint64(44)] = True
-        _maps[id(wanted)] = bits
-    return _maps[id(wanted)]
+        _maps[:] = [(wanted, bits)]
+    return _maps[0][1]
 
 
-def windows(texts: DataFrame, wanted: np.ndarray | None = None) -> DataFrame:
+def windows(texts: DataFrame, wanted: np.ndarray | None = None, sizes: tuple[int, ...] | None = None) -> DataFrame:
     """texts: id, text."""
-    return texts.mapInArrow(arrow_rows(partial(_windows, wanted=wanted)), "id long, key long, pos long, slots array<string>")
+    return texts.mapInArrow(arrow_rows(partial(_windows, wanted=wanted, sizes=sizes)), "id long, key long, pos long, size long, base long, n long, slots array<string>")
+
+
+def _counting(hits: dict[int, tuple[int, list[str], list[str]]]) -> list[tuple[int, int, bool]]:
+    """(first token, end, differs) of the windows of one diagonal that count; hits: by item position, size and slots of both."""
+    out, run, end = [], [], -1
+    for pos in [*sorted(hits), None]:
+        if run and (pos is None or pos >= end):
+            pairs = {p for _, _, i, d in run for p in zip(i, d, strict=True) if p[0]}
+            consistent = len(pairs) == len({i for i, _ in pairs})
+            out += [(a, b, i != d) for a, b, i, d in run if consistent or i == d]
+            run = []
+        if pos is not None:
+            size, i, d = hits[pos]
+            run.append((pos, pos + size, i, d))
+            end = max(end, pos + size)
+    return out
+
+
+def _judge(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+    """The leak of one item in one document, if it is one."""
+    n = table.column("n")[0].as_py()
+    diagonals: dict[int, dict[int, tuple[int, list[str], list[str]]]] = {}
+    for pos, diagonal, *hit in zip(*(table.column(c).to_pylist() for c in ("item_pos", "diagonal", "size", "item_slots", "slots")), strict=True):
+        held = diagonals.setdefault(diagonal, {})
+        held[pos] = min(held.get(pos, tuple(hit)), tuple(hit))
+    groups: list[list[tuple[int, int, bool]]] = []
+    last = None
+    for diagonal in sorted(diagonals):
+        good = _counting(diagonals[diagonal])
+        if not good:
+            continue
+        if last is None or diagonal - last > WINDOW:
+            groups.append([])
+        groups[-1] += good
+        last = diagonal
+    leaked = []
+    for group in groups:
+        n_windows = len({a for a, _, _ in group})
+        share = len({k for a, b, _ in group for k in range(a, b)}) / n
+        if share > MIN_SHARE or n_windows >= MIN_RUN:
+            leaked.append((n_windows, share, any(differs for _, _, differs in group)))
+    rows = [(key[0].as_py(), key[1].as_py(), max(x[0] for x in leaked), max(x[1] for x in leaked), min(x[2] for x in leaked))] if leaked else []
+    types = (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.bool_())
+    return pa.table([pa.array([r[k] for r in rows], t) for k, t in enumerate(types)], names=["doc_id", "item_id", "n_windows", "share", "reparameterised"])
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, item_id, n_windows, share, reparameterised), a row per leaked item of a document."""
     items = cut(windows(benchmark.select(F.col("item_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))).where("id is not null").withColumnsRenamed({"id": "item_id", "pos": "item_pos", "slots": "item_slots"}))
-    sizes = items.groupBy("item_id").agg(F.max("item_pos").alias("last"))
+    bases = tuple(sorted(r["base"] for r in items.select("base").distinct().collect())) or (WINDOW,)
     n_keys = items.agg(F.count(F.lit(1)).alias("n")).first()["n"]
     wanted = None
     if n_keys <= MAX_SENT_WINDOWS:
         wanted = np.unique(np.array([r["key"] for r in items.select("key").distinct().toLocalIterator()], np.int64).view(np.uint64))
-    found = windows(docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text")), wanted).where("id is not null")
-    side = F.broadcast(items) if wanted is not None else items
-    hits = found.join(side, "key").select(F.col("id").alias("doc_id"), "item_id", "item_pos", (F.col("pos") - F.col("item_pos")).alias("diagonal"), F.arrays_zip(F.col("item_slots").alias("i"), F.col("slots").alias("d")).alias("pairs"))
-    diagonal = ["doc_id", "item_id", "diagonal"]
-    hits = cut(hits.groupBy(*diagonal, "item_pos").agg(F.min("pairs").alias("pairs")))
-    values = hits.select(*diagonal, F.explode("pairs").alias("p")).where("p.i <> ''").groupBy(*diagonal, "p.i").agg(F.count_distinct("p.d").alias("n"), F.max(F.col("p.i") != F.col("p.d")).alias("differs"))
-    slots = values.groupBy(*diagonal).agg(F.max("n").alias("values"), F.max("differs").alias("differs"))
-    runs = hits.groupBy(*diagonal).agg(F.count(F.lit(1)).alias("n_windows"))
-    judged = runs.join(slots, diagonal, "left").join(sizes, "item_id").withColumn("share", F.col("n_windows") / (F.col("last") + 1))
-    good = judged.where(F.expr(f"coalesce(values, 1) = 1 and (share >= {MIN_SHARE} or n_windows >= {MIN_RUN})"))
-    return good.groupBy("doc_id", "item_id").agg(F.max("n_windows").alias("n_windows"), F.max("share").alias("share"), F.min(F.coalesce("differs", F.lit(False))).alias("reparameterised"))
+    found = windows(docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text")), wanted, bases).where("id is not null").select(F.col("id").alias("doc_id"), "key", "pos", "size", "slots")
+    side = items.select("item_id", "key", "item_pos", "size", "n", "item_slots")
+    hits = found.join(F.broadcast(side) if wanted is not None else side, ["key", "size"])
+    hits = hits.select("doc_id", "item_id", "item_pos", (F.col("pos") - F.col("item_pos")).alias("diagonal"), "size", "n", "item_slots", "slots")
+    return hits.groupBy("doc_id", "item_id").applyInArrow(_judge, "doc_id long, item_id long, n_windows long, share double, reparameterised boolean")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -201,3 +201,19 @@ def test_components_of_long_chain(spark):
     edges = spark.createDataFrame([(k, k + 1) for k in range(60)] + [(100, 101), (5, 5)], "a long, b long")
     got = {r["node"]: r["root"] for r in components(edges).collect()}
     assert got == {**{k: 0 for k in range(1, 61)}, 101: 100}
+
+
+def leaked(spark, item, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = by_id(decontaminate.decontaminate(docs, spark.createDataFrame([(9, item)], "item_id long, text string")))
+    return [(got[k]["contaminated"], got[k]["reparameterised"]) for k in range(len(texts))]
+
+
+def test_leaks_with_a_changed_value_or_word(spark):
+    words = [f"{a}{b}" for a in ("ka", "lo", "mi", "nu", "pe", "ri") for b in ("ba", "do", "fe", "gi", "hu", "jo", "ky", "la", "ma", "no")]
+    long = words[:20] + ["12"] + words[21:40] + ["12"] + words[41:]
+    assert leaked(spark, " ".join(long), [" ".join(long[:20] + ["13"] + long[21:]), " ".join(w.replace("12", "13") for w in long), " ".join(long[:12])]) == [(True, False), (True, True), (False, False)]
+    for n in range(15, 22):
+        item = words[:n]
+        texts = [" ".join(["before", *item[:k], *new, *item[k + 1 :], "after"]) for k in range(n) for new in (["other"], [], [item[k], "more"])]
+        assert leaked(spark, " ".join(item), texts) == [(True, False)] * len(texts)
