@@ -3,8 +3,11 @@
 Tokens lose outer punctuation and case; numbers, names (capitalised words that
 don't open a sentence) and units after a number become typed placeholders.
 Windows of WINDOW template tokens are hashed and joined with those of the
-benchmark.  A window with few literal tokens keeps its raw tokens instead,
-so that a run of numbers matches only the same numbers.  In each run of overlapping
+benchmark.  A window with few literal tokens has two hashes: that of its raw tokens,
+so that a run of numbers matches the same numbers, and that of the template of the
+shortest longer window with MIN_LITERALS literal tokens.  An item shorter than WINDOW
+is one window, matched by its raw tokens and, with the same share of literal tokens,
+by its template.  In each run of overlapping
 windows on a diagonal (document position minus item position) the slots must be
 consistent: one benchmark value stands for one document value.  Of an inconsistent
 run only the windows with equal raw tokens count.  Diagonals at most WINDOW apart
@@ -90,7 +93,7 @@ class Template:
         prefix = np.zeros(n + 1, np.uint64)
         np.cumsum(BYTE_TABLE[low] * powers(n + 1)[0][:n], out=prefix[1:])
         raw_hash = mix64((prefix[e] - prefix[s]) * pack.inverse[s]) if len(s) else np.zeros(0, np.uint64)
-        number = _DIGIT[pack.bytes[s]] if len(s) else np.zeros(0, bool)
+        number = self._numbers(s, e)
         name = (capital[s] & ~opens) if len(s) else np.zeros(0, bool)
         unit = np.zeros(len(s), bool)
         unit[1:] = number[:-1] & (doc[1:] == doc[:-1]) & np.isin(raw_hash[1:], unit_hashes())
@@ -102,15 +105,38 @@ class Template:
         self.counts = np.bincount(doc, minlength=len(texts))
         self.first = np.concatenate(([0], np.cumsum(self.counts)))[:-1]
 
+    def _numbers(self, s: np.ndarray, e: np.ndarray) -> np.ndarray:
+        """Tokens that begin with a digit, after a currency sign or not."""
+        if not len(s):
+            return np.zeros(0, bool)
+        raw = np.concatenate((self.pack.bytes, np.zeros(4, np.uint8)))
+        skip = np.where(raw[s] == 0x24, 1, 0)  # $
+        skip[(raw[s] == 0xC2) & ((raw[s + 1] == 0xA3) | (raw[s + 1] == 0xA5))] = 2  # pound, yen
+        skip[(raw[s] == 0xE2) & (raw[s + 1] == 0x82) & (raw[s + 2] == 0xAC)] = 3  # euro
+        skip[(skip > 0) & ((raw[s + skip] == 0x2E) | (raw[s + skip] == 0x2D))] += 1  # $.50, $-3
+        return _DIGIT[raw[s + skip]] & (s + skip < e)
+
     def windows(self, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """First token, number of tokens and key of the windows of `size` tokens."""
+        """First token, number of tokens and key of the windows of `size` tokens, slot-dense ones also longer."""
         w = max(0, len(self.start) - size + 1)
         if not w:
             return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
-        enough = self.literal[size : size + w] - self.literal[:w] >= MIN_LITERALS
-        keys = np.where(enough, rolled(self.token, size), rolled(self.raw_hash, size) ^ np.uint64(1))
+        literals = self.literal[size : size + w] - self.literal[:w]
         at = np.flatnonzero(self.doc[:w] == self.doc[size - 1 :])
-        return at, np.full(len(at), size), keys[at]
+        enough = WINDOW * literals[at] >= MIN_LITERALS * size
+        plain = at[enough]
+        raw = at if size < WINDOW - 1 else at[~enough]  # a short item has no other window that could match
+        found = [(plain, np.full(len(plain), size), rolled(self.token, size)[plain]), (raw, np.full(len(raw), size), rolled(self.raw_hash, size)[raw] ^ np.uint64(1))]
+        dense = at[~enough]
+        if size >= WINDOW - 1 and len(dense):
+            end = np.searchsorted(self.literal, self.literal[dense] + MIN_LITERALS)
+            last = self.first[self.doc[dense]] + self.counts[self.doc[dense]]
+            dense, end = dense[end <= last], end[end <= last]
+            power, inverse = powers(len(self.token) + 1)
+            prefix = np.zeros(len(self.token) + 1, np.uint64)
+            np.cumsum(self.token * power[:-1], out=prefix[1:])
+            found.append((dense, end - dense, mix64((prefix[end] - prefix[dense]) * inverse[dense]) ^ np.uint64(2)))
+        return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
     def slots(self, at: int, size: int) -> list[str]:
         return [self.pack.raw[self.start[k] : self.end[k]].decode("utf-8", "replace").lower() if self.slot[k] else "" for k in range(at, at + size)]
@@ -118,7 +144,7 @@ class Template:
 
 def sizes_of(n: np.ndarray) -> np.ndarray:
     """Window size of items of n tokens."""
-    return np.where((n == 2 * WINDOW - 1) | (n == 2 * WINDOW), WINDOW - 1, WINDOW)
+    return np.where((n == 2 * WINDOW - 1) | (n == 2 * WINDOW), WINDOW - 1, np.minimum(n, WINDOW))
 
 
 _units: list[np.ndarray] = []
@@ -184,29 +210,30 @@ def windows(texts: DataFrame, wanted: np.ndarray | None = None, sizes: tuple[int
     return texts.mapInArrow(arrow_rows(partial(_windows, wanted=wanted, sizes=sizes)), "id long, key long, pos long, size long, base long, n long, slots array<string>")
 
 
-def _counting(hits: dict[int, tuple[int, list[str], list[str]]]) -> list[tuple[int, int, bool]]:
-    """(first token, end, differs) of the windows of one diagonal that count; hits: by item position, size and slots of both."""
+def _counting(hits: dict[tuple[int, int], tuple[list[str], list[str]]]) -> list[tuple[int, int, bool]]:
+    """(first token, end, differs) of the windows of one diagonal that count; hits: slots of both, by item position and size."""
     out, run, end = [], [], -1
-    for pos in [*sorted(hits), None]:
-        if run and (pos is None or pos >= end):
-            pairs = {p for _, _, i, d in run for p in zip(i, d, strict=True) if p[0]}
+    for at in [*sorted(hits), None]:
+        if run and (at is None or at[0] >= end):
+            each = [{p for p in zip(i, d, strict=True) if p[0] and p[1]} for _, _, i, d in run]  # with equal raw tokens, one side's name may open a sentence on the other
+            differs = [any(i != d for i, d in pairs) for pairs in each]
+            pairs = set().union(*each)
             consistent = len(pairs) == len({i for i, _ in pairs})
-            out += [(a, b, i != d) for a, b, i, d in run if consistent or i == d]
+            out += [(a, b, other) for (a, b, _, _), other in zip(run, differs, strict=True) if consistent or not other]
             run = []
-        if pos is not None:
-            size, i, d = hits[pos]
-            run.append((pos, pos + size, i, d))
-            end = max(end, pos + size)
+        if at is not None:
+            run.append((at[0], sum(at), *hits[at]))
+            end = max(end, sum(at))
     return out
 
 
 def _judge(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     """The leak of one item in one document, if it is one."""
     n = table.column("n")[0].as_py()
-    diagonals: dict[int, dict[int, tuple[int, list[str], list[str]]]] = {}
-    for pos, diagonal, *hit in zip(*(table.column(c).to_pylist() for c in ("item_pos", "diagonal", "size", "item_slots", "slots")), strict=True):
+    diagonals: dict[int, dict[tuple[int, int], tuple[list[str], list[str]]]] = {}
+    for pos, diagonal, size, *hit in zip(*(table.column(c).to_pylist() for c in ("item_pos", "diagonal", "size", "item_slots", "slots")), strict=True):
         held = diagonals.setdefault(diagonal, {})
-        held[pos] = min(held.get(pos, tuple(hit)), tuple(hit))
+        held[pos, size] = min(held.get((pos, size), tuple(hit)), tuple(hit))
     groups: list[list[tuple[int, int, bool]]] = []
     last = None
     for diagonal in sorted(diagonals):
@@ -247,8 +274,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per input row: doc_id, contaminated, n_items, item_ids, reparameterised.
 
     docs: doc_id, text; benchmark: item_id, text; further columns are ignored.
-    Null or short texts (fewer than WINDOW tokens) match nothing; a null doc_id
-    or item_id never matches.  Rows that share a doc_id are one document.
+    Null texts and texts without a token match nothing; an item of fewer than WINDOW
+    tokens, even of one, matches wherever it stands whole; a null doc_id or item_id never matches.  Rows that share a doc_id are one document.
     Repeated items count once per item_id.  Empty tables give no leak.
     """
     per_doc = leaks(docs, benchmark).groupBy("doc_id").agg(F.sort_array(F.collect_set("item_id")).alias("item_ids"), F.max("reparameterised").alias("reparameterised"))

@@ -217,3 +217,14 @@ def test_leaks_with_a_changed_value_or_word(spark):
         item = words[:n]
         texts = [" ".join(["before", *item[:k], *new, *item[k + 1 :], "after"]) for k in range(n) for new in (["other"], [], [item[k], "more"])]
         assert leaked(spark, " ".join(item), texts) == [(True, False)] * len(texts)
+
+
+def test_leaks_of_short_money_and_dense_items(spark):
+    yes, other, no = (True, False), (True, True), (False, False)
+    assert leaked(spark, "Anna bought seven red apples.", ["They say that Anna bought seven red apples. So it is.", "Anna bought seven green apples."]) == [yes, no]
+    assert leaked(spark, "What is 12 + 15?", ["Tell me: What is 12 + 15? Now.", "Tell me: What is 13 + 15? Now."]) == [yes, other]
+    assert leaked(spark, "12 x 15?", ["Tell me 12 x 15 now.", "Tell me 13 x 15 now."]) == [yes, no]
+    money = "The lamp costs $12 while the chair costs $30, so both of them together cost $42."
+    assert leaked(spark, money, [money.replace("12", "17").replace("30", "40").replace("$42", "€57"), money]) == [other, yes]
+    dense = "Take 1 2 3 4 5 6 7 8 9 10 and then add 11 12 13 14 15 16 to them all."
+    assert leaked(spark, dense, [" ".join(w if not w.isdigit() else str(int(w) + 50) for w in dense.split()), dense, "Take 1 2 3 4 5"]) == [other, yes, no]
