@@ -260,12 +260,13 @@ def _pieces(ids: list[int], texts: list[bytes]):
 
 
 def _chunk(left: pa.Table, right: pa.Table) -> tuple[list[int], list[bytes]]:
-    """doc_ids and texts of a chunk that stand for their class, in order."""
+    """doc_ids and texts of a chunk that stand for their class, in order, each once."""
     if not left.num_rows or not right.num_rows:  # an empty side comes without columns
         return [], []
-    rep = set(right.column("rep").drop_null().to_pylist())
-    rows = {(i, t) for i, t in zip(left.column("doc_id").to_pylist(), left.column("text").cast(pa.large_binary()).to_pylist(), strict=True) if i in rep}
-    rows = sorted(r for r in rows if len(r[1]) >= WIDTH)
+    rep = {(i, s) for i, s in zip(right.column("rep").to_pylist(), right.column("sha").to_pylist(), strict=True) if i is not None}
+    many = {i for i, _ in rep}
+    rows = {(i, t) for i, t in zip(left.column("doc_id").to_pylist(), left.column("text").cast(pa.large_binary()).to_pylist(), strict=True) if i in many}
+    rows = sorted(r for r in rows if len(r[1]) >= WIDTH and (r[0], hashlib.sha256(r[1]).hexdigest()) in rep)
     return [r[0] for r in rows], [r[1] for r in rows]
 
 
@@ -392,7 +393,7 @@ def _find_owners(table: pa.Table) -> pa.Table:
 
 
 def _cut_texts(key, left: pa.Table, right: pa.Table) -> pa.Table:
-    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of the texts that stand for their class."""
+    """(doc_id, sha, n_removed, n_spans, kept_sha256) of the texts that stand for their class."""
     ids, texts, known, where = _shared_runs(left, right)
     owned: dict[int, list[tuple[int, int, int]]] = {}
     for blob in right.column("owners").to_pylist() if texts else ():
@@ -417,10 +418,10 @@ def _cut_texts(key, left: pa.Table, right: pa.Table) -> pa.Table:
             kept.update(text[at:a])
             at = b
         kept.update(text[at:])
-        rows.append((doc, len(text), sum(b - a for a, b in merged), len(merged), kept.hexdigest()))
+        rows.append((doc, hashlib.sha256(text).hexdigest(), sum(b - a for a, b in merged), len(merged), kept.hexdigest()))
     cols = list(zip(*rows, strict=True)) if rows else [[]] * 5
-    types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string())
-    return pa.table([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+    types = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string())
+    return pa.table([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=["doc_id", "sha", "n_removed", "n_spans", "kept_sha256"])
 
 
 # ------------------------------------------------------------------ operator
@@ -445,18 +446,20 @@ def dedup(docs: DataFrame) -> DataFrame:
     chunk = F.pmod(F.xxhash64("doc_id"), F.lit(chunks)).alias("chunk")
     texts = source.where(f"doc_id is not null and octet_length(text) >= {WIDTH}").select(chunk, "doc_id", "text").groupBy("chunk")
     none = F.lit(None).cast("binary")
-    flags = info.where(f"n_bytes >= {WIDTH} and doc_id = first").select(chunk, F.col("doc_id").alias("rep"), none.alias("keys"), none.alias("owners"))
+    flags = info.where(f"n_bytes >= {WIDTH} and doc_id = first").select(chunk, F.col("doc_id").alias("rep"), "sha", none.alias("keys"), none.alias("owners"))
 
     def told(rows: DataFrame):
         return rows.groupBy("chunk")
 
     sent = texts.cogroup(told(flags)).applyInArrow(partial(_send_keys, parts=parts), "part int, chunk long, keys binary")
     replies = cut(sent.groupBy("part").applyInArrow(_reply_keys, "chunk long, keys binary"))
-    control = flags.unionByName(replies.select("chunk", F.lit(None).cast("long").alias("rep"), "keys", none.alias("owners")))
+    control = flags.unionByName(replies.select("chunk", F.lit(None).cast("long").alias("rep"), F.lit(None).cast("string").alias("sha"), "keys", none.alias("owners")))
     segments = texts.cogroup(told(control)).applyInArrow(partial(_send_segments, parts=parts), "part int, chunk long, anchors binary, numbers binary, segments binary")
     found = cut(segments.groupBy("part").applyInArrow(_find_owners, "chunk long, owners binary"))
-    control = control.unionByName(found.select("chunk", F.lit(None).cast("long").alias("rep"), none.alias("keys"), "owners"))
-    done = texts.cogroup(told(control)).applyInArrow(_cut_texts, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    control = control.unionByName(found.select("chunk", F.lit(None).cast("long").alias("rep"), F.lit(None).cast("string").alias("sha"), none.alias("keys"), "owners"))
+    done = texts.cogroup(told(control)).applyInArrow(_cut_texts, "doc_id long, sha string, n_removed long, n_spans long, kept_sha256 string")
+    # the row that stands for a class may be repeated: every input row gets the verdict
+    done = info.where(f"n_bytes >= {WIDTH} and doc_id = first").select("doc_id", "sha", "n_bytes").join(done, ["doc_id", "sha"]).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
     whole = info.where(f"n_bytes < {WIDTH} or doc_id is null").select("doc_id", "n_bytes", F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"), F.col("sha").alias("kept_sha256"))
     copies = info.where(f"n_bytes >= {WIDTH} and doc_id <> first").select("doc_id", "n_bytes", F.col("n_bytes").alias("n_removed"), F.lit(1).cast("long").alias("n_spans"), F.sha2(F.lit(""), 256).alias("kept_sha256"))
     return done.unionByName(whole).unionByName(copies)

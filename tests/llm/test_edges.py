@@ -97,6 +97,15 @@ def test_suffix_values(spark):
     assert got[3]["n_bytes"] == 0 and got[5]["n_removed"] == 0
 
 
+def test_suffix_gives_every_row_once(spark):
+    other = " ".join(f"other{k}" for k in range(80))
+    rows = [(1, WORDS), (1, WORDS), (2, WORDS), (2, other), (2, other), (3, other), (None, WORDS), (4, "short"), (4, "short")]
+    out = suffix.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    got = sorted((r["doc_id"] or 0, r["n_bytes"], r["n_removed"]) for r in out)
+    w, o = len(WORDS), len(other)
+    assert got == sorted([(1, w, 0), (1, w, 0), (2, w, w), (2, o, 0), (2, o, 0), (3, o, o), (0, w, 0), (4, 5, 0), (4, 5, 0)])
+
+
 def test_secret_values_and_masking(spark):
     got = by_id(secrets.scan(documents(spark)))[11]
     assert (got["n_assign"], got["n_access"], got["n_hex"]) == (1, 1, 1)
