@@ -2,10 +2,11 @@
 
 A source of weight w owes its j-th block (from 0) not before slot floor(j / w)
 and before slot ceil((j + 1) / w).  In every slot the released block with the
-earliest deadline goes out.  With weights as whole parts of a PERIOD the
-schedule repeats after PERIOD slots, so one period is computed on the driver,
-whose size depends on the resolution and the number of sources alone, and the
-slot of any block of any source follows by arithmetic.
+earliest deadline goes out.  The weights are taken exactly (a float is a ratio of
+whole numbers), and the driver schedules every block there is, so that no source
+is ever a block or more away from its target, however many blocks there are.  That costs
+the driver some microseconds and 8 bytes a block; the slots go to the tasks in
+lists of SLOTS.
 
 Ranks inside a source need no global sort: rows are dealt into BUCKETS hashed
 buckets per source, a bucket's rank offset is a running sum over bucket counts,
@@ -15,14 +16,20 @@ and only the rows of one bucket are sorted together.
 from __future__ import annotations
 
 import heapq
-from math import ceil
+from array import array
+from fractions import Fraction
+from math import ceil, lcm
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 BUCKETS = 4096
 BLOCK_ROWS = 16
 RESOLUTION = 1000
+#: Slots of consecutive blocks of a source that go to the tasks as one row.
+SLOTS = 512
 #: The list of sources is held on the driver; more than this many is an error.
 MAX_SOURCES = 100_000
 #: Target weights go as this power of the rows, where none are given.
@@ -66,7 +73,43 @@ def schedule(parts: dict) -> dict:
     return slots
 
 
-def mix(docs: DataFrame, weights: dict | None = None, block_rows: int = BLOCK_ROWS, resolution: int = RESOLUTION, columns: tuple[str, ...] | None = None) -> DataFrame:
+def exact_parts(weights: dict) -> dict:
+    """Whole numbers in exactly the proportion of the weights."""
+    ratios = {s: Fraction(w) for s, w in weights.items()}
+    scale = lcm(*(r.denominator for r in ratios.values()))
+    return {s: r.numerator * (scale // r.denominator) for s, r in ratios.items()}
+
+
+def schedule_blocks(parts: dict, blocks: dict) -> dict:
+    """The slots of the first `blocks` blocks of each source, earliest deadline first.
+
+    Until the first source is through, a block is released in every slot; after
+    that the clock jumps to the next release where none is, and no slot stays empty.
+    """
+    total = sum(parts.values())
+    names = sorted(parts, key=str)
+    share, left = [parts[s] for s in names], [blocks[s] for s in names]
+    slots = [array("q") for _ in names]
+    waiting = [(0, -(-total // p), k) for k, p in enumerate(share) if left[k]]
+    heapq.heapify(waiting)
+    ready: list[tuple[int, int]] = []
+    slot = now = 0
+    while waiting or ready:
+        if not ready:
+            now = max(now, waiting[0][0])
+        while waiting and waiting[0][0] <= now:
+            _, deadline, k = heapq.heappop(waiting)
+            heapq.heappush(ready, (deadline, k))
+        k = heapq.heappop(ready)[1]
+        slots[k].append(slot)
+        j = len(slots[k])
+        if j < left[k]:
+            heapq.heappush(waiting, (j * total // share[k], -(-(j + 1) * total // share[k]), k))
+        slot, now = slot + 1, now + 1
+    return dict(zip(names, slots, strict=True))
+
+
+def mix(docs: DataFrame, weights: dict | None = None, block_rows: int = BLOCK_ROWS, columns: tuple[str, ...] | None = None) -> DataFrame:
     """`columns` of every input row with mix_rank, mix_slot, mix_position and on_target.
 
     docs: doc_id, source and `columns` (all by default).  mix_rank is the row's
@@ -89,26 +132,32 @@ def mix(docs: DataFrame, weights: dict | None = None, block_rows: int = BLOCK_RO
     counts = {r["_source"]: r["n"] for r in sizes.groupBy("_source").agg(F.sum("_size").alias("n")).limit(MAX_SOURCES + 1).collect()}
     if len(counts) > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources")
-    types = "_s string, _parts long, _turn long, _slot long, _horizon long"
-    plan = spark.createDataFrame([], types)
+    heads: list[tuple] = []
+    values, sizes_of_lists = [np.zeros(0, np.int64)], [0]
+    horizon = 0
     if counts:
         target = {s: n**TEMPERATURE for s, n in counts.items()}
         if weights:
             least = min(weights.values())
-            target = {s: float(weights.get(s, least)) for s in counts}
-        parts = whole_parts(target, resolution)
-        slots, period = schedule(parts), sum(parts.values())
-        ends = [(n_blocks // parts[s]) * period + slots[s][n_blocks % parts[s]] for s, n in counts.items() for n_blocks in [n // block_rows]]
-        plan = spark.createDataFrame([(s, parts[s], k, slot, min(ends)) for s, each in slots.items() for k, slot in enumerate(each)], types)
+            target = {s: weights.get(s, least) for s in counts}
+        # one block more than is full: where it is due, the source has too few rows
+        if min(target.values()) <= 0:
+            raise ValueError("a weight isn't positive")
+        slots = schedule_blocks(exact_parts(target), {s: n // block_rows + 1 for s, n in counts.items()})
+        horizon = min(each[-1] for each in slots.values())
+        for s, each in slots.items():
+            values.append(np.frombuffer(each, np.int64))
+            for k in range(0, len(each), SLOTS):
+                heads.append((s, k // SLOTS))
+                sizes_of_lists.append(min(SLOTS, len(each) - k))
+    lists = pa.ListArray.from_arrays(pa.array(np.cumsum(sizes_of_lists), pa.int32()), pa.array(np.concatenate(values)))
+    plan = spark.createDataFrame(pa.table({"_s": pa.array([h[0] for h in heads], pa.string()), "_list": pa.array([h[1] for h in heads], pa.int64()), "_slots": lists}))
     by_bucket = Window.partitionBy("_source").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select(F.col("_source").alias("_s"), F.col("_bucket").alias("_b"), F.coalesce(F.sum("_size").over(by_bucket), F.lit(0)).alias("_start"))
     in_bucket = Window.partitionBy("_source", "_bucket").orderBy(F.xxhash64(*light, F.lit(7)), *light)
     ranked = data.withColumn("_place", F.row_number().over(in_bucket) - 1)
     ranked = ranked.join(starts, F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_bucket") == F.col("_b"))).drop("_s", "_b").withColumn("mix_rank", F.col("_start") + F.col("_place"))
-    period = max(1, sum(parts.values())) if counts else 1
-    of = {s: parts[s] for s in counts} if counts else {}
-    count = spark.createDataFrame([(s, p) for s, p in of.items()], "_s string, _p long")
-    ranked = ranked.join(F.broadcast(count), F.col("_source").eqNullSafe(F.col("_s"))).drop("_s").withColumn("_block", F.floor(F.col("mix_rank") / block_rows))
-    out = ranked.withColumn("_mod", F.col("_block") % F.col("_p")).join(F.broadcast(plan.drop("_parts")), F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_mod") == F.col("_turn")))
-    slot = F.floor(F.col("_block") / F.col("_p")) * period + F.col("_slot")
-    return out.withColumn("mix_slot", slot).select(*names, "mix_rank", "mix_slot", (F.col("mix_slot") * block_rows + F.col("mix_rank") % block_rows).alias("mix_position"), (F.col("mix_slot") < F.col("_horizon")).alias("on_target"))
+    ranked = ranked.withColumn("_block", F.floor(F.col("mix_rank") / block_rows))
+    out = ranked.join(F.broadcast(plan), F.col("_source").eqNullSafe(F.col("_s")) & (F.floor(F.col("_block") / SLOTS) == F.col("_list")))
+    out = out.withColumn("mix_slot", F.get("_slots", (F.col("_block") % SLOTS).cast("int")))
+    return out.select(*names, "mix_rank", "mix_slot", (F.col("mix_slot") * block_rows + F.col("mix_rank") % block_rows).alias("mix_position"), (F.col("mix_slot") < horizon).alias("on_target"))

@@ -126,6 +126,22 @@ def test_toxicity_without_labels_gives_one_score(spark):
     assert len({r["score"] for r in out}) == 1 and not any(r["held_out"] for r in out if r["doc_id"] is None)
 
 
+def test_mixture_keeps_to_unrounded_targets(spark):
+    rows = [(k, f"s{k % 19}" if k % 3 else "large", k) for k in range(60_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, n_chars long").where("source <> 's7' or doc_id % 4 = 0")
+    sizes = {r["source"]: r["count"] for r in docs.groupBy("source").count().collect()}
+    for weights in (None, {s: 0.0004 if s == "s7" else 1 / (3 + k) for k, s in enumerate(sorted(sizes))}):
+        out = mixing.mix(docs, weights, block_rows=2).select("source", "mix_rank", "mix_slot", "mix_position", "on_target").collect()
+        assert len(out) == sum(sizes.values()) == len({r["mix_position"] for r in out})
+        target = {s: weights[s] if weights else n**0.7 for s, n in sizes.items()}
+        owner = {r["mix_slot"]: r["source"] for r in out if r["on_target"]}
+        assert sorted(owner) == list(range(len(owner))) and len(owner) > 3000
+        seen = dict.fromkeys(sizes, 0)
+        for slot in range(len(owner)):
+            seen[owner[slot]] += 1
+            assert all(abs(seen[s] - (slot + 1) * w / sum(target.values())) < 1 for s, w in target.items())
+
+
 def test_quality_values(spark):
     got = by_id(quality.quality(documents(spark)))
     assert got[3]["n_words"] == 0 and got[3]["base_failed"] and not got[9]["kept"] and got[1]["kept"]
