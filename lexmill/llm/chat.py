@@ -2,10 +2,12 @@
 
 The text of a message is cut into lines by quote depth (leading `>` marks, blanks
 between them allowed).  Lines of depth 0 are the author's own; every run of
-quoted lines of one depth is a passage.  Passages and their lines are
-normalised and hashed, and joined with the hashes of the own texts of the same
-conversation, whole and by line.  The original is the earliest message that
-holds a hash.  A message replies to the original of its shallowest linked passage; replies are put
+quoted lines of one depth is a passage.  Passages and their paragraphs, lines
+and sentences are cut into tiles of MIN_WORDS words, which are hashed and joined with
+the word windows of the own texts of the same conversation; a message holds a
+passage if all its tiles lie there in a row, however the lines are wrapped.  A passage of
+fewer words must equal a whole text, paragraph, line or sentence.  The original
+is the earliest message that holds it.  A message replies to the original of its shallowest linked passage; replies are put
 under their originals by pointer doubling, so order needs no pass per reply.
 """
 
@@ -13,6 +15,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from functools import partial
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -22,14 +25,13 @@ from .common import arrow_rows, cut
 
 #: Lines shorter than this many words are no evidence on their own.
 MIN_WORDS = 4
+#: The tiles of the quotes go to the tasks while they are at most so many.
+MAX_SENT_TILES = 2_000_000
+_PARAGRAPH, _SENTENCE = re.compile(r"\n[ \t]*\n"), re.compile(r"(?<=[.!?])\s+")
 _QUOTE = re.compile(r"[ \t]*((?:>[ \t]?)+)(.*)", re.S)
 _SAID = re.compile(r"^[^\n]{0,200}\b(?:wrote|writes|schrieb|a écrit|escribió)\s*:\s*$", re.I)
 
 
-def normal(text: str) -> str:
-    return " ".join(text.lower().split())
-
-
 def _hash(text: str) -> int:
     return int.from_bytes(hashlib.blake2b(text.encode(), digest_size=8).digest(), "little", signed=True)
 
@@ -63,24 +65,50 @@ def parse(text: str) -> tuple[str, list[tuple[int, str]]]:
     return "\n".join(own).strip(), quotes
 
 
-def units(text: str) -> list[int]:
-    """Hashes of a whole text and of its longer lines."""
-    whole = normal(text)
-    out = [_hash(whole)] if whole else []
-    lines = [normal(x) for x in text.split("\n")]
-    return out + [_hash(x) for x in dict.fromkeys(lines) if x != whole and len(x.split()) >= MIN_WORDS]
+def units(text: str) -> list[tuple[str, ...]]:
+    """Words of a whole text and of its paragraphs, lines and sentences, each once."""
+    parts = [text, *_PARAGRAPH.split(text), *text.split("\n"), *_SENTENCE.split(text)]
+    return [u for u in dict.fromkeys(tuple(p.lower().split()) for p in parts) if u]
+
+
+def tiles(words: tuple[str, ...]) -> list[tuple[int, int]]:
+    """Place and hash of tiles that cover all words."""
+    last = max(0, len(words) - MIN_WORDS)
+    return [(k, _hash(" ".join(words[k : k + MIN_WORDS]))) for k in [*range(0, last, MIN_WORDS), last]]
+
+
+def windows(text: str) -> list[tuple[int, int]]:
+    """Place and hash of all windows of a text, and of its units that are shorter (place 0)."""
+    words = text.lower().split()
+    out = [(k, _hash(" ".join(words[k : k + MIN_WORDS]))) for k in range(len(words) - MIN_WORDS + 1)]
+    return out + [(0, _hash(" ".join(u))) for u in units(text) if len(u) < MIN_WORDS]
+
+
+def _asked(quotes: list[tuple[int, str]]) -> list[dict]:
+    out = []
+    for depth, quote in quotes:
+        for k, unit in enumerate(units(quote)):
+            if not k or len(unit) >= MIN_WORDS:
+                each = tiles(unit)
+                out += [{"depth": depth, "whole": k == 0, "unit": _hash(" ".join(unit)), "need": len(each), "at": at, "hash": h} for at, h in each]
+    return out
 
 
 def _parsed(batch: pa.RecordBatch) -> pa.RecordBatch:
     at = batch.schema.get_field_index("text")
     got = [parse(t or "") for t in batch.column(at).to_pylist()]
-    quoted = [[{"depth": d, "whole": k == 0, "hash": h} for d, q in quotes for k, h in enumerate(units(q))] for _, quotes in got]
-    own = [units(o) for o, _ in got]
-    kind = pa.list_(pa.struct([("depth", pa.int32()), ("whole", pa.bool_()), ("hash", pa.int64())]))
+    kind = pa.list_(pa.struct([("depth", pa.int32()), ("whole", pa.bool_()), ("unit", pa.int64()), ("need", pa.int64()), ("at", pa.int64()), ("hash", pa.int64())]))
     keep = [c for k, c in enumerate(batch.columns) if k != at]
     names = [n for k, n in enumerate(batch.schema.names) if k != at]
-    cols = [pa.array([o for o, _ in got], pa.string()), pa.array([len(q) for _, q in got], pa.int64()), pa.array(quoted, kind), pa.array(own, pa.list_(pa.int64()))]
-    return pa.RecordBatch.from_arrays([*keep, *cols], names=[*names, "text", "n_quotes", "quoted", "own"])
+    cols = [pa.array([o for o, _ in got], pa.string()), pa.array([len(q) for _, q in got], pa.int64()), pa.array([_asked(q) for _, q in got], kind)]
+    return pa.RecordBatch.from_arrays([*keep, *cols], names=[*names, "text", "n_quotes", "quoted"])
+
+
+def _held(batch: pa.RecordBatch, wanted: frozenset[int] | None) -> pa.RecordBatch:
+    """(conv_id, origin, place, hash) of the windows of each text, or only of wanted ones."""
+    rows = [(k, place, h) for k, t in enumerate(batch.column(2).to_pylist()) for place, h in windows(t or "") if wanted is None or h in wanted]
+    take = pa.array([r[0] for r in rows], pa.int64())
+    return pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.int64())], names=["conv_id", "origin", "place", "hash"])
 
 
 def threads(messages: DataFrame) -> DataFrame:
@@ -98,11 +126,16 @@ def threads(messages: DataFrame) -> DataFrame:
     data = messages.select("conv_id", "turn", "role", F.col("text").cast("string").alias("text"))
     types = {f.name: f.dataType.simpleString() for f in data.schema.fields}
     schema = ", ".join(f"{c} {types[c]}" for c in ("conv_id", "turn", "role"))
-    rows = cut(data.mapInArrow(arrow_rows(_parsed), f"{schema}, text string, n_quotes long, quoted array<struct<depth:int,whole:boolean,hash:long>>, own array<long>"))
+    rows = cut(data.mapInArrow(arrow_rows(_parsed), f"{schema}, text string, n_quotes long, quoted array<struct<depth:int,whole:boolean,unit:long,need:long,at:long,hash:long>>"))
     asking = rows.where("n_quotes > 0").select("conv_id", "turn", F.explode("quoted").alias("q")).select("conv_id", "turn", "q.*")
-    wanted = asking.select("conv_id", "hash").distinct()
-    held = rows.select("conv_id", F.col("turn").alias("origin"), F.explode("own").alias("hash")).join(wanted, ["conv_id", "hash"]).groupBy("conv_id", "hash").agg(F.min("origin").alias("origin"))
-    links = asking.join(held, ["conv_id", "hash"]).where("origin < turn")
+    hashes = [r["hash"] for r in asking.select("hash").distinct().limit(MAX_SENT_TILES + 1).toLocalIterator()]
+    wanted = frozenset(hashes) if len(hashes) <= MAX_SENT_TILES else None
+    talks = rows.join(asking.select("conv_id").distinct(), "conv_id", "left_semi").select("conv_id", "turn", "text")
+    held = talks.mapInArrow(arrow_rows(partial(_held, wanted=wanted)), f"conv_id {types['conv_id']}, origin {types['turn']}, place long, hash long")
+    found = asking.join(held, ["conv_id", "hash"]).where("origin < turn")
+    unit = ["conv_id", "turn", "depth", "whole", "unit"]
+    holders = found.groupBy(*unit, "need", "origin", (F.col("place") - F.col("at")).alias("shift")).agg(F.count_distinct("at").alias("n")).where("n = need")
+    links = holders.groupBy(*unit).agg(F.min("origin").alias("origin"))
     best = F.min(F.struct("depth", (~F.col("whole")).alias("part"), (-F.col("origin")).alias("late"))).alias("b")
     parents = cut(links.groupBy("conv_id", "turn").agg(best).select("conv_id", "turn", (-F.col("b.late")).alias("reply_to")))
     # pointer doubling over the linked messages only: path holds the turns above and the message's own

@@ -216,6 +216,21 @@ def test_chat_threads(spark):
     assert chat.threads(df.where("false")).collect() == []
 
 
+def test_chat_threads_by_excerpts(spark):
+    first = "We met at the old mill. It was cold and it rained all day long. Then we left.\nYes please.\nNo thanks.\n\nThe second paragraph of this message is\nwrapped by hand at a column that\nno other client keeps.\n\nBye."
+    said = [
+        "> It was cold and it rained all day long.\nTrue.",
+        "> The second paragraph of this message\n> is wrapped by hand at a\n> column that no other client keeps.\nSo it is.",
+        "> Yes please.\n> No thanks.\nWhich?",
+        "> no thanks.\nWhy?",
+        "> it rained all day long. Then we came\nNo.",
+        "> cold and it was\nNo.",
+    ]
+    rows = [(1, 0, "user", first), *((1, k + 1, "user", t) for k, t in enumerate(said))]
+    got = {r["turn"]: r["reply_to"] for r in chat.threads(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
+    assert got == {0: None, 1: 0, 2: 0, 3: 0, 4: 0, 5: 0, 6: None}
+
+
 def test_deep_reply_chain(spark):
     rows = [(1, k, "user", (f"> line number {k - 1} of this talk\n" if k else "") + f"line number {k} of this talk") for k in range(40)]
     got = {r["turn"]: r["depth"] for r in chat.threads(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
