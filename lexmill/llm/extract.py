@@ -8,8 +8,8 @@ block the label of its nearest decided neighbours: of both sides if they agree,
 else of the side that lies in the same container, else out.
 
 Where a page marks its article (`article`, `main` or role=main), the marked part
-is the frame: blocks outside it are out, and inside it only link lists and
-furniture are, because an author's short or odd paragraph is still the article.
+is the frame: blocks outside it are out, and inside it only furniture is, because an
+author's short or odd paragraph, or one that is a link, is still the article.
 """
 
 from __future__ import annotations
@@ -59,6 +59,8 @@ _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:
 _MARKS = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
 _WORD = re.compile(r"\w+")
+_HREF = re.compile(r"(?:^|[\s\"'/])href\s*=", re.I)
+_BARE_SLASH = re.compile(r"=\s*[^\s\"'=]+/$")  # the slash belongs to a value without quotes
 #: Elements that a new one of the same kind closes, and the ones that close an open paragraph.
 _CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 
@@ -74,10 +76,10 @@ class Block:
 def blocks_of(html: str) -> list[Block]:
     """Blocks of visible text in page order."""
     out: list[Block] = []
-    stack: list[tuple[str, bool, bool, int]] = []  # tag, furniture, article, number
+    stack: list[tuple[str, bool, bool, int, bool]] = []  # tag, furniture, article, number, within a link
     parts: list[str] = []
     linked = 0
-    in_link = 0
+    in_link = False
     number = 0
     at = 0
     furniture = article = False
@@ -114,14 +116,13 @@ def blocks_of(html: str) -> list[Block]:
         if not tag:
             continue
         if m.group(1):  # an end tag
-            if tag == "a":
-                in_link = 0
             if tag in BLOCK_TAGS:
                 flush()
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] == tag:
                     del stack[k:]
                     furniture, article = (stack[-1][1], stack[-1][2]) if stack else (False, False)
+                    in_link = bool(stack) and stack[-1][4]
                     break
             continue
         attributes = m.group(3) or ""
@@ -139,24 +140,34 @@ def blocks_of(html: str) -> list[Block]:
         if tag == "br":
             parts.append(" ")
             continue
-        if tag == "a":
-            in_link = 1
         if tag in BLOCK_TAGS:
             flush()
         if tag in VOID_TAGS:
             continue
+        if tag == "a" or tag in BLOCK_TAGS:  # a new anchor ends an open one, a new block the paragraph around one
+            k = len(stack) - 1
+            while k >= 0 and stack[k][0] != "a" and stack[k][0] not in BLOCK_TAGS:
+                k -= 1
+            if k >= 0 and stack[k][0] == "a":
+                outer = next((j for j in range(k - 1, -1, -1) if stack[j][0] in BLOCK_TAGS), -1)
+                if tag == "a":
+                    del stack[k:]
+                elif outer >= 0 and stack[outer][0] == "p":
+                    del stack[outer:]
         if tag in BLOCK_TAGS and tag != "p" and stack and stack[-1][0] == "p" or tag == "p" and stack and stack[-1][0] == "p":
             stack.pop()
         while tag in _CLOSES and stack and stack[-1][0] in _CLOSES[tag]:
             stack.pop()
-        if not attributes.endswith("/"):
+        in_link = bool(stack) and stack[-1][4]
+        if not attributes.endswith("/") or tag == "a" and _BARE_SLASH.search(attributes):
             furniture, article = (stack[-1][1], stack[-1][2]) if stack else (False, False)
             marks = " ".join((a or b or c) for _, a, b, c in _MARKS.findall(attributes)) if attributes else ""
             frame = tag in ("article", "main") or "main" in marks.lower().split()
             part = tag in FURNITURE_TAGS and not (tag == "header" and article) or bool(marks and not frame and tag not in ("html", "body") and FURNITURE_WORDS.search(marks)) or bool(attributes and _HIDDEN.search(attributes))
             number += 1
             furniture, article = furniture or part, (article or frame) and not part
-            stack.append((tag, furniture, article, number))
+            in_link = in_link or tag == "a" and bool(_HREF.search(attributes))
+            stack.append((tag, furniture, article, number, in_link))
     flush()
     return out
 
@@ -169,10 +180,10 @@ def classify(blocks: list[Block]) -> None:
         density = b.links / size
         if b.out or framed and not b.inside:
             b.label = "bad"
-        elif density > MAX_LINK_DENSITY:
-            b.label = "bad" if not framed or size > 1 else ""
         elif framed:
             b.label = "good" if size >= SHORT else ""
+        elif density > MAX_LINK_DENSITY:
+            b.label = "bad"
         else:
             words = _WORD.findall(b.text.lower())
             stops = sum(w in STOP_WORDS for w in words) / max(1, len(words))

@@ -192,6 +192,16 @@ def test_blocks_without_article_marks():
     assert lines[0] == "A heading" and lines[1].startswith("The first") and lines[2] == "Short one." and lines[3].endswith("& more to come.") and len(lines) == 4
 
 
+def test_links_and_anchors_in_an_article():
+    long = "The paragraph is long enough to be seen as the text of the page, and it has words that are frequent in the language."
+    for anchor in ("<a name=top>", '<a id="x"/>', "<a href=/x>see"):
+        seen = " see" if "see" in anchor else ""
+        assert extract.main_text(f"<article><p>One {anchor}</p><p>{long}</p><p>{long}</p></article>").split("\n") == ["One" + seen, long, long]
+        assert extract.main_text(f"<body><p>{long} {anchor}<p>{long}<p>{long}</body>").split("\n") == [long + seen, long, long]
+    assert extract.main_text(f'<article><p>{long}</p><p><a href="/a">{long}</a></p><ul><li><a href=http://h/>A source</a></li></ul><nav><a href="/b">Menu</a></nav></article>').split("\n") == [long, long, "A source"]
+    assert extract.main_text(f'<body><div><a href="/a">Home and all the rest of it</a> <a href=/b/>More</a></div><p>{long}</p><p>{long}</p></body>').split("\n") == [long, long]
+
+
 TALK = [
     (1, 0, "user", "What is the plan for the next week here?\nAnd who will come along with us then?"),
     (1, 1, "assistant", "We go to the river with everyone who likes it."),
