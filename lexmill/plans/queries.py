@@ -278,10 +278,23 @@ both("bootstrap_ci", _DRAWS + " SELECT round(avg(mean), 6) AS centre, round(min(
 r AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, c) AS k FROM s), f AS (SELECT q, min(k) FILTER (hit) AS k FROM r GROUP BY q)
 SELECT round(avg(coalesce(1.0 / k, 0)), 6) AS mrr, round(avg(CASE WHEN k <= 10 THEN 1.0 ELSE 0.0 END), 6) AS accuracy_10 FROM f""")
 def mrr_at_k(spark, sf_dir):
-    """A stated query set (ids divisible by 50) against all rows: the candidates stream past the broadcast queries."""
+    """A stated query set (ids divisible by 50) against all rows: the candidates stream past the broadcast queries.
+
+    The score is that of the first 8 dimensions only, as in the SQL; mrr_at_k_whole takes all.
+    """
+    return _first_hits(spark, sf_dir, lambda v: F.slice(v, 1, 8))
+
+
+@query()
+def mrr_at_k_whole(spark, sf_dir):
+    """mrr_at_k by the dot product of whole vectors."""
+    return _first_hits(spark, sf_dir, F.col)
+
+
+def _first_hits(spark, sf_dir, part):
     e = table(spark, sf_dir, "embeddings")
     q = e.where("vec_id % 50 = 0").select(F.col("vec_id").alias("q"), F.col("embedding").alias("x"), F.col("label").alias("y"))
-    dot = F.round(F.aggregate(F.zip_with(F.slice("x", 1, 8), F.slice("embedding", 1, 8), lambda a, b: a.cast("double") * b), F.lit(0.0), lambda s, v: s + v), 9)
+    dot = F.round(F.aggregate(F.zip_with(part("x"), part("embedding"), lambda a, b: a.cast("double") * b), F.lit(0.0), lambda s, v: s + v), 9)
     scored = e.join(q, F.col("vec_id") != F.col("q")).select("q", F.col("vec_id").alias("c"), dot.alias("score"), (F.col("label") == F.col("y")).alias("hit"))
     ranked = scored.withColumn("k", F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "c")))
     first = ranked.groupBy("q").agg(F.min(F.when(F.col("hit"), F.col("k"))).alias("k"))

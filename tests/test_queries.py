@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from oracle import check
 
@@ -22,3 +24,18 @@ def test_wer_of_equal_and_changed_words(spark):
 
 def test_proxy_registry_is_valid(spark):
     assert QUERIES["schema_rules"](spark, SF).count() == 0
+
+
+def test_mrr_of_whole_vectors(spark, tmp_path):
+    draw = random.Random(3)
+    rows = [(k, [draw.uniform(-1, 1) * (0.1 if i < 8 else 1) for i in range(64)], k % 7) for k in range(1, 201)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
+    rows = [(r["vec_id"], r["embedding"], r["label"]) for r in spark.read.parquet(f"{tmp_path}/embeddings.parquet").collect()]
+    first = []
+    for q, x, y in (r for r in rows if r[0] % 50 == 0):
+        order = sorted((-round(sum(a * b for a, b in zip(x, v, strict=True)), 9), k, label) for k, v, label in rows if k != q)
+        first.append(next(n for n, r in enumerate(order, 1) if r[2] == y))
+    got = QUERIES["mrr_at_k_whole"](spark, str(tmp_path)).first()
+    assert got["mrr"] == pytest.approx(sum(1 / k for k in first) / len(first), abs=1e-6)
+    assert got["accuracy_10"] == pytest.approx(sum(k <= 10 for k in first) / len(first), abs=1e-6)
+    assert QUERIES["mrr_at_k"](spark, str(tmp_path)).first() != got
