@@ -7,7 +7,8 @@ of a fixed cutoff.  Fences go back to the rows by a join on (lang, source).
 
 The slack is the least distance that counts as an outlier; without it a group
 in which nearly all documents have no repeated line would reject any document
-that has one.
+that has one.  Where q25 = q75 = 0, as with all ratios but word_length in nearly every
+group of the given tables, the fence is the slack: a fixed cutoff.
 """
 
 from __future__ import annotations
