@@ -104,8 +104,30 @@ SELECT documents.doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*)
 FROM documents LEFT JOIN every ON every.doc_id = documents.doc_id GROUP BY documents.doc_id
 """
 
-_FENCE = ", ".join(f"quantile_disc({r}, 0.25) AS {r}_1, quantile_disc({r}, 0.75) AS {r}_3" for r in quality.RATIOS)
-_INSIDE = " AND ".join(f"{r} <= {r}_3 + 3.0 * ({r}_3 - {r}_1) + {slack}" for r, (_, _, slack) in quality.RATIOS.items())
+_METRICS = [*(f"_{r}" for r in quality.RATIOS), *sorted({d for _, d, _ in quality.RATIOS.values()})]
+
+
+def _cut_sql(x: str) -> str:
+    bits = f"greatest(length(bin({x})) - {quality.BITS}, 0)"
+    return f"(({x}) >> {bits}) << {bits}"
+
+
+def _fence_sql(r: str) -> str:
+    _, bottom, unit = quality.RATIOS[r]
+    step = f"coalesce({unit * quality.SCALE} // nullif({bottom}_q2, 0), 0)"
+    low = f", _{r}_q1 - {quality.SPREAD} * greatest(_{r}_q2 - _{r}_q1, {step}) AS min_{r}" if r in quality.BOTH_SIDES else ""
+    return f"_{r}_q3 + {quality.SPREAD} * greatest(_{r}_q3 - _{r}_q2, {step}) AS max_{r}{low}"
+
+
+def _quartiles_sql(keys: str) -> str:
+    picks = ", ".join(f"min(value) FILTER (metric = '{m}' AND 4 * upto >= {k} * total) AS {m}_q{k}" for m in _METRICS for k in (1, 2, 3))
+    by = f"{keys}, " if keys else ""
+    return f"""SELECT {by}max(total) AS n, {picks} FROM (SELECT *, sum(n) OVER (PARTITION BY {by}metric ORDER BY value) AS upto, sum(n) OVER (PARTITION BY {by}metric) AS total
+        FROM (SELECT {by}metric, value, sum(n) AS n FROM fine GROUP BY {by}metric, value)) {"GROUP BY " + keys if keys else ""}"""
+
+
+_OUTSIDE = " OR ".join([*(f"_{r} > max_{r}" for r in quality.RATIOS), *(f"_{r} < min_{r}" for r in quality.BOTH_SIDES)])
+_LIMITS = ", ".join(_fence_sql(r) for r in quality.RATIOS)
 
 OP10_SQL = f"""
 WITH t AS (SELECT doc_id, lang, source, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), {_WORD}) AS w FROM documents),
@@ -116,10 +138,14 @@ c AS (SELECT t.doc_id, lang, source, CAST(len(w) AS BIGINT) AS n_words, CAST(coa
     CAST(len(regexp_extract_all(t, '[#*$%&|<>]')) AS BIGINT) AS n_symbols, coalesce(ln.n - ln.u, 0) AS n_dup_lines, coalesce(rep.n, 0) AS n_repeat_words, coalesce(ln.n, 0) AS n_lines
     FROM t LEFT JOIN rep USING (doc_id) LEFT JOIN ln USING (doc_id)),
 r AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
-    {", ".join(f"coalesce(CAST({a} AS DOUBLE) / nullif({b}, 0), 0) AS {name}" for name, (a, b, _) in quality.RATIOS.items())} FROM c),
-f AS (SELECT lang, source, {_FENCE} FROM r WHERE NOT base_failed GROUP BY ALL)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-    NOT base_failed AND coalesce({_INSIDE} AND word_length >= word_length_1 - 3.0 * (word_length_3 - word_length_1) - 1.5, true) AS kept
+    {", ".join(f"coalesce(CAST({a} AS BIGINT) * {quality.SCALE} // nullif({b}, 0), 0) AS _{name}" for name, (a, b, _) in quality.RATIOS.items())} FROM c),
+fine AS (SELECT lang, source, metric, value, count(*) AS n FROM ({" UNION ALL ".join(f"SELECT lang, source, '{m}' AS metric, {_cut_sql(m)} AS value FROM r WHERE NOT base_failed" for m in _METRICS)}) GROUP BY ALL),
+own AS (SELECT lang, source, n, {_LIMITS} FROM ({_quartiles_sql("lang, source")})),
+wide AS (SELECT lang, n, {_LIMITS} FROM ({_quartiles_sql("lang")})),
+whole AS (SELECT n, {_LIMITS} FROM ({_quartiles_sql("")})),
+f AS (SELECT own.lang, own.source, {", ".join(f"CASE WHEN own.n >= {quality.LEAST} THEN own.{x} WHEN wide.n >= {quality.LEAST} THEN wide.{x} ELSE whole.{x} END AS {x}" for x in [*(f"max_{r}" for r in quality.RATIOS), *(f"min_{r}" for r in quality.BOTH_SIDES)])}
+    FROM own JOIN wide ON own.lang IS NOT DISTINCT FROM wide.lang CROSS JOIN whole)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT coalesce({_OUTSIDE}, false) AS kept
 FROM r LEFT JOIN f ON r.lang IS NOT DISTINCT FROM f.lang AND r.source IS NOT DISTINCT FROM f.source
 """
 
