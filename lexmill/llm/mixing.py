@@ -4,9 +4,9 @@ A source of weight w owes its j-th block (from 0) not before slot floor(j / w)
 and before slot ceil((j + 1) / w).  In every slot the released block with the
 earliest deadline goes out.  The weights are taken exactly (a float is a ratio of
 whole numbers), and the driver schedules every block there is, so that no source
-is ever a block or more away from its target, however many blocks there are.  That costs
-the driver some microseconds and 8 bytes a block; the slots go to the tasks in
-lists of SLOTS.
+is ever a block or more away from its target, however many blocks there are.  A block
+has BLOCK_ROWS rows, or as many times two more as it takes for the table to have no more than
+MAX_BLOCKS blocks: the driver holds, and the tasks are sent, 8 bytes a block.
 
 Ranks inside a source need no global sort: rows are dealt into BUCKETS hashed
 buckets per source, a bucket's rank offset is a running sum over bucket counts,
@@ -18,61 +18,28 @@ from __future__ import annotations
 import heapq
 from array import array
 from fractions import Fraction
-from math import ceil, lcm
+from math import lcm
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import count_of, cut
+
 BUCKETS = 4096
 BLOCK_ROWS = 16
-RESOLUTION = 1000
+MAX_BLOCKS = 1 << 22
 #: Slots of consecutive blocks of a source that go to the tasks as one row.
 SLOTS = 512
 #: The list of sources is held on the driver; more than this many is an error.
-MAX_SOURCES = 100_000
+MAX_SOURCES = 1_000_000
+#: Rank offsets of so many buckets at most are sent to all executors (60 bytes each).
+MAX_SENT_STARTS = 500_000
 #: Target weights go as this power of the rows, where none are given.
 TEMPERATURE = 0.7
 
 
-def whole_parts(weights: dict, resolution: int = RESOLUTION) -> dict:
-    """Parts of the period by largest remainder, one at least for each source."""
-    period = max(resolution, 4 * len(weights))
-    total = sum(weights.values())
-    exact = {s: w / total * period for s, w in weights.items()}
-    parts = {s: max(1, int(x)) for s, x in exact.items()}
-    order = sorted(exact, key=lambda s: (int(exact[s]) - exact[s], str(s)))
-    k = 0
-    while sum(parts.values()) < period:
-        parts[order[k % len(order)]] += 1
-        k += 1
-    while sum(parts.values()) > period:
-        parts[max(parts, key=lambda s: (parts[s], str(s)))] -= 1
-    return parts
-
-
-def schedule(parts: dict) -> dict:
-    """The slots of each source's blocks in one period, earliest deadline first."""
-    period = sum(parts.values())
-    names = sorted(parts, key=str)
-    slots: dict = {s: [] for s in names}
-    waiting = [(0, ceil(period / parts[s]), k) for k, s in enumerate(names)]
-    heapq.heapify(waiting)
-    ready: list[tuple[int, int]] = []
-    for slot in range(period):
-        while waiting and waiting[0][0] <= slot:
-            _, deadline, k = heapq.heappop(waiting)
-            heapq.heappush(ready, (deadline, k))
-        deadline, k = heapq.heappop(ready)
-        s = names[k]
-        slots[s].append(slot)
-        j = len(slots[s])
-        if j < parts[s]:
-            heapq.heappush(waiting, (j * period // parts[s], -(-(j + 1) * period // parts[s]), k))
-    return slots
-
-
 def exact_parts(weights: dict) -> dict:
     """Whole numbers in exactly the proportion of the weights."""
     ratios = {s: Fraction(w) for s, w in weights.items()}
@@ -109,55 +76,69 @@ def schedule_blocks(parts: dict, blocks: dict) -> dict:
     return dict(zip(names, slots, strict=True))
 
 
-def mix(docs: DataFrame, weights: dict | None = None, block_rows: int = BLOCK_ROWS, columns: tuple[str, ...] | None = None) -> DataFrame:
+def mix(docs: DataFrame, weights: dict | None = None, block_rows: int | None = None, columns: tuple[str, ...] | None = None) -> DataFrame:
     """`columns` of every input row with mix_rank, mix_slot, mix_position and on_target.
 
-    docs: doc_id, source and `columns` (all by default).  mix_rank is the row's
+    docs: source and `columns` (all by default).  mix_rank is the row's
     place in its source in hashed order, mix_slot the slot of its block,
     mix_position = mix_slot * block_rows + place in the block: sorted by it, the
     rows are the mixture.  on_target is false from the first slot on in which some source had
     no row left for its due block: the target can't be met there.
 
-    weights: source -> positive weight, all sources of `docs` that have no
+    weights: source -> positive weight (int, float or Fraction), all sources of `docs` that have no
     weight get the smallest one; null is a source of its own (key None).  No row
-    is dropped or repeated; repeated rows take a place each.  An empty table
-    gives no rows.  Columns named like the four new ones are replaced.
+    is dropped or repeated.  Null, empty and very long texts count as any other row.  Rows are ordered by all
+    their columns (but maps), so only equal rows tie; they take a place each.  An empty table
+    gives no rows.  Columns named like the four new ones are replaced; no other name clashes.
     """
     spark = docs.sparkSession
     new = ("mix_rank", "mix_slot", "mix_position", "on_target")
     names = [c for c in (columns or docs.columns) if c not in new]
-    light = [c for c in ("doc_id", "n_chars") if c in docs.columns]
-    data = docs.select(*names).withColumn("_bucket", F.pmod(F.xxhash64(*light), F.lit(BUCKETS)).cast("int")).withColumn("_source", F.col("source").cast("string"))
-    sizes = data.groupBy("_source", "_bucket").agg(F.count(F.lit(1)).alias("_size"))
-    counts = {r["_source"]: r["n"] for r in sizes.groupBy("_source").agg(F.sum("_size").alias("n")).limit(MAX_SOURCES + 1).collect()}
+    every = [F.col(f"`{f.name}`") for f in docs.select(*(f"`{c}`" for c in names)).schema.fields if f.dataType.typeName() != "map"]
+    data = docs.select(F.struct(*(F.col(f"`{c}`") for c in names)).alias("row"), F.col("source").cast("string").alias("owner"), F.xxhash64(*every).alias("mark"))
+    data = data.withColumn("bucket", F.pmod("mark", F.lit(BUCKETS)).cast("int"))
+    sizes = cut(data.groupBy("owner", "bucket").agg(F.count(F.lit(1)).alias("size")))
+    counts = {r["owner"]: r["n"] for r in sizes.groupBy("owner").agg(F.sum("size").alias("n")).limit(MAX_SOURCES + 1).collect()}
     if len(counts) > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources")
+    if block_rows is None:
+        block_rows = BLOCK_ROWS
+        while sum(counts.values()) // block_rows > MAX_BLOCKS:
+            block_rows *= 2
+    plan, horizon = _plan(counts, weights, block_rows)
+    plan = spark.createDataFrame(plan)
+    by_bucket = Window.partitionBy("owner").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(F.col("owner").alias("s"), F.col("bucket").alias("b"), F.coalesce(F.sum("size").over(by_bucket), F.lit(0)).alias("start"))
+    if count_of(sizes) <= MAX_SENT_STARTS:
+        starts = F.broadcast(starts)
+    in_bucket = Window.partitionBy("owner", "bucket").orderBy(F.xxhash64("mark", F.lit(7)), "mark")
+    ranked = data.withColumn("place", F.row_number().over(in_bucket) - 1)
+    ranked = ranked.join(starts, F.col("owner").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b"))).select("row", "owner", (F.col("start") + F.col("place")).alias("rank"))
+    ranked = ranked.withColumn("block", F.floor(F.col("rank") / block_rows))
+    out = ranked.join(F.broadcast(plan), F.col("owner").eqNullSafe(F.col("s")) & (F.floor(F.col("block") / SLOTS) == F.col("list")))
+    out = out.withColumn("slot", F.get("slots", (F.col("block") % SLOTS).cast("int")))
+    return out.select("row.*", F.col("rank").alias("mix_rank"), F.col("slot").alias("mix_slot"), (F.col("slot") * block_rows + F.col("rank") % block_rows).alias("mix_position"), (F.col("slot") < horizon).alias("on_target"))
+
+
+def _plan(counts: dict, weights: dict | None, block_rows: int) -> tuple[pa.Table, int]:
+    """(s, list, slots) of every source, and the first slot that is off target."""
     heads: list[tuple] = []
-    values, sizes_of_lists = [np.zeros(0, np.int64)], [0]
+    values, sizes = [np.zeros(0, np.int64)], [0]
     horizon = 0
     if counts:
         target = {s: n**TEMPERATURE for s, n in counts.items()}
         if weights:
             least = min(weights.values())
             target = {s: weights.get(s, least) for s in counts}
-        # one block more than is full: where it is due, the source has too few rows
         if min(target.values()) <= 0:
             raise ValueError("a weight isn't positive")
+        # one block more than is full: where it is due, the source has too few rows
         slots = schedule_blocks(exact_parts(target), {s: n // block_rows + 1 for s, n in counts.items()})
         horizon = min(each[-1] for each in slots.values())
         for s, each in slots.items():
             values.append(np.frombuffer(each, np.int64))
             for k in range(0, len(each), SLOTS):
                 heads.append((s, k // SLOTS))
-                sizes_of_lists.append(min(SLOTS, len(each) - k))
-    lists = pa.ListArray.from_arrays(pa.array(np.cumsum(sizes_of_lists), pa.int32()), pa.array(np.concatenate(values)))
-    plan = spark.createDataFrame(pa.table({"_s": pa.array([h[0] for h in heads], pa.string()), "_list": pa.array([h[1] for h in heads], pa.int64()), "_slots": lists}))
-    by_bucket = Window.partitionBy("_source").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(F.col("_source").alias("_s"), F.col("_bucket").alias("_b"), F.coalesce(F.sum("_size").over(by_bucket), F.lit(0)).alias("_start"))
-    in_bucket = Window.partitionBy("_source", "_bucket").orderBy(F.xxhash64(*light, F.lit(7)), *light)
-    ranked = data.withColumn("_place", F.row_number().over(in_bucket) - 1)
-    ranked = ranked.join(starts, F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_bucket") == F.col("_b"))).drop("_s", "_b").withColumn("mix_rank", F.col("_start") + F.col("_place"))
-    ranked = ranked.withColumn("_block", F.floor(F.col("mix_rank") / block_rows))
-    out = ranked.join(F.broadcast(plan), F.col("_source").eqNullSafe(F.col("_s")) & (F.floor(F.col("_block") / SLOTS) == F.col("_list")))
-    out = out.withColumn("mix_slot", F.get("_slots", (F.col("_block") % SLOTS).cast("int")))
-    return out.select(*names, "mix_rank", "mix_slot", (F.col("mix_slot") * block_rows + F.col("mix_rank") % block_rows).alias("mix_position"), (F.col("mix_slot") < horizon).alias("on_target"))
+                sizes.append(min(SLOTS, len(each) - k))
+    lists = pa.ListArray.from_arrays(pa.array(np.cumsum(sizes), pa.int32()), pa.array(np.concatenate(values)))
+    return pa.table({"s": pa.array([h[0] for h in heads], pa.string()), "list": pa.array([h[1] for h in heads], pa.int64()), "slots": lists}), horizon

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import decontaminate, minhash, mixing, quality, secrets
@@ -19,34 +19,59 @@ def _sendable(df: DataFrame) -> DataFrame:
     return F.broadcast(kept) if count_of(kept) <= MAX_SENT_KEYS else kept
 
 
+def _key(*columns: str) -> Column:
+    """One value for each combination of `columns`; null is a value of its own."""
+    return F.sha2(F.concat_ws("\x00", *(F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("")) for c in columns)), 256)
+
+
 def without_low_quality(docs: DataFrame) -> DataFrame:
-    """Documents that the quality rules keep, unchanged."""
-    return quality.judge(quality.counted(docs.select(*COLUMNS))).where("kept").select(*COLUMNS)
+    """Documents that the quality rules keep, unchanged.
+
+    Texts are counted once; the verdicts go back by a hash of text, language and source, on
+    which alone they depend.  Null and empty texts are rejected, as they have no words;
+    null languages and sources are groups of their own; equal rows share a verdict; very long texts
+    are counted whole; an empty table stays empty; further columns go.
+    """
+    data = docs.select(*COLUMNS)
+    counts = cut(quality.counted(data.select(_key("text", "lang", "source").alias("_key"), "lang", "source", F.col("text").cast("string").alias("text"))).drop("text"))
+    lost = quality.judge(counts).where("not kept").select("_key").distinct()
+    return data.withColumn("_key", _key("text", "lang", "source")).join(_sendable(lost), "_key", "left_anti").select(*COLUMNS)
 
 
 def without_near_duplicates(docs: DataFrame) -> DataFrame:
     """The document with the smallest doc_id of each group; rows without a doc_id stay.
 
-    Of rows that share a doc_id one stays.
+    Rows that share a doc_id are one document: of those with equal texts one stays (with the
+    least lang, source and n_chars), different texts all stay.  Null and blank texts are no
+    duplicates; very long texts are compared whole; an empty table stays empty; further columns go.
     """
     data = docs.select(*COLUMNS)
-    verdict = minhash.near_duplicates(data, words=5, percent=80)
+    verdict = cut(minhash.near_duplicates(data, words=5, percent=80))
     lost = verdict.where("doc_id is not null and not kept").select("doc_id").distinct()
     out = data.join(_sendable(lost), "doc_id", "left_anti")
-    if data.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty():
+    if verdict.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty():
         return out
-    return out.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(out.where("doc_id is null"))
+    named = out.where("doc_id is not null").groupBy("doc_id", "text").agg(F.min(F.struct("lang", "source", "n_chars")).alias("r")).select("doc_id", "text", "r.*")
+    return named.select(*COLUMNS).unionByName(out.where("doc_id is null").select(*COLUMNS))
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Documents that hold no benchmark item."""
+    """Documents that hold no benchmark item, unchanged.
+
+    Null and empty texts hold none; rows without a doc_id stay; rows that share a doc_id go or
+    stay together; very long texts are searched whole; empty tables lose nothing; further columns go.
+    """
     data = docs.select(*COLUMNS)
     lost = decontaminate.leaks(data, benchmark).select("doc_id").distinct()
     return data.join(_sendable(lost), "doc_id", "left_anti")
 
 
 def without_secrets(docs: DataFrame) -> DataFrame:
-    """All documents, every found span replaced by a mask and n_chars set anew."""
+    """All documents, every found span replaced by a mask and n_chars set anew.
+
+    Spans that overlap get one mask.  Texts without a span, null and empty ones are unchanged;
+    equal texts share their spans; very long texts are searched whole; an empty table stays empty; further columns go.
+    """
     data = docs.select(*COLUMNS).withColumn("_key", F.sha2("text", 256))
     spans = secrets.scan(data, keep=("_key",)).where("size(found) > 0").groupBy("_key").agg(F.first("found").alias("_found"))
     joined = data.join(_sendable(spans), "_key", "left")
@@ -56,5 +81,5 @@ def without_secrets(docs: DataFrame) -> DataFrame:
 
 
 def in_target_mixture(docs: DataFrame) -> DataFrame:
-    """All documents with their place in the mixture."""
+    """All documents with their place in the mixture: every row once, whatever its text; see `mixing.mix`."""
     return mixing.mix(docs.select(*COLUMNS))

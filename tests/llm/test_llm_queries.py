@@ -4,14 +4,15 @@ import html
 import random
 import re
 from collections import Counter
-from math import ceil
+from fractions import Fraction
+from math import pi
 
 import pytest
 from oracle import check
 
 from lexmill.llm import queries as Q
 from lexmill.llm.decontaminate import decontaminate
-from lexmill.llm.mixing import mix, schedule, whole_parts
+from lexmill.llm.mixing import exact_parts, mix, schedule_blocks
 from lexmill.llm.suffix import SPAN, owners, suffix_array
 from lexmill.llm.toxicity import toxicity
 
@@ -61,14 +62,20 @@ def test_toxicity_held_out(spark):
 
 
 def test_schedule_deviates_by_less_than_a_block():
-    for weights in ({"a": 5, "b": 3, "c": 1}, {"x": 1}, {k: 1 / (k + 1) for k in range(40)}, {"a": 997, None: 1}):
-        parts = whole_parts(weights)
-        slots, period = schedule(parts), sum(parts.values())
-        assert sorted(s for each in slots.values() for s in each) == list(range(period))
-        for name, each in slots.items():
-            for j, slot in enumerate(each):
-                assert j * period // parts[name] <= slot < ceil((j + 1) * period / parts[name])
-                assert abs((j + 1) - (slot + 1) * parts[name] / period) < 1
+    for weights in ({"a": 5, "b": 3, "c": 1}, {"x": 1}, {k: 1 / (k + 1) for k in range(40)}, {"a": 997, None: 1}, {"a": Fraction(1, 3), "b": Fraction(2, 3)}, {"a": 1.0, "b": 0.0002, "c": 2**0.5, "d": pi / 9}):
+        parts = exact_parts(weights)
+        total = sum(parts.values())
+        assert all(Fraction(weights[s]) / sum(map(Fraction, weights.values())) == Fraction(p, total) for s, p in parts.items())
+        n = 100_000
+        slots = schedule_blocks(parts, {s: n * p // total + 2 for s, p in parts.items()})
+        owner = {slot: s for s, each in slots.items() for slot in each}
+        seen = dict.fromkeys(parts, 0)
+        for slot in range(n):
+            s = owner[slot]
+            assert seen[s] * total // parts[s] <= slot < -(-(seen[s] + 1) * total // parts[s])
+            seen[s] += 1
+            if slot < 3000 or slot > n - 3000:
+                assert all(abs(seen[k] * total - (slot + 1) * p) < total for k, p in parts.items())
 
 
 def test_mixture_holds_the_weights(spark):
@@ -78,13 +85,16 @@ def test_mixture_holds_the_weights(spark):
     sizes = Counter(r["source"] for r in rows)
     for s, n in sizes.items():
         assert sorted(r["mix_rank"] for r in rows if r["source"] == s) == list(range(n))
-    target = whole_parts({s: {"src0": 0.5}.get(s, 0.25) for s in sizes})
-    period, seen = sum(target.values()), Counter()
+    target = {s: {"src0": 0.5}.get(s, 0.25) for s in sizes}
+    total, seen = sum(target.values()), Counter()
+    by_slot = {}
+    for r in rows:
+        by_slot.setdefault(r["mix_slot"], []).append(r["source"])
     for slot in range(max(r["mix_slot"] for r in rows if r["on_target"]) + 1):
-        here = [r for r in rows if r["mix_slot"] == slot]
-        assert len(here) == 4 and len({r["source"] for r in here}) == 1
-        seen[here[0]["source"]] += 1
-        assert all(abs(seen[s] - (slot + 1) * p / period) < 1 for s, p in target.items())
+        here = by_slot[slot]
+        assert len(here) == 4 and len(set(here)) == 1
+        seen[here[0]] += 1
+        assert all(abs(seen[s] - (slot + 1) * p / total) < 1 for s, p in target.items())
 
 
 def test_leaks_whole_and_with_other_values(spark):
