@@ -1,7 +1,8 @@
 """Benchmark decontamination by template canonicalisation.
 
 Tokens lose outer punctuation and case; numbers, names (capitalised words that
-don't open a sentence) and units after a number become typed placeholders.
+don't open a sentence, and aren't all in capitals) and units after a number become typed placeholders.  A run of
+names or of numbers is one token, so that a full name can stand for a first name.
 Windows of WINDOW template tokens are hashed and joined with those of the
 benchmark.  A window with few literal tokens has two hashes: that of its raw tokens,
 so that a run of numbers matches the same numbers, and that of the template of the
@@ -9,7 +10,7 @@ shortest longer window with MIN_LITERALS literal tokens.  An item shorter than W
 is one window, matched by its raw tokens and, with the same share of literal tokens,
 by its template.  In each run of overlapping
 windows on a diagonal (document position minus item position) the slots must be
-consistent: one benchmark value stands for one document value.  Of an inconsistent
+consistent: one benchmark value stands for one document value, and the other way round.  Of an inconsistent
 run only the windows with equal raw tokens count.  Diagonals at most WINDOW apart
 are added up, so inserted, lost and changed words split nothing: if the windows
 that count cover enough of the item's tokens, it is a leak, re-parameterised if any
@@ -35,7 +36,8 @@ WINDOW = 8
 MIN_LITERALS = 4
 #: A leak covers more than this share of an item's tokens, or so many windows in all.
 MIN_SHARE, MIN_RUN = 0.5, 6
-MAX_SENT_WINDOWS = 2_000_000
+#: The benchmark's hashes (8 bytes each), and its windows with their slots, go to all tasks up to these sizes.
+MAX_SENT_WINDOWS, MAX_SENT_BYTES = 2_000_000, 64 << 20
 #: Units of measurement, lower case.
 UNITS = (
     "mm cm m km in ft yd mi g kg mg lb oz ton tons t l ml s sec second seconds min minute minutes h hour hours "
@@ -53,16 +55,29 @@ _STOPS[list(b".!?:\"")] = True
 NUMBER, NAME, UNIT = (np.uint64(x) for x in (0x1B873593CC9E2D51, 0x38B34AE5A1E38B93, 0x2127599BF4325C37))
 
 
+def _two_bytes() -> tuple[np.ndarray, np.ndarray]:
+    """For every code point of two UTF-8 bytes: the code point in lower case, and whether it is a capital."""
+    low, capital = np.arange(0x800), np.zeros(0x800, bool)
+    for c in range(0x80, 0x800):
+        small = chr(c).lower()
+        if chr(c).isupper() and len(small) == 1 and 0x80 <= ord(small) < 0x800:
+            low[c], capital[c] = ord(small), True
+    return low, capital
+
+
+_LOW, _CAPITAL = _two_bytes()
+
+
 def _folded(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Bytes with ASCII and Latin-1 letters in lower case, and where a capital letter begins."""
+    """Bytes with letters of one or two bytes (Latin, Greek, Cyrillic) in lower case, and where a capital letter begins."""
     low = raw.copy()
-    ascii_up = (raw >= 0x41) & (raw <= 0x5A)
-    low[ascii_up] += 32
-    second = np.zeros(len(raw), bool)
-    second[1:] = (raw[:-1] == 0xC3) & (raw[1:] >= 0x80) & (raw[1:] <= 0x9E) & (raw[1:] != 0x97)
-    low[second] += 32
-    capital = ascii_up
-    capital[:-1] |= second[1:]
+    capital = (raw >= 0x41) & (raw <= 0x5A)
+    low[capital] += 32
+    lead = np.flatnonzero((raw[:-1] >= 0xC2) & (raw[:-1] <= 0xDF) & ((raw[1:] & 0xC0) == 0x80))
+    code = ((raw[lead].astype(np.int64) & 0x1F) << 6) | (raw[lead + 1] & 0x3F)
+    small = _LOW[code]
+    low[lead], low[lead + 1] = 0xC0 | (small >> 6), 0x80 | (small & 0x3F)
+    capital[lead[_CAPITAL[code]]] = True
     return low, capital
 
 
@@ -94,13 +109,31 @@ class Template:
         np.cumsum(BYTE_TABLE[low] * powers(n + 1)[0][:n], out=prefix[1:])
         raw_hash = mix64((prefix[e] - prefix[s]) * pack.inverse[s]) if len(s) else np.zeros(0, np.uint64)
         number = self._numbers(s, e)
-        name = (capital[s] & ~opens) if len(s) else np.zeros(0, bool)
+        # a word in capitals is no name, as a text may be set in them; one letter is an initial beside a name
+        second = s + np.where(pack.bytes[s] >= 0xC0, 2, 1)
+        name = capital[s] & ~opens & (second < e) & ~capital[np.minimum(second, n - 1)]
+        beside = np.zeros(len(s) + 2, bool)
+        beside[2:] |= name
+        beside[:-2] |= name
+        name |= capital[s] & ~opens & (second >= e) & beside[1:-1]
         unit = np.zeros(len(s), bool)
         unit[1:] = number[:-1] & (doc[1:] == doc[:-1]) & np.isin(raw_hash[1:], unit_hashes())
-        token = np.where(number, NUMBER, np.where(unit, UNIT, np.where(name, NAME, raw_hash)))
-        self.start, self.end, self.doc = s, e, doc
-        self.slot = number | unit | name
-        self.token, self.raw_hash = token, raw_hash
+        kind = np.where(number, 1, np.where(unit, 2, np.where(name, 3, 0)))
+        # the tokens of a run of numbers or names are one: head is its first
+        goes_on = np.zeros(len(s), bool)
+        goes_on[1:] = (kind[1:] == kind[:-1]) & (kind[1:] % 2 == 1) & (doc[1:] == doc[:-1])
+        head = np.flatnonzero(~goes_on)
+        last = np.append(head[1:], len(s)) - 1
+        if len(head) < len(s):
+            power, inverse = powers(len(s) + 1)
+            prefix = np.zeros(len(s) + 1, np.uint64)
+            np.cumsum(raw_hash * power[: len(s)], out=prefix[1:])
+            joined = mix64((prefix[last + 1] - prefix[head]) * inverse[head])
+            raw_hash = np.where(last > head, joined, raw_hash[head])
+        kind, doc = kind[head], doc[head]
+        self.start, self.end, self.doc = s[head], e[last] if len(s) else e, doc
+        self.slot = kind > 0
+        self.token, self.raw_hash = np.where(kind == 0, raw_hash, np.array([0, NUMBER, UNIT, NAME], np.uint64)[kind]), raw_hash
         self.literal = np.concatenate(([0], np.cumsum(~self.slot)))
         self.counts = np.bincount(doc, minlength=len(texts))
         self.first = np.concatenate(([0], np.cumsum(self.counts)))[:-1]
@@ -139,7 +172,7 @@ class Template:
         return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
     def slots(self, at: int, size: int) -> list[str]:
-        return [self.pack.raw[self.start[k] : self.end[k]].decode("utf-8", "replace").lower() if self.slot[k] else "" for k in range(at, at + size)]
+        return [" ".join(self.pack.raw[self.start[k] : self.end[k]].decode("utf-8", "replace").lower().split()) if self.slot[k] else "" for k in range(at, at + size)]
 
 
 def sizes_of(n: np.ndarray) -> np.ndarray:
@@ -157,11 +190,12 @@ def unit_hashes() -> np.ndarray:
     return _units[0]
 
 
-def _windows(batch: pa.RecordBatch, wanted: np.ndarray | None, sizes: tuple[int, ...] | None) -> pa.RecordBatch:
+def _windows(batch: pa.RecordBatch, wanted, sizes: tuple[int, ...] | None) -> pa.RecordBatch:
     """(id, key, pos, size, base, n, slots) of each window of `sizes`, or only of those whose key is wanted (sorted).
 
     Without `sizes` each text has windows of its own base size.  n is the number of tokens of the text.
     """
+    wanted = wanted.value if hasattr(wanted, "value") else wanted
     t = Template(texts_of(batch))
     own = sizes_of(t.counts)
     found = []
@@ -205,8 +239,8 @@ def _bitmap(wanted: np.ndarray) -> np.ndarray:
     return _maps[0][1]
 
 
-def windows(texts: DataFrame, wanted: np.ndarray | None = None, sizes: tuple[int, ...] | None = None) -> DataFrame:
-    """texts: id, text."""
+def windows(texts: DataFrame, wanted=None, sizes: tuple[int, ...] | None = None) -> DataFrame:
+    """texts: id, text; wanted: a broadcast of sorted keys."""
     return texts.mapInArrow(arrow_rows(partial(_windows, wanted=wanted, sizes=sizes)), "id long, key long, pos long, size long, base long, n long, slots array<string>")
 
 
@@ -218,7 +252,7 @@ def _counting(hits: dict[tuple[int, int], tuple[list[str], list[str]]]) -> list[
             each = [{p for p in zip(i, d, strict=True) if p[0] and p[1]} for _, _, i, d in run]  # with equal raw tokens, one side's name may open a sentence on the other
             differs = [any(i != d for i, d in pairs) for pairs in each]
             pairs = set().union(*each)
-            consistent = len(pairs) == len({i for i, _ in pairs})
+            consistent = len(pairs) == len({i for i, _ in pairs}) == len({d for _, d in pairs})
             out += [(a, b, other) for (a, b, _, _), other in zip(run, differs, strict=True) if consistent or not other]
             run = []
         if at is not None:
@@ -259,13 +293,14 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, item_id, n_windows, share, reparameterised), a row per leaked item of a document."""
     items = cut(windows(benchmark.select(F.col("item_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))).where("id is not null").withColumnsRenamed({"id": "item_id", "pos": "item_pos", "slots": "item_slots"}))
     bases = tuple(sorted(r["base"] for r in items.select("base").distinct().collect())) or (WINDOW,)
-    n_keys = items.agg(F.count(F.lit(1)).alias("n")).first()["n"]
+    size = items.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.length(F.concat_ws("", "item_slots")) + 16 * F.size("item_slots") + 60), F.lit(0)).alias("bytes")).first()
     wanted = None
-    if n_keys <= MAX_SENT_WINDOWS:
-        wanted = np.unique(np.array([r["key"] for r in items.select("key").distinct().toLocalIterator()], np.int64).view(np.uint64))
+    if size["n"] <= MAX_SENT_WINDOWS:
+        keys = np.fromiter((r["key"] for r in items.select("key").distinct().toLocalIterator()), np.int64)
+        wanted = docs.sparkSession.sparkContext.broadcast(np.sort(keys.view(np.uint64)))
     found = windows(docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text")), wanted, bases).where("id is not null").select(F.col("id").alias("doc_id"), "key", "pos", "size", "slots")
     side = items.select("item_id", "key", "item_pos", "size", "n", "item_slots")
-    hits = found.join(F.broadcast(side) if wanted is not None else side, ["key", "size"])
+    hits = found.join(F.broadcast(side) if size["bytes"] <= MAX_SENT_BYTES else side, ["key", "size"])
     hits = hits.select("doc_id", "item_id", "item_pos", (F.col("pos") - F.col("item_pos")).alias("diagonal"), "size", "n", "item_slots", "slots")
     return hits.groupBy("doc_id", "item_id").applyInArrow(_judge, "doc_id long, item_id long, n_windows long, share double, reparameterised boolean")
 
@@ -276,7 +311,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     docs: doc_id, text; benchmark: item_id, text; further columns are ignored.
     Null texts and texts without a token match nothing; an item of fewer than WINDOW
     tokens, even of one, matches wherever it stands whole; a null doc_id or item_id never matches.  Rows that share a doc_id are one document.
-    Repeated items count once per item_id.  Empty tables give no leak.
+    Very long texts are searched whole.  Repeated items count once per item_id; equal items of
+    different item_id are all leaked; of several hits at one place that with the least slots counts.  Empty tables give no leak.
     """
     per_doc = leaks(docs, benchmark).groupBy("doc_id").agg(F.sort_array(F.collect_set("item_id")).alias("item_ids"), F.max("reparameterised").alias("reparameterised"))
     out = docs.select(F.col("doc_id").cast("long").alias("doc_id")).join(per_doc, "doc_id", "left")

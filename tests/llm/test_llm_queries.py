@@ -100,7 +100,7 @@ def test_mixture_holds_the_weights(spark):
 def test_leaks_whole_and_with_other_values(spark):
     docs, bench = spark.read.parquet(f"{SF1}/documents.parquet"), spark.read.parquet(f"{SF1}/benchmark.parquet")
     items = [r["text"] for r in bench.collect()]
-    expect = {r["doc_id"] for r in docs.collect() if any(t in r["text"] for t in items)}
+    expect = {r["doc_id"] for r in docs.collect() if any(t.lower() in r["text"].lower() for t in items)}  # three hold an item in capitals
     assert {r["doc_id"] for r in decontaminate(docs, bench).where("contaminated").collect()} == expect
     item = "A train leaves with 12 wagons and 30 people, then meets Anna after 12 km and stops there for 30 minutes today."
     other = item.replace("12", "17").replace("30", "44").replace("Anna", "Boris").replace("km", "miles")

@@ -2,7 +2,7 @@
 
 import random
 
-from lexmill.llm import quality
+from lexmill.llm import decontaminate, quality
 
 WORDS = [f"{a}{b}" for a in ("ka", "lo", "mi", "nu", "pe", "ri") for b in ("ba", "do", "fe", "gi", "hu", "jo", "ky", "la", "ma", "no")]
 
@@ -33,3 +33,48 @@ def test_sketches_merge(spark):
     rated = quality.counted(docs).drop("text").withColumns({f"_{r}": quality._ratio(r) for r in quality.RATIOS})
     whole = {tuple(r) for r in quality.merged(quality.sketches(rated.withColumn("source", quality.F.lit("all"))), "lang").collect()}
     assert whole == {tuple(r) for r in quality.merged(quality.sketches(rated), "lang").collect()} and len(whole) > 50
+
+
+def leaks(spark, item, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = decontaminate.decontaminate(docs, spark.createDataFrame([(9, item)], "item_id long, text string")).orderBy("doc_id").collect()
+    return [(r["contaminated"], r["reparameterised"]) for r in rows]
+
+
+def test_slots_map_one_to_one_and_runs_are_one_slot(spark):
+    other, same, no = (True, True), (True, False), (False, False)
+    item = "On the long way home the boy called Anna counts 12 red cars and then 30 blue ones before the night falls."
+    both = item.replace("12", "17").replace("30", "44")
+    texts = [both, item.replace("12", "17").replace("30", "17"), both.replace("Anna", "Anna Maria Smith"), item.replace("Anna", "Bo"), item, item.replace("12", "1 200")]
+    assert leaks(spark, item, texts) == [other, no, other, other, same, other]
+
+
+def test_names_of_other_alphabets(spark):
+    item = "Вчера вечером студентка Петрова купила 12 красных яблок и 30 груш у старого продавца на рынке за углом."
+    assert leaks(spark, item, [item.replace("Петрова", "Иванова").replace("12", "15"), item.replace("12", "12 000"), "Совсем другой текст о погоде, в котором нет ничего общего с задачей."]) == [(True, True), (True, True), (False, False)]
+    assert leaks(spark, item.replace("Петрова", "одна"), [item.replace("Петрова", "одна").upper()]) == [(True, False)]
+    greek = "Χθες το βράδυ η φίλη μου Μαρία αγόρασε 12 μήλα και 30 αχλάδια από την αγορά της πόλης μας."
+    assert leaks(spark, greek, [greek.replace("Μαρία", "Ελένη")]) == [(True, True)]
+
+
+def test_planted_items_against_brute_force(spark):
+    """Every item, verbatim or with other values, in a table of clean texts: found just there."""
+    draw = random.Random(4)
+    items = {}
+    for k in range(60):
+        words = [draw.choice(WORDS) for _ in range(draw.randrange(16, 40))]
+        for at in draw.sample(range(1, len(words), 3), 3):
+            words[at] = str(draw.randrange(10, 99)) + f"{at:03d}"
+        items[k] = " ".join(words)
+    rows, expect = [], {}
+    for d in range(600):
+        text = " ".join(draw.choice(WORDS) + draw.choice("xyz") for _ in range(draw.randrange(30, 90)))
+        if d % 4 == 0:
+            k = draw.randrange(60)
+            changed = d % 8 == 0
+            piece = " ".join(str(int(w) + 500_000) if changed and w.isdigit() else w for w in items[k].split())
+            text = f"{text} {piece} {text}"
+            expect[d] = (k, changed)
+        rows.append((d, text))
+    got = decontaminate.decontaminate(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(list(items.items()), "item_id long, text string")).collect()
+    assert {r["doc_id"]: (r["item_ids"], r["reparameterised"]) for r in got if r["contaminated"]} == {d: ([k], changed) for d, (k, changed) in expect.items()}
