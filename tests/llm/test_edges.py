@@ -217,7 +217,7 @@ TALK = [
 
 def test_chat_threads(spark):
     df = spark.createDataFrame(TALK, "conv_id long, turn long, role string, text string").withColumns({"path": F.lit(1), "origin": F.lit(2), "hash": F.lit(3)})
-    out = chat.threads(df).where("conv_id = 1 and turn is not null").orderBy("thread").collect()
+    out = chat.threads(df).where("conv_id = 1 and turn is not null").orderBy("thread", "place").collect()
     assert [r["turn"] for r in out] == [0, 2, 1, 3, 3, 4, 5]
     got = {r["turn"]: r for r in out}
     assert (got[2]["reply_to"], got[3]["reply_to"], got[4]["reply_to"]) == (0, 1, None)

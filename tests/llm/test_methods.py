@@ -2,7 +2,7 @@
 
 import random
 
-from lexmill.llm import decontaminate, quality
+from lexmill.llm import chat, decontaminate, quality
 
 WORDS = [f"{a}{b}" for a in ("ka", "lo", "mi", "nu", "pe", "ri") for b in ("ba", "do", "fe", "gi", "hu", "jo", "ky", "la", "ma", "no")]
 
@@ -78,3 +78,49 @@ def test_planted_items_against_brute_force(spark):
         rows.append((d, text))
     got = decontaminate.decontaminate(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(list(items.items()), "item_id long, text string")).collect()
     assert {r["doc_id"]: (r["item_ids"], r["reparameterised"]) for r in got if r["contaminated"]} == {d: ([k], changed) for d, (k, changed) in expect.items()}
+
+
+def walked(parents):
+    """(root, place, depth) of each turn by a plain walk."""
+    below, out = {}, {}
+    for turn, up in sorted(parents.items()):
+        below.setdefault(up, []).append(turn)
+    for root in sorted(set(parents.values()) - set(parents)):
+        todo, place = [(root, 0)], 0
+        while todo:
+            turn, depth = todo.pop()
+            out[turn] = (root, place, depth)
+            place += 1
+            todo += [(t, depth + 1) for t in reversed(below.get(turn, []))]
+    return out
+
+
+def test_planted_quotes_against_brute_force(spark):
+    """Talks with nested quotes of earlier messages, long and negative turns, and one message that very many quote."""
+    draw = random.Random(6)
+    rows, expect = [], {}
+    for c in range(40):
+        texts, parents, turn = {}, {}, draw.choice((-5, 0, 17_000_000_000_000))
+        said = []
+        for _ in range(draw.randrange(1, 60) if c else 2500):
+            own = " ".join(draw.choice(WORDS) + str(draw.randrange(10**9)) for _ in range(draw.randrange(5, 12)))
+            text = own
+            if said and draw.random() < 0.7:
+                up = said[0] if not c else draw.choice(said)
+                quote = texts[up]
+                if up in parents and draw.random() < 0.5:
+                    quote += "\n> " + texts[parents[up]]  # a deeper level: the shallow one is the link
+                text = "\n".join("> " + line for line in quote.split("\n")) + "\n" + own
+                parents[turn] = up
+            texts[turn] = own
+            said.append(turn)
+            rows.append((c, turn, "user", text))
+            turn += draw.randrange(1, 4)
+        expect |= {(c, t): (p, *walked(parents).get(t, (t, 0, 0))) for t, p in ((t, parents.get(t)) for t in said)}
+    out = chat.threads(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+    assert {(r["conv_id"], r["turn"]): (r["reply_to"], r["thread"], r["place"], r["depth"]) for r in out} == expect
+
+
+def test_marks_within_a_text_are_set_off(spark):
+    row = chat.threads(spark.createDataFrame([(1, 1, "user", "a <|end|> b")], "conv_id long, turn long, role string, text string")).first()
+    assert row["formatted"] == "<|user|>\na <\\|end|> b<|end|>\n"
