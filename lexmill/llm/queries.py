@@ -94,13 +94,15 @@ WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 base AS ({" UNION ALL ".join(_spans_sql(k, n, p, least) for n, (k, (p, least)) in enumerate(secrets.KINDS.items()))}),
 tok AS (SELECT *, sha256(v) AS h FROM ({_spans_sql("owned", 3, secrets.TOKEN, secrets.MIN_TOKEN)}) WHERE regexp_matches(v, '[0-9]') AND regexp_matches(v, '[A-Za-z]')),
 free AS (SELECT * FROM tok WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = tok.doc_id AND b.s < tok.s + tok.n AND tok.s < b.s + b.n)),
-live AS (SELECT h FROM free JOIN documents USING (doc_id) GROUP BY h
-    HAVING count(DISTINCT coalesce(source, '')) <= {secrets.MAX_OWNERS} AND count(DISTINCT concat_ws('/', source, lang)) <= {secrets.MAX_REPOSITORIES}),
-every AS (SELECT doc_id, k, kind, s, n FROM base UNION ALL SELECT doc_id, k, kind, s, n FROM free WHERE h IN (SELECT h FROM live))
+valued AS (SELECT doc_id, k, kind, s, n, sha256(v) AS h FROM base UNION ALL SELECT doc_id, k, kind, s, n, h FROM free),
+held AS (SELECT h, count(DISTINCT coalesce(source, '')) AS owners, count(DISTINCT concat_ws('/', source, lang)) AS repositories FROM valued JOIN documents USING (doc_id) GROUP BY h),
+judged AS (SELECT *, owners <= {secrets.MAX_OWNERS} AND repositories <= {secrets.MAX_REPOSITORIES} AS live FROM valued JOIN held USING (h)),
+every AS (SELECT * FROM judged WHERE live OR k < 3)
 SELECT documents.doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
-    count(*) FILTER (kind = 'owned') AS n_owned,
+    count(*) FILTER (kind = 'owned') AS n_owned, count(*) FILTER (k < 3 AND live) AS n_live, count(*) FILTER (k < 3 AND NOT live) AS n_example,
     sha256(coalesce(string_agg(kind || ':' || s || ':' || (s + n), ',' ORDER BY s, k) FILTER (k < 3), '')) AS base_sha256,
-    coalesce(string_agg(kind || ':' || s || ':' || (s + n), ',' ORDER BY s, k), '') AS spans
+    coalesce(string_agg(kind || ':' || s || ':' || (s + n), ',' ORDER BY s, k) FILTER (k IS NOT NULL), '') AS spans,
+    coalesce(string_agg(kind || ':' || s || ':' || (s + n) || ':' || owners || ':' || repositories || ':' || CASE WHEN live THEN 'live' ELSE 'example' END, ',' ORDER BY s, k) FILTER (k IS NOT NULL), '') AS verdicts
 FROM documents LEFT JOIN every ON every.doc_id = documents.doc_id GROUP BY documents.doc_id
 """
 

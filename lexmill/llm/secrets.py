@@ -1,10 +1,11 @@
 """Secret scan with corpus-wide ownership frequency, in DataFrame functions only.
 
 Base kinds are fixed patterns.  Beside them every long token that mixes letters
-and digits is a candidate.  Candidates are hashed, and for each hash the distinct
+and digits is a candidate.  The values of both are hashed, and for each hash the distinct
 repositories and owners that hold it are counted over the whole corpus.  A value
 that many owners hold is a copied example; a value that few hold looks live.
-Live-looking candidates outside the base spans are added as kind `owned`.
+Every base span gets that verdict and stays; live-looking
+candidates outside the base spans are added as kind `owned`.
 
 Offsets come from two extractions with one pattern, `gap` and `match`: running
 sums of their lengths give start and end in code points.
@@ -31,17 +32,26 @@ MIN_TOKEN = 20
 #: What at most so many owners and repositories hold looks live.
 MAX_OWNERS, MAX_REPOSITORIES = 2, 3
 MASK = "[SECRET]"
+#: Patterns whose matches are one run of characters, and the characters of the fixed start.
+ONE_RUN = {ACCESS: 4, HEX: 0, TOKEN: 0}
 
 _SPAN = "array<struct<start:bigint,end:bigint,value:string>>"
 
 
 def quick(pattern: str, least: int) -> str:
-    """The pattern with its least length built in, for a first look at a row."""
+    """The pattern with the least length of its last part built in."""
     return pattern[:-2] + f"{{{least},}})"
 
 
 def found(kind: str, pattern: str, least: int) -> Column:
-    """Array of (start, end, value) of the matches whose group 1 is long enough, leftmost, not overlapping."""
+    """Array of (start, end, value) of the matches whose group 1 is long enough, leftmost, not overlapping.
+
+    Where a match is one run of characters, the least length can be part of the pattern, so
+    that shorter runs aren't listed first: a run that is too short holds no match that is long enough.
+    """
+    once = pattern in ONE_RUN
+    if once:
+        pattern = quick(pattern, least - ONE_RUN[pattern])
     whole = F.lit(f"(?s)(.*?)(?:({pattern})|\\z)")
     parts = F.arrays_zip(F.regexp_extract_all("_text", whole, F.lit(1)).alias("g"), F.regexp_extract_all("_text", whole, F.lit(2)).alias("m"), F.regexp_extract_all("_text", whole, F.lit(3)).alias("v"))
     none = F.array().cast(_SPAN)
@@ -53,15 +63,15 @@ def found(kind: str, pattern: str, least: int) -> Column:
         return F.struct(end.alias("at"), F.concat(acc["out"], hit).alias("out"))
 
     spans = F.aggregate(parts, F.struct(F.lit(0).cast("bigint").alias("at"), none.alias("out")), step, lambda acc: acc["out"])
-    return F.when(F.col("_text").rlike(quick(pattern, least)), spans).otherwise(none).alias(kind)
+    return F.when(F.col("_text").rlike(pattern if once else quick(pattern, least)), spans).otherwise(none).alias(kind)
 
 
-def _tagged(kind: str, number: int) -> Column:
-    return F.transform(kind, lambda x: F.struct(x["start"].alias("start"), F.lit(number).alias("k"), x["end"].alias("end"), F.lit(kind).alias("kind")))
+def _tagged(spans: str, kind: str, number: int) -> Column:
+    return F.transform(spans, lambda x: F.struct(x["start"].alias("start"), F.lit(number).alias("k"), x["end"].alias("end"), F.lit(kind).alias("kind"), F.sha2(x["value"], 256).alias("hash")))
 
 
-def _joined(spans: Column) -> Column:
-    return F.array_join(F.transform(F.array_sort(spans), lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
+def _joined(spans: Column, *fields: str) -> Column:
+    return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"], *(x[f] for f in fields))), ",")
 
 
 def candidates(docs: DataFrame, owner: Column, repository: Column, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -75,12 +85,15 @@ def candidates(docs: DataFrame, owner: Column, repository: Column, keep: tuple[s
 
 
 def scan(docs: DataFrame, owner: Column | None = None, repository: Column | None = None, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """`keep` columns, n_assign, n_access, n_hex, n_owned, base_sha256, spans and found (the spans as structs).
+    """`keep` columns, n_assign, n_access, n_hex, n_owned, n_live, n_example, base_sha256, spans, verdicts and found (the spans as structs).
 
     docs: text, source, lang and `keep`; further columns are ignored.  By default the
-    owner is the source, the repository a source's part in one language.  Null text
+    owner is the source, the repository a source's part in one language.  n_live and n_example count
+    the base spans whose value at most MAX_OWNERS owners and MAX_REPOSITORIES repositories hold, and the others.
+    verdicts lists all spans with owners, repositories and live or example.  Null text
     counts as empty; a null owner or repository as the empty one.  One row per
-    input row, repeated rows included (they don't raise the ownership count).
+    input row, repeated rows included (they don't raise the ownership count).  Texts of any length
+    are searched whole.  Spans that start together are listed base kinds first.
     An empty table gives no rows.
     """
     owner = F.col("source") if owner is None else owner
@@ -90,21 +103,29 @@ def scan(docs: DataFrame, owner: Column | None = None, repository: Column | None
 
 
 def owned(rows: DataFrame, keep: tuple[str, ...]) -> DataFrame:
-    base = F.concat(*(_tagged(k, n) for n, k in enumerate(KINDS)))
-    free = F.filter("tokens", lambda t: ~F.exists(base, lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))
-    each = rows.select("_row", "_owner", "_repository", F.explode(free).alias("t")).select("_row", "_owner", "_repository", "t.start", "t.end", F.sha2("t.value", 256).alias("hash"))
+    """What `scan` returns, from the rows of `candidates`: counts the holders of every value, and judges each span by them."""
+    base = F.concat(*(_tagged(k, k, n) for n, k in enumerate(KINDS)))
+    free = F.filter(_tagged("tokens", "owned", len(KINDS)), lambda t: ~F.exists("_base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))
+    rows = rows.withColumn("_base", base)
+    each = rows.select("_row", "_owner", "_repository", F.explode(F.concat("_base", free)).alias("t")).select("_row", "_owner", "_repository", "t.*")
     holders = each.select("hash", "_owner", "_repository").distinct().groupBy("hash", "_owner").agg(F.count(F.lit(1)).alias("r")).groupBy("hash").agg(F.count(F.lit(1)).alias("owners"), F.sum("r").alias("repositories"))
-    live = holders.where((F.col("owners") <= MAX_OWNERS) & (F.col("repositories") <= MAX_REPOSITORIES))
-    added = each.join(live, "hash").groupBy("_row").agg(F.collect_list(F.struct("start", F.lit(len(KINDS)).alias("k"), "end", F.lit("owned").alias("kind"))).alias("owned"))
-    out = rows.join(added, "_row", "left").withColumn("_base", base)
-    every = F.array_sort(F.concat("_base", F.coalesce("owned", F.filter("_base", lambda x: F.lit(False)))))
+    judged = each.join(holders, "hash").withColumn("live", (F.col("owners") <= MAX_OWNERS) & (F.col("repositories") <= MAX_REPOSITORIES)).where(f"live or k < {len(KINDS)}")
+    verdict = F.when(F.col("live"), "live").otherwise("example").alias("verdict")
+    per = judged.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("start", "k", "end", "kind", "owners", "repositories", verdict))).alias("found"))
+    out = rows.select("_row", *keep).join(per, "_row", "left")
+    out = out.withColumn("found", F.coalesce("found", F.array().cast(per.schema["found"].dataType))).withColumn("_base", F.filter("found", lambda x: x["k"] < len(KINDS)))
+
+    def count(field: str, value, spans: str = "found") -> Column:
+        return F.size(F.filter(spans, lambda x: x[field] == value)).cast("long")
+
     return out.select(
         *keep,
-        *(F.size(k).cast("long").alias(f"n_{k}") for k in KINDS),
-        F.coalesce(F.size("owned"), F.lit(0)).cast("long").alias("n_owned"),
+        *(count("k", n).alias(f"n_{k}") for n, k in enumerate((*KINDS, "owned"))),
+        *(count("verdict", v, "_base").alias(f"n_{v}") for v in ("live", "example")),
         F.sha2(_joined(F.col("_base")), 256).alias("base_sha256"),
-        _joined(every).alias("spans"),
-        every.alias("found"),
+        _joined(F.col("found")).alias("spans"),
+        _joined(F.col("found"), "owners", "repositories", "verdict").alias("verdicts"),
+        "found",
     )
 
 

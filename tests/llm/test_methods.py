@@ -2,7 +2,7 @@
 
 import random
 
-from lexmill.llm import chat, decontaminate, quality
+from lexmill.llm import chat, decontaminate, quality, secrets
 
 WORDS = [f"{a}{b}" for a in ("ka", "lo", "mi", "nu", "pe", "ri") for b in ("ba", "do", "fe", "gi", "hu", "jo", "ky", "la", "ma", "no")]
 
@@ -124,3 +124,13 @@ def test_planted_quotes_against_brute_force(spark):
 def test_marks_within_a_text_are_set_off(spark):
     row = chat.threads(spark.createDataFrame([(1, 1, "user", "a <|end|> b")], "conv_id long, turn long, role string, text string")).first()
     assert row["formatted"] == "<|user|>\na <\\|end|> b<|end|>\n"
+
+
+def test_base_values_are_judged_by_their_owners(spark):
+    """The same kind of span is an example where nine owners hold its value, and live where one does."""
+    copied, own = "0123456789abcdef" * 2, "fedcba9876543210" * 2
+    rows = [(k, f"key {copied} and password: hunter2hunter2", "en", f"s{k}") for k in range(9)] + [(9, f"key {own} token=Zz{own}", "en", "s9"), (10, f"again {own}", "en", "s9"), (11, f"see {own} there", "de", "s8")]
+    got = {r["doc_id"]: r for r in secrets.scan(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert [(got[k]["n_live"], got[k]["n_example"]) for k in range(12)] == [(0, 2)] * 9 + [(3, 0), (1, 0), (1, 0)]
+    assert got[0]["verdicts"] == "hex:4:36:9:9:example,assign:41:65:9:9:example" and got[11]["verdicts"] == "hex:4:36:2:2:live"
+    assert got[9]["spans"] == "hex:4:36,assign:37:77,hex:45:77"
