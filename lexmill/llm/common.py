@@ -8,6 +8,7 @@ over words.
 
 from __future__ import annotations
 
+import re
 import tempfile
 from collections.abc import Callable, Iterator
 
@@ -30,10 +31,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share; a local one is made only where none is set."""
+    """The folder that all executors share; a local one is made only where none is set and all runs on one machine."""
     sc = spark.sparkContext
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         where = tempfile.mkdtemp(prefix="lexmill-")
         spark.conf.set("spark.checkpoint.dir", where)
     if sc.getCheckpointDir() is None:
@@ -41,6 +44,12 @@ def shared_dir(spark: SparkSession) -> str:
     return where
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of the file system that Spark knows it by."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 #: Lets Spark drop the shuffle files of a query once its result is written.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 

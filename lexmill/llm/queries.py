@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from . import decontaminate as _decontaminate
 from . import chat, extract, minhash, mixing, quality, secrets, suffix, toxicity, warc
-from .common import read_table
+from .common import delete, read_table, shared_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,14 +32,20 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = warc.archive(read_table(spark, sf_dir, "pages"))
-    return rows.select(
-        F.col("metadata.fields")["pageId"].cast("long").alias("page_id"),
-        F.col("response.declared_bytes").alias("payload_bytes"),
-        F.col("response.digest").alias("payload_digest"),
+    """The digest columns of an archive that is deleted again; a payload that isn't read back as declared is an error."""
+    folder = f"{shared_dir(spark).rstrip('/')}/warc-{uuid.uuid4().hex}"
+    rows = warc.archive(read_table(spark, sf_dir, "pages"), folder, payload=False)
+    fields = F.col("metadata.fields")
+    mark = F.when(F.col("response.intact"), F.col("response.payload_digest")).when(F.col("response.type") == "revisit", F.col("response.digest"))
+    out = rows.select(
+        fields["pageId"].cast("long").alias("page_id"),
+        F.coalesce("response.payload_bytes", "response.declared_bytes").alias("payload_bytes"),
+        F.coalesce(mark, F.raise_error(F.concat(F.lit("a payload was damaged: "), "id"))).alias("payload_digest"),
         F.col("response.type").alias("record_type"),
-        F.regexp_extract("response.refers_to", "page:(-?[0-9]+)>", 1).try_cast("long").alias("refers_to"),
+        fields["refersToPage"].cast("long").alias("refers_to"),
     )
+    delete(spark, folder)  # its records are cut
+    return out
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,13 +1,17 @@
 """WARC archives: written from pages, read back, and assembled into captures.
 
 Every capture has three records: a request, a response (or a revisit of an
-earlier response with the same payload) and a metadata record.  The last two
-name the record they belong to by WARC-Concurrent-To.  Each record is a gzip
+earlier response with the same payload) and a metadata record.  The first and the last
+name the record between them by WARC-Concurrent-To.  Each record is a gzip
 member of its own, so an archive can be cut at any record.
 
-Writing: a task writes whole captures to files of at most FILE_BYTES in the shared folder, under a
-temporary name that is moved when complete; a task that runs twice replaces its
-own files by the same captures.  Reading: files are cut into records, and the
+Spark's own writer and reader for text do the storage, by Hadoop's file systems: a capture is a
+line of bytes, and the end of a line is an empty gzip member (GAP), which any
+reader of gzip passes over and which can't occur within a member.  So files are committed as any table's are,
+a task that runs twice leaves no second file, and large files are
+read in splits.  An archive's files are named `part-*`; their content is WARC.
+
+Reading: lines are cut into records, payload digests are computed anew, and the
 three record types are joined by their identifiers into one nested row.
 """
 
@@ -15,24 +19,26 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import io
 import uuid
 import zlib
 from collections.abc import Iterator
 from functools import partial
 
 import pyarrow as pa
-from pyarrow import fs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from .common import shared_dir, sliced
+from .common import count_of, cut, shared_dir, sliced
 
-FILE_BYTES = 32 << 20
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-RECORD = "id string, type string, concurrent_to string, refers_to string, uri string, digest string, http_status int, declared_bytes long, fields map<string,string>, payload binary"
+RECORD = "id string, type string, concurrent_to string, refers_to string, uri string, digest string, http_status int, declared_bytes long, payload_bytes long, payload_digest string, fields map<string,string>, payload binary"
+#: Fixed value: a gzip member without content, as characters of one byte each.
+GAP = "\x1f\x8b\x08\x00\x00\x00\x00\x00\x00\x03\x03\x00\x00\x00\x00\x00\x00\x00\x00\x00"
+LINES = {"lineSep": GAP, "encoding": "ISO-8859-1"}
+#: Payloads that more than one row holds, up to so many, are sent to all executors (60 bytes each).
+MAX_SENT_REPEATS = 300_000
 
 
 def digest(payload: bytes) -> str:
@@ -51,14 +57,21 @@ def _clean(value: str | None) -> str:
     return " ".join((value or "").split())
 
 
-def capture(key: str, page_id: int | None, url: str | None, payload: bytes, first: int | None) -> bytes:
-    """The three records of a capture; first: the page whose response it revisits."""
+def name_of(run: str, *parts) -> str:
+    """A record id that depends on the archive and on `parts` alone."""
+    return f"<urn:uuid:{uuid.uuid5(uuid.UUID(run), '|'.join(map(str, parts)))}>"
+
+
+def capture(run: str, serial: str, page_id: int | None, url: str | None, payload: bytes, first: int | None, single: bool) -> bytes:
+    """The three records of a capture; first: the page whose response it revisits; single: no other response has this page and payload."""
     uri = _clean(url) or "urn:lexmill:no-url"
     path = uri.split("://", 1)[-1].partition("/")[2].partition("#")[0]
     host = uri.split("://", 1)[-1].partition("/")[0]
-    name = f"<urn:lexmill:response:{key}>"
-    common = {"WARC-Date": DATE, "WARC-Target-URI": uri}
     mark = digest(payload)
+    # a page that is there twice with one payload has no single response, so others can't name it
+    own = first is None and single and page_id is not None
+    name = name_of(run, "response", page_id, mark) if own else name_of(run, "capture", serial)
+    common = {"WARC-Date": DATE, "WARC-Target-URI": uri}
     http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % len(payload)
     ask = f"GET /{path} HTTP/1.1\r\nHost: {host}\r\n\r\n".encode()
     fields = "".join(f"{k}: {v}\r\n" for k, v in (("pageId", page_id), ("refersToPage", first), ("hasUrl", int(url is not None))) if v is not None)
@@ -66,64 +79,46 @@ def capture(key: str, page_id: int | None, url: str | None, payload: bytes, firs
     if first is None:
         body = record({"WARC-Type": "response", "WARC-Record-ID": name, **common, **about}, http + payload)
     else:
-        seen = {"WARC-Refers-To": f"<urn:lexmill:page:{first}>", "WARC-Profile": PROFILE}
+        seen = {"WARC-Profile": PROFILE} | ({"WARC-Refers-To": name_of(run, "response", first, mark)} if single else {})
         body = record({"WARC-Type": "revisit", "WARC-Record-ID": name, **common, **about, **seen}, http)
     near = {"WARC-Concurrent-To": name}
-    request = record({"WARC-Type": "request", "WARC-Record-ID": f"<urn:lexmill:request:{key}>", **common, **near, "Content-Type": "application/http; msgtype=request"}, ask)
-    meta = record({"WARC-Type": "metadata", "WARC-Record-ID": f"<urn:lexmill:metadata:{key}>", **common, **near, "Content-Type": "application/warc-fields"}, fields.encode())
+    request = record({"WARC-Type": "request", "WARC-Record-ID": name_of(run, "request", serial), **common, **near, "Content-Type": "application/http; msgtype=request"}, ask)
+    meta = record({"WARC-Type": "metadata", "WARC-Record-ID": name_of(run, "metadata", serial), **common, **near, "Content-Type": "application/warc-fields"}, fields.encode())
     return request + body + meta
 
 
-def _store(uri: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(uri) if "://" in uri or uri.startswith("file:") else (fs.LocalFileSystem(), uri)
-
-
-def _write(batches, folder: str) -> Iterator[pa.RecordBatch]:
-    """(path, captures, bytes) of each file written from (page_id, url, html, first)."""
-    task = TaskContext.get()
-    part, attempt = task.partitionId(), task.taskAttemptId()
-    store, base = _store(folder)
-    buffer, count, number, serial = io.BytesIO(), 0, 0, 0
-    done: list[tuple[str, int, int]] = []
-
-    def close() -> None:
-        nonlocal buffer, count, number
-        if count:
-            path = f"{base}/part-{part:06d}-{number:05d}.warc.gz"
-            draft = f"{base}/.draft-{part}-{number}-{attempt}"
-            with store.open_output_stream(draft) as out:
-                out.write(buffer.getvalue())
-            store.move(draft, path)
-            done.append((path, count, buffer.tell()))
-            buffer, count, number = io.BytesIO(), 0, number + 1
-
+def _write(batches, run: str) -> Iterator[pa.RecordBatch]:
+    """The captures of (page_id, url, html, first, single) as bytes, one a row."""
+    part, serial = TaskContext.get().partitionId(), 0
     for batch in batches:
         for piece in sliced(batch, "html"):
-            for page, url, html, first in zip(*(piece.column(k).to_pylist() for k in range(4)), strict=True):
-                buffer.write(capture(f"{part}-{serial}", page, url, (html or "").encode(), first))
-                serial, count = serial + 1, count + 1
-                if buffer.tell() >= FILE_BYTES:
-                    close()
-    close()
-    yield pa.RecordBatch.from_arrays([pa.array([d[k] for d in done], t) for k, t in enumerate((pa.string(), pa.int64(), pa.int64()))], names=["path", "captures", "bytes"])
+            out = []
+            for page, url, html, first, single in zip(*(piece.column(k).to_pylist() for k in range(5)), strict=True):
+                out.append(capture(run, f"{part}-{serial}", page, url, (html or "").encode(), first, single))
+                serial += 1
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["value"])
 
 
-def write(pages: DataFrame, folder: str) -> DataFrame:
-    """Writes the archives; returns (path, captures, bytes) of the files, from the manifest beside them.
+def write(pages: DataFrame, folder: str) -> int:
+    """Writes the archives of `pages` to a new folder; returns the number of captures.
 
     Of rows with equal payloads those with the smallest page_id become responses,
     the others revisits of it.  A row without page_id is a revisit if any row with a page_id
-    holds its payload, else a response.
+    holds its payload, else a response.  Pages are moved only to find the
+    revisits of payloads that more rows hold than fit a broadcast.
     """
-    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(pages["html"].cast("string"), F.lit("")).alias("html")).withColumn("_key", F.sha2("html", 256))
-    firsts = rows.groupBy("_key").agg(F.min("page_id").alias("first"))
-    known = rows.join(firsts, "_key").select("page_id", "url", "html", F.when(F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first")), F.col("first")).alias("first"))
-    store, base = _store(folder)
-    store.create_dir(base, recursive=True)
-    # in a fixed order, so that a task that runs again makes the same files
-    known = known.select("page_id", "url", "html", "first").sortWithinPartitions("page_id", "url", "html")
-    known.mapInArrow(partial(_write, folder=folder), "path string, captures long, bytes long").write.parquet(f"{folder}/_manifest")
-    return pages.sparkSession.read.parquet(f"{folder}/_manifest")
+    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(pages["html"].cast("string"), F.lit("")).alias("html"), F.sha2(F.coalesce(pages["html"].cast("string"), F.lit("")), 256).alias("mark"))
+    held = rows.groupBy("mark", "page_id").agg(F.count(F.lit(1)).alias("n"))
+    named = F.when(F.col("page_id").isNotNull(), F.struct("page_id", "n"))
+    repeats = cut(held.groupBy("mark").agg(F.min(named).alias("first"), F.sum("n").alias("rows")).where("rows > 1 and first is not null").select(F.col("mark").alias("_mark"), "first"))
+    if count_of(repeats) <= MAX_SENT_REPEATS:
+        repeats = F.broadcast(repeats)
+    other = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first.page_id"))
+    known = rows.join(repeats, F.col("mark") == F.col("_mark"), "left").select("page_id", "url", "html", F.when(other, F.col("first.page_id")).alias("first"), F.coalesce(F.col("first.n") == 1, F.lit(True)).alias("single"))
+    seen = Observation()
+    lines = known.mapInArrow(partial(_write, run=str(uuid.uuid4())), "value binary").observe(seen, F.count(F.lit(1)).alias("n"))
+    lines.select(F.col("value").cast("string").alias("value")).write.options(**LINES).text(folder)
+    return seen.get["n"]
 
 
 def _members(data: bytes) -> Iterator[tuple]:
@@ -141,7 +136,8 @@ def _members(data: bytes) -> Iterator[tuple]:
             if at + window >= len(view):
                 raise ValueError("the archive ends within a record")
             window *= 4
-        yield raw
+        if raw:
+            yield raw
 
 
 def records(data: bytes) -> Iterator[tuple]:
@@ -163,53 +159,67 @@ def records(data: bytes) -> Iterator[tuple]:
         elif kind == "metadata":
             fields = {k.strip(): v.strip() for k, _, v in (x.partition(":") for x in block.decode("utf-8", "replace").split("\r\n") if x)}
         mark = h.get("warc-payload-digest", "").removeprefix("sha1:") or None
-        yield h["warc-record-id"], kind, h.get("warc-concurrent-to"), h.get("warc-refers-to"), h.get("warc-target-uri"), mark, status, size, list(fields.items()), payload
+        yield h["warc-record-id"], kind, h.get("warc-concurrent-to"), h.get("warc-refers-to"), h.get("warc-target-uri"), mark, status, size, None if payload is None else len(payload), None if payload is None else digest(payload), list(fields.items()), payload
 
 
-def _read(batches) -> Iterator[pa.RecordBatch]:
-    types = [pa.string()] * 6 + [pa.int32(), pa.int64(), pa.map_(pa.string(), pa.string()), pa.binary()]
+def _read(batches, payload: bool) -> Iterator[pa.RecordBatch]:
+    types = [pa.string()] * 6 + [pa.int32(), pa.int64(), pa.int64(), pa.string(), pa.map_(pa.string(), pa.string()), pa.binary()]
     names = [x.split()[0] for x in RECORD.split(", ")]
+
+    def packed(held: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held, strict=True), types, strict=True)], names=names)
+
     for batch in batches:
-        for data in batch.column(0).to_pylist():
-            held: list[tuple] = []
-            size = 0
-            for r in records(data):
-                held.append(r)
-                size += len(r[-1] or b"") + 500
+        held: list[tuple] = []
+        size = 0
+        for line in batch.column(0):
+            for r in records(line.as_py()):
+                held.append(r if payload else (*r[:-1], None))
+                size += len(held[-1][-1] or b"") + 500
                 if size > 1 << 21:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held, strict=True), types, strict=True)], names=names)
+                    yield packed(held)
                     held, size = [], 0
-            if held:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held, strict=True), types, strict=True)], names=names)
+        if held:
+            yield packed(held)
 
 
-def read(spark: SparkSession, folder: str) -> DataFrame:
-    """All records of the archives in a folder."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.gz").load(folder)
-    return files.select("content").mapInArrow(_read, RECORD)
+def read(spark: SparkSession, folder: str, payload: bool = True) -> DataFrame:
+    """All records of the archives in a folder; without `payload` that column is null, its length and digest are there."""
+    lines = spark.read.options(**LINES).text(folder)
+    return lines.select(F.col("value").cast("binary").alias("value")).mapInArrow(partial(_read, payload=payload), RECORD)
 
 
 def captures(records: DataFrame) -> DataFrame:
     """One nested row per capture: uri, response, request and metadata, joined by WARC-Concurrent-To.
 
+    response.intact says that the payload read back has the digest declared (null for a revisit, which has none).
     A capture without request or metadata has null there; request and metadata records
-    of no known response are left out.
+    of no known response are left out.  The records are read three times, unless they were cut before.
     """
     main = records.where("type in ('response', 'revisit')")
     asked = records.where("type = 'request'").select(F.col("concurrent_to").alias("id"), F.struct(F.col("id").alias("id")).alias("request"))
     about = records.where("type = 'metadata'").select(F.col("concurrent_to").alias("id"), F.struct(F.col("id").alias("id"), "fields").alias("metadata"))
-    whole = main.select("id", "uri", F.struct("type", "refers_to", "digest", "http_status", "declared_bytes", F.length("payload").cast("long").alias("payload_bytes"), "payload").alias("response"))
+    intact = ((F.col("payload_digest") == F.col("digest")) & (F.col("payload_bytes") == F.col("declared_bytes"))).alias("intact")
+    whole = main.select("id", "uri", F.struct("type", "refers_to", "digest", "http_status", "declared_bytes", "payload_bytes", "payload_digest", intact, "payload").alias("response"))
     return whole.join(asked, "id", "left").join(about, "id", "left")
 
 
-def archive(pages: DataFrame, folder: str | None = None) -> DataFrame:
+def archive(pages: DataFrame, folder: str | None = None, payload: bool = True) -> DataFrame:
     """Writes `pages` to archives, reads them back, and returns the nested captures.
 
-    pages: page_id, url, html; further columns are ignored.  Null html is an
+    pages: page_id, url, html; further columns are ignored.  Null and empty html is an
     empty payload; a null url is written as a placeholder.  Repeated rows are
-    captures of their own.  An empty table writes no file and returns no rows.
+    captures of their own, all of them responses or all revisits; as no single one is the
+    original, revisits of them carry its page but no WARC-Refers-To.  Very long pages are
+    written whole.  An empty table writes no record and returns no rows.  It is an error
+    if fewer captures are read than were written (found without `payload`, where the archive is read once).
     """
     spark = pages.sparkSession
     folder = folder or f"{shared_dir(spark).rstrip('/')}/warc-{uuid.uuid4().hex}"
-    write(pages, folder)
-    return captures(read(spark, folder))
+    written = write(pages, folder)
+    found = read(spark, folder, payload)
+    if not payload:
+        found = cut(found)
+        if (kept := count_of(found.where("type in ('response', 'revisit')"))) != written:
+            raise ValueError(f"{written} captures were written and {kept} read")
+    return captures(found)

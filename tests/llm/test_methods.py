@@ -1,8 +1,9 @@
 """What sets each method apart, on small planted tables."""
 
+import gzip
 import random
 
-from lexmill.llm import chat, decontaminate, quality, secrets
+from lexmill.llm import chat, decontaminate, quality, secrets, warc
 
 WORDS = [f"{a}{b}" for a in ("ka", "lo", "mi", "nu", "pe", "ri") for b in ("ba", "do", "fe", "gi", "hu", "jo", "ky", "la", "ma", "no")]
 
@@ -134,3 +135,31 @@ def test_base_values_are_judged_by_their_owners(spark):
     assert [(got[k]["n_live"], got[k]["n_example"]) for k in range(12)] == [(0, 2)] * 9 + [(3, 0), (1, 0), (1, 0)]
     assert got[0]["verdicts"] == "hex:4:36:9:9:example,assign:41:65:9:9:example" and got[11]["verdicts"] == "hex:4:36:2:2:live"
     assert got[9]["spans"] == "hex:4:36,assign:37:77,hex:45:77"
+
+
+def test_archives_are_plain_gzip_and_join_within_themselves(spark, tmp_path):
+    """Ids are unique over archives, revisits name a record that is there, and any gzip reader reads the files."""
+    rows = [(k, f"http://h/{k}", "same" if k % 3 == 0 else f"<p>page {k}</p>") for k in range(40)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    for name in "ab":
+        assert warc.write(pages, f"{tmp_path}/{name}") == 40
+    raw = b"".join(gzip.decompress(f.read_bytes()) for f in (tmp_path / "a").glob("part-*"))
+    assert raw.count(b"WARC/1.1\r\n") == 120 and raw.count(b"WARC-Type: revisit") == 13
+    both = warc.read(spark, f"{tmp_path}/a").unionByName(warc.read(spark, f"{tmp_path}/b"))
+    assert both.select("id").distinct().count() == 240 and warc.captures(both).count() == 80
+    out = warc.captures(both).collect()
+    ids = {r["id"]: r for r in out}
+    for r in out:
+        page = int(r["metadata"]["fields"]["pageId"])
+        if r["response"]["type"] == "revisit":
+            assert ids[r["response"]["refers_to"]]["metadata"]["fields"]["pageId"] == "0" == r["metadata"]["fields"]["refersToPage"]
+        else:
+            assert r["response"]["intact"] and bytes(r["response"]["payload"]).decode() == rows[page][2]
+
+
+def test_damage_is_seen(spark, tmp_path):
+    page = warc.capture("0" * 32, "0-0", 1, "http://h/", b"<p>text</p>", None, True)
+    parts = list(warc._members(page))
+    broken = warc.zlib.compress(parts[1].replace(b"text", b"tixt"), wbits=31)
+    one = spark.createDataFrame([(bytearray(broken),)], "value binary").mapInArrow(warc.partial(warc._read, payload=True), warc.RECORD)
+    assert [r["response"]["intact"] for r in warc.captures(one).collect()] == [False]
