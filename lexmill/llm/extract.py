@@ -5,11 +5,13 @@ stop-word density and link density; blocks within page furniture (menus,
 headers, footers, sidebars, notices, adverts, forms, comments) are out at once.
 Short blocks with few stop words are ambiguous.  Pass two gives every ambiguous
 block the label of its nearest decided neighbours: of both sides if they agree,
-else of the side that lies in the same container, else out.
+else of the side that lies in the same container, else out.  On a page without any
+decided block the ambiguous ones are the text.
 
-Where a page marks its article (`article`, `main` or role=main), the marked part
-is the frame: blocks outside it are out, and inside it only furniture is, because an
-author's short or odd paragraph, or one that is a link, is still the article.
+Where a page marks its article (`article`, `main` or role=main), that is a prior, not a verdict: a
+block inside needs one of length and stop words, is never out for its links (an author's
+paragraph may be one), and blocks outside are out.  The mark is set aside where the text
+outside it that passes by the rules alone is FRAME_ODDS times as long, as on a page of teasers.
 """
 
 from __future__ import annotations
@@ -34,13 +36,14 @@ RAW_TAGS = frozenset("script style noscript template svg math iframe object embe
 #: Elements that are page furniture.
 FURNITURE_TAGS = frozenset("nav header footer aside form menu dialog".split())
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-#: Words in class, id or role that mark page furniture.
-FURNITURE_WORDS = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|advert\w*|banner|sponsor\w*|promo\w*|menu|nav\w*|breadcrumbs?|sidebar|side|footer|header|masthead|cookies?|consent|gdpr|notice|alert|"
-    r"popup|modal|overlay|newsletter|subscri\w*|signup|login|share|sharing|social|related|recommend\w*|comments?|replies|respond|disqus|pagination|pager|"
-    r"toolbar|widget|copyright|legal|search|tags?|meta|contentinfo|complementary|navigation)(?:$|[\s_-])",
-    re.I,
-)
+#: Words in class, id or role that mark page furniture, on any element and on containers only.
+FURNITURE = "ad|ads|advert\\w*|banner|sponsor\\w*|promo\\w*|menu|nav\\w*|breadcrumbs?|cookies?|consent|gdpr|popup|modal|newsletter|subscri\\w*|share|sharing|social|comments?|replies|disqus|pagination|pager|contentinfo|complementary|navigation"
+CONTAINER_ONLY = "sidebar|side|footer|header|masthead|notice|alert|overlay|signup|login|related|recommend\\w*|respond|toolbar|widget|copyright|legal|search|tags?|meta"
+FURNITURE_WORDS = re.compile(rf"(?:^|[\s_-])(?:{FURNITURE}|{CONTAINER_ONLY})(?:$|[\s_-])", re.I)
+LINE_WORDS = re.compile(rf"(?:^|[\s_-])(?:{FURNITURE})(?:$|[\s_-])", re.I)
+#: Elements that hold a line or a part of one, and classes of an article that isn't the page's.
+LINE_TAGS = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre figcaption caption span a b i em strong u s small sub sup code q cite abbr time mark td th dt dd".split())
+OTHER_ARTICLES = frozenset("comment comments reply replies respond ad ads advert advertisement promo sponsored teaser related".split())
 #: Frequent function words of the languages covered.
 STOP_WORDS = frozenset(
     (
@@ -54,17 +57,39 @@ STOP_WORDS = frozenset(
 MAX_LINK_DENSITY = 0.5
 LONG, SHORT = 140, 60
 HIGH_STOPS, LOW_STOPS = 0.30, 0.15
+FRAME_ODDS = 3
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
-_MARKS = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
+_ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+_UNSEEN = re.compile(r"(?:display\s*:\s*none|visibility\s*:\s*hidden)", re.I)
 _WORD = re.compile(r"\w+")
-_HREF = re.compile(r"(?:^|[\s\"'/])href\s*=", re.I)
 _BARE_SLASH = re.compile(r"=\s*[^\s\"'=]+/$")  # the slash belongs to a value without quotes
 #: Elements that a new one of the same kind closes, and the ones that close an open paragraph.
 _CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 
 
+def attributes_of(source: str) -> dict[str, str]:
+    """Attributes by name in lower case; of a name that is there twice the first counts."""
+    out: dict[str, str] = {}
+    for name, a, b, c in _ATTRIBUTE.findall(source):
+        out.setdefault(name.lower(), unescape(a or b or c))
+    return out
+
+
+def furnishes(tag: str, marks: dict[str, str], article: bool) -> bool:
+    """Whether an element is page furniture; article: it lies within a marked article."""
+    if tag in FURNITURE_TAGS and not (tag == "header" and article):
+        return True
+    if "hidden" in marks or marks.get("aria-hidden", "").lower() == "true" or _UNSEEN.search(marks.get("style", "")):
+        return True
+    names = " ".join(marks[k] for k in ("class", "id", "role") if marks.get(k))
+    if not names or tag in ("html", "body", "main"):
+        return False
+    if tag == "article" or marks.get("role", "").lower() == "main":
+        return not OTHER_ARTICLES.isdisjoint(names.lower().split())
+    return bool((LINE_WORDS if tag in LINE_TAGS else FURNITURE_WORDS).search(names))
+
+
 class Block:
     __slots__ = ("text", "links", "out", "inside", "holder", "label")
 
@@ -161,64 +186,70 @@ def blocks_of(html: str) -> list[Block]:
         in_link = bool(stack) and stack[-1][4]
         if not attributes.endswith("/") or tag == "a" and _BARE_SLASH.search(attributes):
             furniture, article = (stack[-1][1], stack[-1][2]) if stack else (False, False)
-            marks = " ".join((a or b or c) for _, a, b, c in _MARKS.findall(attributes)) if attributes else ""
-            frame = tag in ("article", "main") or "main" in marks.lower().split()
-            part = tag in FURNITURE_TAGS and not (tag == "header" and article) or bool(marks and not frame and tag not in ("html", "body") and FURNITURE_WORDS.search(marks)) or bool(attributes and _HIDDEN.search(attributes))
+            marks = attributes_of(attributes) if attributes else {}
+            frame = tag in ("article", "main") or marks.get("role", "").lower() == "main"
+            part = furnishes(tag, marks, article)
             number += 1
             furniture, article = furniture or part, (article or frame) and not part
-            in_link = in_link or tag == "a" and bool(_HREF.search(attributes))
+            in_link = in_link or tag == "a" and "href" in marks
             stack.append((tag, furniture, article, number, in_link))
     flush()
     return out
 
 
-def classify(blocks: list[Block]) -> None:
-    """Pass one: good, bad or ambiguous ('')."""
-    framed = any(b.inside and not b.out for b in blocks)
+def _stops(text: str) -> float:
+    words = _WORD.findall(text.lower())
+    return sum(w in STOP_WORDS for w in words) / max(1, len(words))
+
+
+def _rated(b: Block, inside: bool) -> str:
+    """Pass one for one block that is no furniture: good, bad or ambiguous ('')."""
+    size, density = len(b.text), b.links / len(b.text)
+    if density > MAX_LINK_DENSITY:
+        return "" if inside else "bad"
+    stops = _stops(b.text)
+    if inside:
+        return "good" if size >= SHORT or stops >= LOW_STOPS else ""
+    if size >= LONG:
+        return "good" if stops >= LOW_STOPS or density < 0.1 else ""
+    return "good" if size >= SHORT and stops >= HIGH_STOPS else ""
+
+
+def classify(blocks: list[Block]) -> bool:
+    """Pass one over all blocks; returns whether the marked article holds."""
     for b in blocks:
-        size = len(b.text)
-        density = b.links / size
-        if b.out or framed and not b.inside:
-            b.label = "bad"
-        elif framed:
-            b.label = "good" if size >= SHORT else ""
-        elif density > MAX_LINK_DENSITY:
+        b.label = "bad" if b.out else _rated(b, b.inside)
+    within = sum(len(b.text) for b in blocks if b.inside and not b.out)
+    outside = sum(len(b.text) for b in blocks if not b.inside and b.label == "good")
+    framed = within > 0 and outside < FRAME_ODDS * within
+    for b in blocks:
+        if framed and not b.inside:
             b.label = "bad"
-        else:
-            words = _WORD.findall(b.text.lower())
-            stops = sum(w in STOP_WORDS for w in words) / max(1, len(words))
-            if size >= LONG:
-                b.label = "good" if stops >= LOW_STOPS or density < 0.1 else ""
-            elif size >= SHORT and stops >= HIGH_STOPS:
-                b.label = "good"
+        elif not framed and b.inside and not b.out:
+            b.label = _rated(b, False)
+    return framed
 
 
-def inherit(blocks: list[Block]) -> None:
+def inherit(blocks: list[Block], framed: bool) -> None:
     """Pass two: ambiguous blocks take the label of their nearest decided neighbours."""
-    n = len(blocks)
-    before, after = [-1] * n, [-1] * n
-    last = -1
-    for k in range(n):
-        before[k] = last
-        last = k if blocks[k].label and not blocks[k].out else last
-    last = -1
-    for k in range(n - 1, -1, -1):
-        after[k] = last
-        last = k if blocks[k].label and not blocks[k].out else last
-    framed = any(b.inside and not b.out for b in blocks)
+    heard = [k for k, b in enumerate(blocks) if b.label and not b.out and (b.inside or not framed)]
+    nothing = not any(blocks[k].label == "good" for k in heard)
     decided = []
+    at = 0
     for k, b in enumerate(blocks):
+        while at < len(heard) and heard[at] < k:
+            at += 1
         if b.label:
             continue
-        near = [blocks[j] for j in (before[k], after[k]) if j >= 0 and (not framed or blocks[j].inside)]
+        near = [blocks[j] for j in (*heard[max(0, at - 1) : at], *heard[at : at + 1])]
         labels = {x.label for x in near}
-        if not near:
-            label = "good" if framed or n == 1 else "bad"
+        if nothing:
+            label = "good" if framed or b.links / len(b.text) <= MAX_LINK_DENSITY else "bad"
         elif len(labels) == 1:
             label = labels.pop()
         else:
             same = [x.label for x in near if x.holder == b.holder]
-            label = "good" if framed or same == ["good"] or "good" in same and len(same) == 2 and len(b.text) >= SHORT else "bad"
+            label = "good" if same == ["good"] or "good" in same and len(same) == 2 and len(b.text) >= SHORT else "bad"
         decided.append((b, label))
     for b, label in decided:
         b.label = label
@@ -227,8 +258,7 @@ def inherit(blocks: list[Block]) -> None:
 def main_text(html: str) -> str:
     """Good blocks, joined by one newline each; empty if none."""
     blocks = blocks_of(html)
-    classify(blocks)
-    inherit(blocks)
+    inherit(blocks, classify(blocks))
     return "\n".join(b.text for b in blocks if b.label == "good")
 
 
@@ -244,7 +274,7 @@ def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars: the main text of every page, one row per input row.
 
     pages: page_id, url, html; further columns are ignored.  Null or empty html
-    gives an empty text.  Broken markup is read as far as it goes: an unclosed
+    gives an empty text; very long pages are read whole.  Broken markup is read as far as it goes: an unclosed
     comment or script runs to the end, other unclosed elements are closed by
     their parents.  Repeated rows give equal rows; an empty table none.
     """
