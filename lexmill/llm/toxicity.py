@@ -82,6 +82,13 @@ def _features(batch: pa.RecordBatch) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([batch.column(0), pa.array(f, pa.binary())], names=["toxic", "slots"])
 
 
+def drawn(rows: DataFrame, most: int) -> DataFrame:
+    """The `most` distinct rows (doc_id, text, toxic) with the least hash of all three: a draw that no label or order sways."""
+    marked = rows.select("doc_id", "text", "toxic", F.xxhash64("doc_id", "text", "toxic").alias("mark"))
+    last = marked.select("mark").distinct().orderBy("mark").limit(most).agg(F.max("mark").alias("m")).first()["m"]
+    return marked.where(F.col("mark") <= F.lit(last)).dropDuplicates(["mark"]).drop("mark")
+
+
 def fit(rows: DataFrame) -> tuple[np.ndarray, float]:
     """Weights by slot and bias, from (doc_id, text, toxic) rows."""
     counts = rows.select("text", "toxic").mapInArrow(_counted, "slot long, positive long, negative long").groupBy("slot").agg(F.sum("positive").alias("p"), F.sum("negative").alias("n"))
@@ -99,9 +106,8 @@ def fit(rows: DataFrame) -> tuple[np.ndarray, float]:
         return np.zeros(1 << BITS), float(np.log(share / (1 - share)))
     ratio = np.log(p / (total[1] + 2 * SMOOTHING)) - np.log(n / (total[0] + 2 * SMOOTHING))
     ratio[(p + n < LEAST_ROWS + 2 * SMOOTHING) | (np.abs(ratio) < LEAST_RATIO)] = 0
-    drawn = rows.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_FIT_ROWS)
-    got = rows.join(F.broadcast(drawn), "doc_id", "left_semi").select("toxic", "text").mapInArrow(arrow_rows(_features), "toxic int, slots binary").toPandas()
-    got = got.sort_values(["toxic", "slots"], ignore_index=True).iloc[: 2 * MAX_FIT_ROWS]  # a doc_id may have more rows
+    got = drawn(rows, MAX_FIT_ROWS).select("toxic", "text").mapInArrow(arrow_rows(_features), "toxic int, slots binary").toPandas()
+    got = got.sort_values(["toxic", "slots"], ignore_index=True)
     y = got["toxic"].to_numpy(np.float64)
     each = [np.frombuffer(b, np.int32) for b in got["slots"]]
     sizes = np.array([len(x) for x in each])
@@ -154,7 +160,8 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     ignored); further columns are ignored.  Null text counts as empty and gets the
     score of a text without features.  A null doc_id is not held out and never
     labelled.  Without labels, or with one label only, all scores are equal.  A
-    doc_id labelled twice counts once for each label.  Empty tables give no rows.
+    doc_id labelled twice counts once for each label; rows that share a doc_id share its label and are
+    scored each by its own text.  Texts of any length are read whole.  Empty tables give no rows.
     """
     spark = docs.sparkSession
     data = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
