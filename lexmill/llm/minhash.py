@@ -199,8 +199,10 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
 
     Null or blank text: an empty set, linked with nothing.  Null doc_id: the row
     takes no part, component_id is null and kept is false.  Rows that share a
-    doc_id are judged each by its own text; repeated rows get equal results.  An
-    empty table gives no rows.
+    doc_id are one document, which is linked if any of its texts is; n_shingles is that of each row's own text.
+    Repeated rows get equal results; very long texts are compared whole.  An
+    empty table gives no rows.  A link whose texts agree in too few coordinates or share no bucket
+    is not found; see above for how seldom that is.
     """
     least = min_agree(percent)
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -208,16 +210,25 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     live = signed.where("doc_id is not null and n_shingles > 0")
     chosen = live.groupBy("set_key").agg(F.min(F.struct("doc_id", "n_shingles", "bands", "low")).alias("r")).select("set_key", "r.*")
     chosen = cut(chosen)
-    lows = chosen.select("doc_id", "low").dropDuplicates(["doc_id"])
+    shared_ids = cut(live.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
+    alone = shared_ids.isEmpty()
+    lows = chosen.select("doc_id", "low")
     entries = chosen.select("doc_id", F.col("n_shingles").alias("n"), F.explode("bands").alias("bucket"))
     buckets = entries.groupBy("bucket").agg(F.min(F.struct("doc_id", "n")).alias("first"), F.count(F.lit(1)).alias("size")).where("size > 1")
     entries = cut(entries.join(buckets.select("bucket", F.col("first.doc_id").alias("lead"), F.col("first.n").alias("lead_n")), "bucket"))
     texts = source.where("doc_id is not null and text is not null")
+    own = None
+    if not alone:  # a doc_id with several texts: each text once, and links from the doc_id to all its classes
+        texts = texts.dropDuplicates(["doc_id", "text"])
+        classes = chosen.select("set_key", F.col("doc_id").alias("a"))
+        own = cut(live.join(shared_ids.select("doc_id"), "doc_id", "left_semi").join(classes, "set_key").select("a", F.col("doc_id").alias("b")).where("a <> b").distinct())
     near = F.expr(f"100 * least(n, lead_n) >= {percent} * greatest(n, lead_n)")
     pairs = entries.where("doc_id > lead").where(near).groupBy("doc_id").agg(F.min("lead").alias("a")).withColumnRenamed("doc_id", "b")
     pairs = pairs.join(lows.select(F.col("doc_id").alias("b"), F.col("low").alias("low_b")), "b").join(lows.select(F.col("doc_id").alias("a"), F.col("low").alias("low_a")), "a")
     tried = cut(pairs.select("a", "b", "low_a", "low_b").mapInArrow(partial(_likely, least=least), "a long, b long"))
-    links = cut(_linked(tried, texts, words, percent))
+    links = cut(_linked(tried.distinct(), texts, words, percent))
+    if own is not None:
+        links = links.unionByName(own)
     roots = components(links)
     owned = entries.join(roots.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("bucket", "doc_id", F.coalesce("root", "doc_id").alias("root"))
     split = owned.groupBy("bucket").agg(F.min("doc_id").alias("lead"), F.min("root").alias("low_root"), F.max("root").alias("high_root")).where("low_root <> high_root")

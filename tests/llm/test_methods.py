@@ -3,7 +3,7 @@
 import gzip
 import random
 
-from lexmill.llm import chat, decontaminate, quality, secrets, warc
+from lexmill.llm import chat, decontaminate, extract, minhash, quality, secrets, stages, toxicity, warc
 
 WORDS = [f"{a}{b}" for a in ("ka", "lo", "mi", "nu", "pe", "ri") for b in ("ba", "do", "fe", "gi", "hu", "jo", "ky", "la", "ma", "no")]
 
@@ -163,3 +163,48 @@ def test_damage_is_seen(spark, tmp_path):
     broken = warc.zlib.compress(parts[1].replace(b"text", b"tixt"), wbits=31)
     one = spark.createDataFrame([(bytearray(broken),)], "value binary").mapInArrow(warc.partial(warc._read, payload=True), warc.RECORD)
     assert [r["response"]["intact"] for r in warc.captures(one).collect()] == [False]
+
+
+LONG = "The paragraph is long enough to be seen as the text of the page, and it has words that are frequent in the language."
+
+
+def test_attributes_are_read_by_name():
+    for mark in ('title="the hidden cost of it"', 'data-id="side"', 'class="legal"', 'alt="class=ad"', 'data-role=menu', "title='a > b'"):
+        assert extract.main_text(f"<article><p>{LONG}</p><p {mark}>Kept text.</p></article>") == f"{LONG}\nKept text."
+    for mark in ("hidden", 'style="color:red; display: none"', "aria-hidden=true", 'class="ad"', 'ID="cookie-consent"', 'class="x comments"'):
+        assert extract.main_text(f"<article><p>{LONG}</p><p {mark}>{LONG}</p></article>") == LONG
+
+
+def test_other_articles_and_frames_that_do_not_hold():
+    story = f"<article><p>{LONG}</p><p><a href=/x>{LONG}</a></p></article>"
+    for tail in ('<article class="comment byuser"><p>I think so, too, and so do all the others in the town.</p></article>', f'<section id="comments"><article><p>{LONG}</p></article></section>', f"<aside><p>{LONG}</p></aside>"):
+        assert extract.main_text(f"<body>{story}{tail}</body>") == f"{LONG}\n{LONG}"
+    text = "".join(f"<p>{LONG}</p>" for _ in range(6))
+    assert extract.main_text(f"<body><article><p>A teaser of the other story here.</p></article><div>{text}</div></body>").count(LONG) == 6
+    assert extract.main_text("<body><div><p>Few words.</p><p>And a few.</p></div><ul><li><a href=/a>Home</a></li></ul></body>") == "Few words.\nAnd a few."
+
+
+def test_fit_is_bounded_and_blind_to_labels_where_ids_repeat(spark):
+    """The rows of the fit are drawn by hash, also where one doc_id has very many rows."""
+    draw = random.Random(8)
+    rows = [(1, f"bad{k % 5}word vile " + prose(draw, 8)) for k in range(300)] + [(k, "fair good " + prose(draw, 8)) for k in range(2, 300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), *((k, 0) for k in range(2, 300))], "doc_id long, toxic int")
+    drawn = toxicity.drawn(docs.join(labels, "doc_id"), 100)
+    got = drawn.collect()
+    assert len(got) == 100 and 20 < sum(r["toxic"] for r in got) < 80
+    assert sorted(map(tuple, got)) == sorted(map(tuple, toxicity.drawn(docs.repartition(7).join(labels, "doc_id"), 100).collect()))
+    same = spark.createDataFrame([(1, "one and the same")] * 500 + rows, "doc_id long, text string")
+    assert toxicity.drawn(same.join(labels, "doc_id"), 1000).where("text = 'one and the same'").count() == 1
+
+
+def test_rows_that_share_a_doc_id_are_one_document(spark):
+    a, b, c = (" ".join(f"{x}{k}" for k in range(60)) for x in "abc")
+    rows = [(5, a), (5, b), (5, b), (7, b + " tail"), (3, a + " end"), (9, c), (9, c), (8, b)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r["doc_id"], r["component_id"], r["kept"]) for r in minhash.near_duplicates(docs, 5).collect()}
+    assert got == {(5, 3, False), (7, 3, False), (3, 3, True), (9, 9, True), (8, 3, False)}
+    full = docs.selectExpr("doc_id", "text", "'en' lang", "'s' source", "1L n_chars")
+    assert sorted((r["doc_id"], r["text"]) for r in stages.without_near_duplicates(full).collect()) == [(3, a + " end"), (9, c)]
+    two = stages.without_near_duplicates(spark.createDataFrame([(1, a), (1, c), (1, c)], "doc_id long, text string").selectExpr("doc_id", "text", "'en' lang", "'s' source", "1L n_chars"))
+    assert sorted(r["text"] for r in two.collect()) == [a, c]
