@@ -21,7 +21,7 @@ def effective_rights(scopes: DataFrame, rights: DataFrame, today: str) -> DataFr
     live = rights.join(old, "rights_record_id", "left_anti").where(F.col("rights_expires_at").isNull() | (F.col("rights_expires_at") >= today))
     named = F.array(*(F.struct(F.lit(s).alias("scope_type"), F.col(s).alias("scope_id"), F.lit(k).alias("width")) for k, s in enumerate(SCOPES)))
     ladder = scopes.select("artifact", F.explode(named).alias("s")).select("artifact", "s.*").where("scope_id is not null")
-    strict = F.when(F.col("status").isin("denied", "permission_required"), 0).otherwise(1)
+    strict = F.when(F.col("status").isin("prohibited", "permission_required"), 0).otherwise(1)
     best = Window.partitionBy("artifact", "operation").orderBy(F.desc("width"), strict, F.desc("created_at"), "rights_record_id")
     found = ladder.join(live, ["scope_type", "scope_id"]).withColumn("_k", F.row_number().over(best)).where("_k = 1")
     return found.select("artifact", "operation", "scope_type", "status", "rights_record_id")

@@ -28,26 +28,50 @@ ARTIFACTS: tuple[Rule, ...] = (
     ("V8", "artifact_id is null or artifact_id = concat('sha256:', sha256)"),
 )
 WORKS: tuple[Rule, ...] = (
-    ("C2", "schema_version = 'works-v1'"),
-    ("C4", "eligibility_status <> 'eligible' or (length(coalesce(abstract, '')) > 0 and language = 'ru' and year(to_date(published_at)) between 2000 and 2025 and duplicate_of_work_id is null and exclusion_reason is null)"),
+    (
+        "C4",
+        "eligibility_status <> 'eligible' or (length(coalesce(abstract, '')) > 0 and language = 'ru' and genre in ('research_article', 'review_article', 'short_communication') "
+        "and published_at rlike r'^(200[0-9]|201[0-9]|202[0-5])-[0-9]{2}-[0-9]{2}\\z' and duplicate_of_work_id is null and exclusion_reason is null)",
+    ),
     ("C5", "eligibility_status not in ('rejected', 'quarantined') or length(coalesce(exclusion_reason, '')) > 0"),
 )
 FRAME: tuple[Rule, ...] = (
     ("C15", "if(selection_role = 'not_selected', annotation_item_id is null and not seen_by_annotators and size(allowed_classification_splits) = 0, annotation_item_id is not null and seen_by_annotators and allowed_classification_splits = array('train'))"),
-    ("C16", "size(search_basis) > 0 and size(query_refs) > 0 and size(array_distinct(query_refs)) = size(query_refs) and stratum_population_size >= 1 and inclusion_probability > 0 and inclusion_probability <= 1"),
+    ("C16", "size(search_basis) > 0 and size(array_distinct(search_basis)) = size(search_basis) and size(query_refs) > 0 and size(array_distinct(query_refs)) = size(query_refs) and stratum_population_size >= 1 and inclusion_probability > 0 and inclusion_probability <= 1"),
 )
-_ANSWER = "annotator_id is not null and annotator_decision is not null and confidence is not null and decision_rationale is not null"
-_RULING = "adjudicator_id is not null and adjudication_reason is not null and annotator_id is null and grnti_assignment is null"
+
+
+def _filled(*keys: str) -> str:
+    return " and ".join(f"length({k}) > 0" for k in keys)
+
+
+def _unset(*keys: str) -> str:
+    return " and ".join(f"{k} is null" for k in keys)
+
+
+_ITEM = _filled("audit_id", "audit_frame_version", "candidate_frame_id", "annotation_item_id", "task_batch_id", "labeling_guide_version", "input_sha256", "completed_at")
+_NO_ANSWER = _unset("annotator_id", "annotator_decision", "confidence", "decision_rationale")
+_NO_RULING = _unset("adjudicator_id", "adjudicated_decision", "adjudication_reason", "adjudication_kind", "grnti_conflict_outcome") + " and size(coalesce(source_label_record_ids, array())) = 0"
+_ANSWER = f"{_ITEM} and {_NO_RULING} and {_filled('annotator_id', 'decision_rationale')} and annotator_decision is not null and confidence is not null"
+_RULING = f"{_ITEM} and {_NO_ANSWER} and {_filled('adjudicator_id', 'adjudication_reason')} and grnti_assignment is null"
 _CLASSES = "('C1', 'C2', 'C3', 'C4', 'C5')"
 LABELS: tuple[Rule, ...] = (
-    ("C17", "record_type <> 'grnti_assignment' or (grnti_assignment is not null and annotator_id is null and annotator_decision is null and adjudicator_id is null and adjudicated_decision is null)"),
+    (
+        "C17",
+        f"record_type <> 'grnti_assignment' or (grnti_assignment is not null and label_provenance in ('publisher_explicit_grnti', 'bibliographic_grnti') and {_NO_ANSWER} and {_NO_RULING} "
+        f"and {_unset('task_batch_id', 'input_sha256', 'evidence_bundle_sha256', 'labeling_guide_version', 'completed_at')})",
+    ),
     ("C19", "grnti_assignment is null or h2_class_id <=> element_at(map('29.05', 'C1', '29.15', 'C2', '29.19', 'C3', '29.27', 'C4', '29.33', 'C5'), regexp_extract(grnti_assignment.code, '^([0-9]{2}[.][0-9]{2})', 1))"),
     ("C20", "label_status <> 'eligible' or grnti_assignment is null or (label_verification_status = 'verified' and h2_class_id is not null and grnti_assignment.is_primary_explicit)"),
-    ("C18", "record_type <> 'grnti_assignment' or label_provenance = element_at(map('publisher', 'publisher_explicit_grnti', 'bibliographic_catalog', 'bibliographic_grnti'), grnti_assignment.assignment_source_type)"),
-    ("C21", f"record_type <> 'annotation' or ({_ANSWER} and grnti_assignment is null and adjudicator_id is null and h2_class_id is null and label_status = 'pending' and label_verification_status = 'pending' and label_provenance = 'none')"),
-    ("C22", f"record_type <> 'annotation_adjudication' or ({_RULING} and adjudicated_decision is not null and adjudication_kind = 'annotator_disagreement' and size(source_label_record_ids) = 2)"),
+    ("C18", "record_type <> 'grnti_assignment' or if(grnti_assignment is null, label_provenance in ('publisher_explicit_grnti', 'bibliographic_grnti'), label_provenance = element_at(map('publisher', 'publisher_explicit_grnti', 'bibliographic_catalog', 'bibliographic_grnti'), grnti_assignment.assignment_source_type))"),
+    ("C21", f"record_type <> 'annotation' or ({_ANSWER} and {_unset('grnti_assignment', 'h2_class_id', 'evidence_bundle_sha256')} and label_status = 'pending' and label_verification_status = 'pending' and label_provenance = 'none')"),
+    (
+        "C22",
+        f"record_type <> 'annotation_adjudication' or ({_RULING} and {_unset('evidence_bundle_sha256', 'grnti_conflict_outcome')} and adjudicated_decision is not null and label_provenance = 'expert_adjudicated' "
+        "and label_verification_status = 'verified' and adjudication_kind = 'annotator_disagreement' and size(source_label_record_ids) = 2)",
+    ),
     ("C23", f"record_type <> 'annotation_adjudication' or if(adjudicated_decision in {_CLASSES}, h2_class_id <=> adjudicated_decision and label_status = 'eligible', h2_class_id is null and label_status = element_at(map('OTHER', 'other_class', 'AMBIGUOUS', 'ambiguous_multilabel', 'INSUFFICIENT', 'insufficient'), adjudicated_decision))"),
-    ("C24", f"record_type <> 'grnti_conflict_resolution' or ({_RULING} and adjudicated_decision is null and adjudication_kind = 'grnti_conflict' and size(source_label_record_ids) >= 3 and evidence_bundle_sha256 is not null)"),
+    ("C24", f"record_type <> 'grnti_conflict_resolution' or ({_RULING} and adjudicated_decision is null and label_provenance = 'none' and grnti_conflict_outcome is not null and adjudication_kind = 'grnti_conflict' and size(source_label_record_ids) >= 3 and evidence_bundle_sha256 is not null)"),
     (
         "C25",
         f"record_type <> 'grnti_conflict_resolution' or case grnti_conflict_outcome when 'catalog_confirmed' then h2_class_id in {_CLASSES} and label_verification_status = 'verified' and label_status = 'eligible' "

@@ -1,3 +1,4 @@
 """Spark-native corpus building and auditing."""
 
 from . import audits as audits  # registers its queries
+from . import registries as registries  # registers its queries

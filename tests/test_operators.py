@@ -37,7 +37,7 @@ def test_clips_and_assembly(spark):
 
 def test_rights(spark):
     scopes = spark.createDataFrame([("a1", "g", "s", "j", "w")], "artifact string, source_group string, source string, journal string, work string")
-    rows = [("r1", "source", "s", "ml", "allowed", "2024", None, None), ("r2", "work", "w", "ml", "denied", "2023", None, None), ("r3", "artifact", "a1", "ml", "allowed", "2023", "2020-01-01", None), ("r4", "journal", "j", "copy", "allowed", "2023", None, None), ("r5", "journal", "j", "copy", "denied", "2024", None, "r4")]
+    rows = [("r1", "source", "s", "ml", "allowed", "2024", None, None), ("r2", "work", "w", "ml", "prohibited", "2023", None, None), ("r3", "artifact", "a1", "ml", "allowed", "2023", "2020-01-01", None), ("r4", "journal", "j", "copy", "allowed", "2023", None, None), ("r5", "journal", "j", "copy", "prohibited", "2024", None, "r4")]
     rights = spark.createDataFrame(rows, "rights_record_id string, scope_type string, scope_id string, operation string, status string, created_at string, rights_expires_at string, supersedes_rights_record_id string")
     got = {r["operation"]: r["rights_record_id"] for r in R.effective_rights(scopes, rights, "2024-06-01").collect()}
     assert got == {"ml": "r2", "copy": "r5"}
@@ -83,9 +83,14 @@ def test_label_rules(spark):
     rule = ("j", "annotation_adjudication", None, "C4", "eligible", "verified", None, None, None, None, "q", "C4", "why", "annotator_disagreement", ["a", "b"], None, "expert_adjudicated", None)
     other = (*rule[:3], None, "other_class", *rule[5:11], "OTHER", *rule[12:])
     clash = ("k", "grnti_conflict_resolution", None, None, "conflict_excluded", "rejected", None, None, None, None, "q", None, "why", "grnti_conflict", ["a", "b", "c"], "e", "none", "catalog_rejected")
-    assert violations(spark.createDataFrame([code, note, rule, other, clash], schema), "id", LABELS).count() == 0
+    item = "audit_id audit_frame_version candidate_frame_id annotation_item_id task_batch_id labeling_guide_version input_sha256 completed_at".split()
+
+    def labels(rows):
+        return spark.createDataFrame(rows, schema).withColumns({c: F.when(F.col("record_type") != "grnti_assignment", F.lit("x")) for c in item})
+
+    assert violations(labels([code, note, rule, other, clash]), "id", LABELS).count() == 0
     wrong = [(*code[:3], "C5", *code[4:]), (*code[:16], "bibliographic_grnti", None), (*note[:8], None, *note[9:]), (*rule[:14], ["a"], *rule[15:]), (*other[:4], "eligible", *other[5:]), (*clash[:14], ["a"], *clash[15:]), (*clash[:17], "catalog_confirmed")]
-    assert sorted(r["rule_id"] for r in violations(spark.createDataFrame(wrong, schema), "id", LABELS).collect()) == ["C18", "C19", "C21", "C22", "C23", "C24", "C25"]
+    assert sorted(r["rule_id"] for r in violations(labels(wrong), "id", LABELS).collect()) == ["C18", "C19", "C21", "C22", "C23", "C24", "C25"]
 
 
 def test_rights_artifact_and_form_rules(spark):
