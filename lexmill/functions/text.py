@@ -168,6 +168,15 @@ def nfc(s: pd.Series) -> pd.Series:
     return s.map(lambda x: unicodedata.normalize("NFC", x), na_action="ignore")
 
 
+def h2_input(title: Column, abstract: Column) -> Column:
+    """What the classifier reads: title and abstract in NFC, a blank line between them, a line break at the end."""
+    return F.concat(nfc(title), F.lit("\n\n"), F.coalesce(nfc(abstract), F.lit("")), F.lit("\n"))
+
+
+def h2_input_sha256(title: Column, abstract: Column) -> Column:
+    return F.sha2(h2_input(title, abstract), 256)
+
+
 @F.pandas_udf(LongType())
 def word_edits(a: pd.Series, b: pd.Series) -> pd.Series:
     """Edit distance in words."""

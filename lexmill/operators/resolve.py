@@ -44,6 +44,50 @@ def consensus(labels: DataFrame) -> DataFrame:
     )
 
 
+def conflicts(decisions: DataFrame, codes: DataFrame) -> DataFrame:
+    """(work_id, truth, decision, conflict): consensus against the verified class; other decisions stay, as conflicts.
+
+    decisions: work_id, decision; codes: work_id, h2_class_id, label_verification_status, is_primary_explicit.
+    """
+    verified = codes.where("label_verification_status = 'verified' and is_primary_explicit and h2_class_id is not null").select("work_id", F.col("h2_class_id").alias("truth"))
+    return decisions.select("work_id", "decision").join(verified, "work_id").withColumn("conflict", ~F.col("truth").eqNullSafe(F.col("decision")))
+
+
+#: The five columns by which frame rows and labels belong together.
+ITEM = ("audit_id", "candidate_frame_id", "audit_frame_version", "annotation_item_id", "work_id")
+
+
+def labelled_frame(frame: DataFrame, labels: DataFrame) -> DataFrame:
+    """Frame rows with their labels, joined on ITEM; a null item id joins nothing."""
+    return frame.join(labels, list(ITEM))
+
+
+def linked_rights(artifacts: DataFrame, rights: DataFrame) -> DataFrame:
+    """(artifact, rights_record_id, operation, status): the rights that an artifact's list names; status null for an id that isn't there."""
+    named = artifacts.select("artifact", F.explode("rights_record_ids").alias("rights_record_id")).distinct()
+    return named.join(rights.select("rights_record_id", "operation", "status"), "rights_record_id", "left").select("artifact", "rights_record_id", "operation", "status")
+
+
+def admitted(effective: DataFrame, fulfilled: DataFrame, operation: str = "ml_training") -> DataFrame:
+    """Artifacts whose right for `operation` is allowed, or conditional with its conditions fulfilled (rights_record_id in `fulfilled`)."""
+    rows = effective.where(F.col("operation") == operation)
+    done = rows.where("status = 'conditional'").join(fulfilled.select("rights_record_id").distinct(), "rights_record_id", "left_semi")
+    return rows.where("status = 'allowed'").select("artifact").unionByName(done.select("artifact"))
+
+
+def canonical_works(works: DataFrame) -> DataFrame:
+    """(work_id, canonical): works that share an alias or are marked as duplicates are one, known by the least work_id."""
+    from .graph import label_components
+
+    names = F.array_compact(F.concat(F.coalesce("work_aliases", F.array().cast("array<string>")), F.array("duplicate_of_work_id")))
+    edges = works.select(F.col("work_id").alias("a"), F.explode(names).alias("b"))
+    ids = works.select("work_id").distinct()
+    groups = label_components(edges)
+    least = groups.join(ids, groups["node"] == ids["work_id"]).groupBy("label").agg(F.min("work_id").alias("canonical"))
+    known = groups.join(least, "label").select(F.col("node").alias("work_id"), "canonical")
+    return ids.join(known, "work_id", "left").select("work_id", F.coalesce("canonical", "work_id").alias("canonical"))
+
+
 def blinded(works: DataFrame, item_ids: DataFrame) -> DataFrame:
     """annotation_item_id, title, abstract and nothing that tells where a work is from."""
     out = works.join(item_ids, "work_id").select("annotation_item_id", F.col("title").alias("blinded_title"), F.col("abstract").alias("blinded_abstract"))

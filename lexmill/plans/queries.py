@@ -236,8 +236,6 @@ both("length_decile", "SELECT doc_id, CAST(ntile(10) OVER (ORDER BY n_chars, doc
 both("quota_violations", """
 SELECT lang, n, round(share, 6) AS share, CASE WHEN share > 0.4 THEN 'above' WHEN share < 0.1 THEN 'below' ELSE 'ok' END AS verdict
 FROM (SELECT lang, count(*) AS n, CAST(count(*) AS DOUBLE) / sum(count(*)) OVER () AS share FROM {documents} GROUP BY lang)""")
-both("consensus_label", """
-SELECT doc_id, CASE WHEN quality = 1 - toxic THEN concat('c', quality) WHEN quality = 1 THEN 'adjudicated' ELSE 'rejected' END AS consensus, quality <> 1 - toxic AS disagreement FROM {labels}""")
 both("exclusion_reasons", """
 SELECT reason, count(*) AS n FROM (
     SELECT 'short' AS reason FROM {documents} WHERE n_chars < 200 UNION ALL SELECT 'language' FROM {documents} WHERE lang <> 'en'
@@ -311,13 +309,6 @@ def wer(spark, sf_dir):
     return b.select("item_id", edits.alias("edits"), F.round(F.try_divide(edits.cast("double"), F.size(F.split(F.trim("text"), "\\s+"))), 6).alias("wer"))
 
 
-both("rights_resolve", """
-WITH scopes AS (SELECT 1 AS rank, r_regionkey AS id, concat('region ', r_name) AS basis FROM {region} UNION ALL SELECT 2, n_nationkey, concat('nation ', n_name) FROM {nation} WHERE n_nationkey % 2 = 0
-    UNION ALL SELECT 3, c_custkey, concat('customer ', c_mktsegment) FROM {customer} WHERE c_acctbal > 5000),
-ladder AS (SELECT c.c_custkey AS work, 3 AS rank, c.c_custkey AS id FROM {customer} c UNION ALL SELECT c.c_custkey, 2, c.c_nationkey FROM {customer} c
-    UNION ALL SELECT c.c_custkey, 1, n.n_regionkey FROM {customer} c JOIN {nation} n ON n.n_nationkey = c.c_nationkey)
-SELECT work, rank, basis FROM (SELECT l.work, l.rank, s.basis, row_number() OVER (PARTITION BY l.work ORDER BY l.rank DESC) AS k FROM ladder l JOIN scopes s ON s.rank = l.rank AND s.id = l.id) WHERE k = 1""")
-
 both("referential_integrity", """
 SELECT 'labels.doc_id' AS relation, count(*) AS violations FROM {labels} l WHERE NOT EXISTS (SELECT 1 FROM {documents} d WHERE d.doc_id = l.doc_id)
 UNION ALL SELECT 'orders.o_custkey', count(*) FROM {orders} o WHERE NOT EXISTS (SELECT 1 FROM {customer} c WHERE c.c_custkey = o.o_custkey)
@@ -325,10 +316,6 @@ UNION ALL SELECT 'lineitem.l_orderkey', count(*) FROM {lineitem} l WHERE NOT EXI
 
 both("json_extra", "SELECT event_type, count(*) AS n, count(props) AS with_props, CAST(min(length(props)) AS BIGINT) AS shortest FROM {events} GROUP BY event_type")
 
-both("status_transitions", """
-WITH s AS (SELECT user_id, event_id, event_type, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS before FROM {events})
-SELECT before, event_type AS after, count(*) AS n FROM s WHERE before IS NOT NULL GROUP BY before, event_type""")
-
 both("formula_overlap", """
 SELECT a.l_orderkey AS doc, a.l_linenumber AS i, b.l_linenumber AS j, CAST(least(a.l_linenumber, b.l_linenumber) AS BIGINT) AS inner_lo FROM {lineitem} a JOIN {lineitem} b ON a.l_orderkey = b.l_orderkey AND a.l_linenumber < b.l_linenumber
 AND a.l_quantity < b.l_quantity + 5 AND b.l_quantity < a.l_quantity + 5""")
