@@ -6,7 +6,7 @@ import html as _html
 import unicodedata
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType
 
@@ -45,10 +45,25 @@ def lines(c: Column) -> Column:
     return F.split(c, "\n")
 
 
+def _code_points(c: Column) -> Column:
+    """Numeric entities, decimal and hexadecimal, as characters; what is no character as U+FFFD."""
+
+    def piece(p: Column) -> Column:
+        number = F.coalesce(F.nullif(F.regexp_extract(p, "^#0*([0-9]{1,7});", 1), F.lit("")), F.conv(F.nullif(F.regexp_extract(p, "^#[xX]0*([0-9a-fA-F]{1,6});", 1), F.lit("")), 16, 10)).cast("int")
+        good = (number > 0) & (number <= 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
+        char = F.decode(F.unhex(F.lpad(F.hex(F.when(good, number).otherwise(0xFFFD)), 8, "0")), "UTF-32")
+        return F.when(number.isNotNull(), F.concat(char, F.regexp_replace(p, "^#[0-9a-zA-Z]+;", ""))).otherwise(F.concat(F.lit("&"), p))
+
+    parts = F.split(c, "&", -1)
+    read = F.concat(F.element_at(parts, 1), F.array_join(F.transform(F.slice(parts, 2, F.size(parts)), piece), ""))
+    return F.when(c.rlike("&#[0-9xX]"), read).otherwise(c)
+
+
 def unescape_listed(c: Column) -> Column:
-    for entity, char in ENTITIES:
+    """Numeric entities and the named ones of ENTITIES; `unescape` knows all of them."""
+    for entity, char in ENTITIES[:-1]:
         c = F.replace(c, F.lit(entity), F.lit(char))
-    return c
+    return F.replace(_code_points(c), F.lit(ENTITIES[-1][0]), F.lit(ENTITIES[-1][1]))
 
 
 def _steps(c: Column, steps) -> Column:
@@ -136,6 +151,90 @@ def article_pdf_url(path: Column, parity: bool = False) -> Column:
     return F.when(part(1) != "", url)
 
 
+#: Addresses of the journal's pages and files, by year, volume, letter and page.
+TEMPLATES = {
+    "volume": "https://ufn.ru/ru/articles/%d/%d/",
+    "article": "https://ufn.ru/ru/articles/%d/%d/%s/",
+    "pdf": "https://ufn.ru/ufn%02d/ufn%02d_%d/Russian/r%02d%d%s.pdf",
+    "name": "%d_%d_%s.pdf",
+}
+
+
+def from_template(kind: str, year: Column, volume: Column, letter: Column) -> Column:
+    yy = year % 100
+    args = {"volume": (year, volume), "article": (year, volume, letter), "pdf": (yy, yy, volume, yy, volume, letter), "name": (year, volume, letter)}[kind]
+    return F.format_string(TEMPLATES[kind], *args)
+
+
+def remove_soft(c: Column) -> Column:
+    """Without no-break spaces and soft hyphens."""
+    return F.translate(c, "\u00a0\u00ad", "")
+
+
+def normalize_text(c: Column) -> Column:
+    """One kind of line break, no hyphen at a line's end within a word, single blanks, at most one blank line in a row."""
+    breaks = F.regexp_replace(c, "\r\n?|[\u2028\u2029\f\u0085]", "\n")
+    whole = F.regexp_replace(remove_soft(F.replace(breaks, F.lit("\u00ad\n"), F.lit(""))), "([\\p{L}])-\n([\\p{Ll}])", "$1$2")
+    blanks = F.regexp_replace(whole, "[ \t]+", " ")
+    return normalize_whitespace(F.regexp_replace(blanks, " ?\n ?", "\n"))
+
+
+#: What tells a label, and goes: codes with the name of their scheme, fields and paths of a catalogue.
+LEAKS = (
+    r"(?iu)\b(?:ГРНТИ|УДК|UDC|PACS|PhySH|GRNTI)\b\s*:?\s*(?:[0-9]{2}[0-9.:+/()a-z-]*(?:\s*[,;]\s*[0-9]{2}[0-9.:+/()a-z-]*)*)?",
+    r"(?imu)^\s*(?:category|subject|section|рубрика|раздел|категория)\s*[:=][^\n]*\n?",
+    r"(?mu)^[^\n>»/]{1,60}(?:\s[>»]\s[^\n>»]{1,60}){2,}$\n?",
+)
+LEFT_CODE = r"(?iu)\b29\.[0-9]{2}(?:\.[0-9]{2})?\b|\b(?:ГРНТИ|УДК|PACS|PhySH)\b"
+
+
+def scrub_labels(c: Column) -> Column:
+    """Without codes of classifiers, fields and trails of a catalogue; the author's words stay."""
+    for pattern in LEAKS:
+        c = F.regexp_replace(c, pattern, " ")
+    return normalize_whitespace(F.regexp_replace(F.regexp_replace(c, "[ \t]+", " "), " ?\n ?", "\n"))
+
+
+def leaks_label(c: Column) -> Column:
+    """Whether a code or the name of a classifier is still there."""
+    return F.coalesce(c.rlike(LEFT_CODE), F.lit(False))
+
+
+def mask_spans(c: Column, spans: Column, mask: str = "[FORMULA]") -> Column:
+    """`c` with every span (array of struct<start, end>, from 0, in characters) as one mask; spans that overlap or touch nothing are merged or skipped."""
+    ordered = F.array_sort(F.filter(spans, lambda s: s["end"] > s["start"]))
+    begin = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
+
+    def step(acc: Column, s: Column) -> Column:
+        fresh = s["start"] >= acc["at"]
+        gap = F.substring(c, (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int"))
+        return F.struct(F.greatest(acc["at"], s["end"].cast("long")).alias("at"), F.when(fresh, F.concat(acc["out"], gap, F.lit(mask))).otherwise(acc["out"]).alias("out"))
+
+    return F.aggregate(ordered, begin, step, lambda acc: F.concat(acc["out"], F.substring(c, (acc["at"] + 1).cast("int"), F.length(c))))
+
+
+def length_metrics(c: Column) -> Column:
+    """Struct of characters and words; subtokens need a tokenizer, see `subtokens`."""
+    words = F.filter(F.split(strip(c), f"[{WHITE}]+"), lambda w: w != "")
+    return F.struct(F.length(c).cast("long").alias("characters"), F.size(words).cast("long").alias("words"))
+
+
+def perplexity_ratio(delta: Column) -> Column:
+    """Relative change of perplexity that a mean difference of losses means."""
+    return F.exp(delta) - 1
+
+
+def paired(rows: DataFrame, key: str, model: str, value: str, first: str, second: str, *keep: str) -> DataFrame:
+    """(key, keep, delta): value of the first model minus that of the second, for keys that have both; one grouped pass replaces the join."""
+    of = lambda m: F.avg(F.when(F.col(model) == m, F.col(value)))
+    return rows.groupBy(key, *keep).agg((of(first) - of(second)).alias("delta")).where("delta is not null")
+
+
+def period(year: Column) -> Column:
+    """The two periods."""
+    return F.when(year.between(2000, 2012), "2000-2012").when(year.between(2013, 2025), "2013-2025")
+
+
 def normalize_doi(c: Column) -> Column:
     return F.nullif(F.regexp_replace(F.lower(strip(c)), "^(?:https?://(?:dx\\.)?doi\\.org/|doi:\\s*)|[?#].*\\z", ""), F.lit(""))
 
@@ -163,6 +262,12 @@ def unescape(s: pd.Series) -> pd.Series:
     return s.map(_html.unescape, na_action="ignore")
 
 
+@F.pandas_udf(StringType())
+def decode_text(content: pd.Series, charset: pd.Series) -> pd.Series:
+    """Bytes in a charset as text (UTF-8 where it is null); bytes that don't fit are replaced."""
+    return pd.Series([None if b is None else bytes(b).decode(c or "utf-8", "replace") for b, c in zip(content, charset, strict=True)], dtype=object)
+
+
 @F.pandas_udf(StringType())
 def nfc(s: pd.Series) -> pd.Series:
     return s.map(lambda x: unicodedata.normalize("NFC", x), na_action="ignore")

@@ -15,6 +15,8 @@ from pyspark.sql.types import DoubleType
 #: Raster resolution, darkness, strip height in pixels, score and persistence of a gutter, gutter width in points.
 DPI, DARK, STRIP, SCORE, PERSIST, GUTTER = 150, 210, 12, 8.0, 2, 14.0
 TOP_SHARE, LATE_SHARE, LEAST_HEAD, SHIFT, LEAST_SIDE = 0.20, 0.88, 50.0, 10.0, 20
+#: Regions lower than this many points aren't read.
+LEAST_HEIGHT = 20
 
 
 def strip_scores(gray: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -22,7 +24,7 @@ def strip_scores(gray: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     h, w = gray.shape
     tops = np.arange(int(h * TOP_SHARE), h - STRIP, STRIP)
     x = np.arange(0, w, 2)
-    left, right, centre = x < 0.38 * w, x > 0.62 * w, (x >= 0.42 * w) & (x <= 0.58 * w)
+    left, right, centre = x < int(w * 0.38), x > int(w * 0.62), (x >= int(w * 0.42)) & (x <= int(w * 0.58))
     scores = np.zeros(len(tops))
     for k, top in enumerate(tops):
         dark = gray[top : top + STRIP : 2, ::2] < DARK
@@ -40,7 +42,7 @@ def split_at(gray: np.ndarray, height: float, page: int) -> float:
     for k, s in enumerate(scores):
         run = run + 1 if s >= SCORE else 0
         if run >= PERSIST:
-            y = tops[k - PERSIST + 1] * 72.0 / DPI + SHIFT
+            y = tops[k - PERSIST + 1] * (height / gray.shape[0]) + SHIFT
             return height if y < LEAST_HEAD or y >= LATE_SHARE * height else float(y)
     return height
 
@@ -61,7 +63,7 @@ def intersection(a: Column, b: Column) -> Column:
     """The common rectangle; null if it is empty or lower than 20 points."""
     x0, y0 = F.greatest(a["x0"], b["x0"]), F.greatest(a["y0"], b["y0"])
     x1, y1 = F.least(a["x1"], b["x1"]), F.least(a["y1"], b["y1"])
-    return F.when((x1 > x0) & (y1 - y0 >= 20), F.struct(x0.alias("x0"), y0.alias("y0"), x1.alias("x1"), y1.alias("y1")))
+    return F.when((x1 > x0) & (y1 - y0 >= LEAST_HEIGHT), F.struct(x0.alias("x0"), y0.alias("y0"), x1.alias("x1"), y1.alias("y1")))
 
 
 def assembled(head: Column, left: Column, right: Column) -> Column:

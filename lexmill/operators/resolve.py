@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import strip, unescape
+
 #: Scopes of rights, from the widest to the narrowest.
 SCOPES = ("source_group", "source", "journal", "work", "artifact")
 #: Columns a blinded form must never show.
@@ -129,8 +131,8 @@ def article_paths(pages: DataFrame) -> DataFrame:
     """(issue_path, path, title): article links of issue pages; of several link texts the last one that isn't empty."""
     link = '<a[^>]*href="([^"]*/[a-z]/?)"[^>]*>([^<]*)</a>'
     found = pages.select("issue_path", F.posexplode(F.arrays_zip(F.regexp_extract_all("html", F.lit(link), F.lit(1)).alias("path"), F.regexp_extract_all("html", F.lit(link), F.lit(2)).alias("title"))).alias("pos", "x"))
-    tidy = F.nullif(F.trim(F.regexp_replace("x.title", "\\s+", " ")), F.lit(""))
-    own = found.where(F.col("x.path").startswith(F.col("issue_path"))).select("issue_path", F.col("x.path").alias("path"), "pos", tidy.alias("title"))
+    own = found.where(F.col("x.path").startswith(F.col("issue_path"))).select("issue_path", F.col("x.path").alias("path"), "pos", F.regexp_replace("x.title", "\\s+", " ").alias("title"))
+    own = own.withColumn("title", F.nullif(strip(unescape("title")), F.lit("")))
     return own.groupBy("issue_path", "path").agg(F.max_by("title", F.when(F.col("title").isNotNull(), F.col("pos"))).alias("title"))
 
 

@@ -152,9 +152,6 @@ c AS (SELECT *, CASE WHEN coalesce(raw_ok, false) THEN 'pdf' WHEN coalesce(ocr_o
     coalesce(raw_ok, false) OR coalesce(ocr_ok, false) AS readable FROM t)
 SELECT doc_id, method, readable, CASE WHEN readable AND n_chars >= 500 THEN method ELSE 'html' END AS text_source, NOT (readable AND n_chars >= 500) AS pdf_unreadable FROM c""")
 
-both("sink_filter", """
-SELECT source, count(CASE WHEN length(trim(text)) >= 30 THEN 1 END) AS saved, count(CASE WHEN length(trim(text)) < 30 THEN 1 END) AS skipped, count(*) AS seen FROM {documents} GROUP BY source""")
-
 both("issue_caps", """
 WITH r AS (SELECT source, doc_id, n_chars, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS k FROM {documents}),
 s AS (SELECT source, doc_id, row_number() OVER (ORDER BY source DESC, doc_id) AS n FROM r WHERE k <= 5 AND n_chars >= 80)
@@ -168,18 +165,10 @@ both("title_last_wins", """
 WITH l AS (SELECT conv_id, role, max(turn) AS turn FROM {conversations} GROUP BY conv_id, role)
 SELECT c.conv_id, c.role, min(c.text) AS text FROM {conversations} c JOIN l ON l.conv_id = c.conv_id AND l.role = c.role AND l.turn = c.turn GROUP BY c.conv_id, c.role""")
 
-both("feed_union", """
-SELECT source, id, title FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY id) AS k FROM (
-    SELECT concat(source, ':rss') AS source, doc_id AS id, substr(text, 1, 40) AS title FROM {documents} WHERE length(text) >= 40
-    UNION ALL SELECT 'pages:rss' AS source, page_id AS id, url AS title FROM {pages} WHERE url <> '')) WHERE k <= 15""")
-
 both("append_dedup", """
 SELECT n.doc_id, n.source FROM {documents} n WHERE NOT EXISTS (SELECT 1 FROM {labels} l WHERE l.doc_id = n.doc_id)
     AND NOT EXISTS (SELECT 1 FROM {documents} o JOIN {labels} l ON l.doc_id = o.doc_id WHERE o.text = n.text)""")
 
-both("file_join_rebuild", """
-SELECT d.doc_id, CASE WHEN l.doc_id IS NULL THEN 'missing file' WHEN l.quality = 0 THEN 'not readable' ELSE 'ok' END AS outcome FROM {documents} d LEFT JOIN {labels} l ON l.doc_id = d.doc_id""")
-
 both("rebuild_counters", """
 SELECT count(CASE WHEN l.quality = 1 THEN 1 END) AS ok, count(CASE WHEN l.doc_id IS NULL OR l.quality = 0 THEN 1 END) AS skipped, count(*) AS seen FROM {documents} d LEFT JOIN {labels} l ON l.doc_id = d.doc_id""")
 
