@@ -85,8 +85,8 @@ def archive_of(docs):
     issues = links.groupBy("issue_path").agg(F.array_join(F.collect_list("a"), "").alias("html"))
     lines = F.expr(f"if(doc_id % 9 = 0, 'Коротко', concat({_TEXT}, '</p><p>', {_TEXT}, '<br/>Ещё &mdash; &#1077;щё'))")
     main = F.concat(
-        F.lit('<div class="main" id="print"><p>выпуски</p><p>1999</p><b>Иван А. Б. Петров</b><b>Иван А. Б. Петров</b> <i>ОБЗОРЫ АКТУАЛЬНЫХ ПРОБЛЕМ</i>'),
-        F.expr(f"if(doc_id % 3 = 0, concat('<a href=\"/files/', doc_id, '.pdf\">f</a>'), '')"),
+        F.lit('<div class="main" id="print"><p>выпуски</p><p>1999</p><div><b>Иван А. Б. Петров</b></div><div><i>ОБЗОРЫ АКТУАЛЬНЫХ ПРОБЛЕМ</i></div>'),
+        F.expr(f"if(doc_id % 3 = 0, concat('<div><a href=\"/files/', doc_id, '.pdf\">f</a></div>'), '')"),
         F.lit("<p>"),
         lines,
         F.lit("</p>© Успехи физических наук <p>Подвал страницы, который не входит в текст статьи</p></div>"),
