@@ -58,34 +58,41 @@ def ntile(rank: Column, population: Column, n: int) -> Column:
     return F.when(rank <= edge, F.floor((rank - 1) / (small + 1)) + 1).otherwise(large + F.floor((rank - 1 - edge) / F.greatest(small, F.lit(1))) + 1).cast("long")
 
 
-def largest_remainder(rows: DataFrame, strata: list[str], parts: dict[str, int], size: str = "population") -> DataFrame:
-    """`rows` (a row per stratum, with its size) and a quota per part, as n_<part>: what the parts are together in proportion to, shared by largest remainder.
+def largest_remainder(rows: DataFrame, strata: list[str], parts: dict[str, int], size: str = "population", within: tuple[str, ...] = ()) -> DataFrame:
+    """`rows` (a row per stratum, with its size) with upto_<part>: up to which rank a part's rows go, the parts one after another.
 
-    The quotas of a part over all strata add up to its number; where strata are too small for that, to as many
-    as there are.  The table of strata is small: it is one row per stratum, ranked in one task per part.
+    The running sums of the parts' numbers are shared over the strata (of each value of `within`) in proportion to size, by largest
+    remainder; where there are fewer rows than the parts hold together, the numbers shrink in
+    proportion.  The table of strata is small: one task ranks it.
     """
-    out = rows
-    whole = Window.partitionBy()
+    out, total = rows, sum(parts.values())
+    whole = Window.partitionBy(*within)
+    all_rows = F.sum(size).over(whole)
+    upto = 0
     for part, number in parts.items():
-        exact = F.least(F.lit(float(number)), F.sum(size).over(whole).cast("double")) * F.col(size) / F.sum(size).over(whole)
-        out = out.withColumn("_exact", exact).withColumn("_floor", F.floor("_exact"))
-        left = F.least(F.lit(number), F.sum(size).over(whole)) - F.sum("_floor").over(whole)
-        place = F.row_number().over(Window.orderBy(F.desc(F.round(F.col("_exact") - F.col("_floor"), 9)), *strata))
-        out = out.withColumn("_left", left).withColumn("_place", place).withColumn(f"n_{part}", F.col("_floor") + F.when(F.col("_place") <= F.col("_left"), 1).otherwise(0)).drop("_exact", "_floor", "_left", "_place")
+        upto += number
+        here = F.floor(F.lit(upto) * F.least(F.lit(total), all_rows) / total)
+        out = out.withColumn("_here", here).withColumn("_exact", F.col("_here").cast("double") * F.col(size) / all_rows).withColumn("_floor", F.floor("_exact"))
+        out = out.withColumn("_left", F.col("_here") - F.sum("_floor").over(whole))
+        out = out.withColumn("_place", F.row_number().over(whole.orderBy(F.desc(F.round(F.col("_exact") - F.col("_floor"), 9)), *strata)))
+        out = out.withColumn(f"upto_{part}", F.col("_floor") + F.when(F.col("_place") <= F.col("_left"), 1).otherwise(0)).drop("_here", "_exact", "_floor", "_left", "_place")
     return out
 
 
-def dealt(rows: DataFrame, strata: list[str], draw: Column, key: str, parts: dict[str, int]) -> DataFrame:
-    """(key, strata, part): rows dealt to parts of given sizes, each stratum in proportion to its size; rows over the sizes are in no part."""
+def dealt(rows: DataFrame, strata: list[str], draw: Column, key: str, parts: dict[str, int], within: tuple[str, ...] = (), most_share: float | None = None) -> DataFrame:
+    """(key, strata, part): rows dealt to parts of given sizes, each stratum in proportion to its size; rows over the sizes are in no part.
+
+    within: the parts have their sizes for each value of these columns, which are among the strata.
+    most_share: no stratum counts for more than this share of the parts together.
+    """
     placed = ranked(rows.select(key, *strata), strata, draw, key)
     sizes = placed.groupBy(*strata).agg(F.max("population").alias("population"))
-    quotas = largest_remainder(sizes, strata, parts)
-    renamed = quotas.select(*(F.col(s).alias(f"_q{k}") for k, s in enumerate(strata)), *(f"n_{p}" for p in parts))
+    if most_share is not None:
+        sizes = sizes.withColumn("population", F.least("population", F.floor(F.lit(most_share * sum(parts.values())))))
+    quotas = largest_remainder(sizes, strata, parts, within=within)
+    renamed = quotas.select(*(F.col(s).alias(f"_q{k}") for k, s in enumerate(strata)), *(f"upto_{p}" for p in parts))
     on = F.lit(True)
     for k, s in enumerate(strata):
         on &= F.col(s).eqNullSafe(F.col(f"_q{k}"))
-    part, upto = F.lit(None).cast("string"), F.lit(0)
-    for p in parts:
-        upto = upto + F.col(f"n_{p}")
-        part = F.coalesce(part, F.when(F.col("rank") <= upto, p))
+    part = F.coalesce(*(F.when(F.col("rank") <= F.col(f"upto_{p}"), p) for p in parts))
     return placed.join(renamed, on).withColumn("part", part).where("part is not null").select(key, *strata, "part")

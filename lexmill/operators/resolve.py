@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import strip, unescape
+from ..functions.text import strip, unescape, uniform
+from .ranks import ranked
 
 #: Scopes of rights, from the widest to the narrowest.
 SCOPES = ("source_group", "source", "journal", "work", "artifact")
@@ -111,12 +112,9 @@ def missing(child: DataFrame, key: str, parent: DataFrame, parent_key: str) -> D
 
 def stratified(frame: DataFrame, strata: list[str], key: str, size: int, seed: int) -> DataFrame:
     """`size` rows of each stratum by hashed rank, with population and inclusion probability."""
-    from ..functions.text import uniform
-
-    w = Window.partitionBy(*strata)
-    ranked = frame.withColumn("_k", F.row_number().over(w.orderBy(uniform(seed, F.col(key)), key))).withColumn("stratum_population_size", F.count(F.lit(1)).over(w))
+    rows = ranked(frame, strata, uniform(seed, F.col(key)), key).withColumnRenamed("population", "stratum_population_size")
     share = F.least(F.lit(size), F.col("stratum_population_size")).cast("double") / F.col("stratum_population_size")
-    return ranked.where(F.col("_k") <= size).drop("_k").withColumn("inclusion_probability", share)
+    return rows.where(F.col("rank") <= size).drop("rank").withColumn("inclusion_probability", share)
 
 
 def issue_paths(pages: DataFrame, limit: int | None = None, numeric: bool = False) -> DataFrame:

@@ -90,13 +90,6 @@ ADJUDICATION_FORM: tuple[Rule, ...] = (
     ),
 )
 AUDIT_RUN: tuple[Rule, ...] = (("C28", "calibration_size = 30 and audit_size = 200 and size(annotator_ids) = 2 and size(array_distinct(annotator_ids)) = 2"),)
-WORKS_PROXY: tuple[Rule, ...] = (
-    ("doc_id", "doc_id is not null"),
-    ("text", "length(text) > 0"),
-    ("lang", "lang in ('en', 'de', 'fr', 'es')"),
-    ("n_chars", "n_chars = length(text)"),
-    ("source", "source rlike '^src[0-9]+\\\\z'"),
-)
 
 
 def holds(condition: str) -> Column:

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from .queries import _DRAWS, _SPLITS, ORACLES, both, query, table
+from .queries import ORACLES, both, query, table
 
 CHUNK, OVERLAP = 128, 32
 STEP = CHUNK - OVERLAP
@@ -43,11 +43,6 @@ both("discovery_paths", """
 SELECT work, count(*) AS paths, listagg(source, ',') WITHIN GROUP (ORDER BY source) AS found_in FROM (SELECT DISTINCT $sha(text) AS work, source FROM {documents}) GROUP BY work""")
 ORACLES["discovery_paths"] = "SELECT work, count(*) AS paths, string_agg(source, ',' ORDER BY source) AS found_in FROM (SELECT DISTINCT sha256(text) AS work, source FROM documents) GROUP BY work"
 
-both("split_volume", f"""
-SELECT split, count(*) AS works, CAST(sum(length(text)) AS BIGINT) AS chars, round(CAST(sum(length(text)) AS DOUBLE) / sum(sum(length(text))) OVER (), 6) AS share FROM ({_SPLITS}) GROUP BY split""")
-
-# Proxy: languages are held out, sources are the classes. One that holds 50 works and 10 in each of 3 classes is
-# eligible; counts are joined, never documents.
 both("leave_one_source_out", """
 WITH c AS (SELECT lang, source, count(*) AS n FROM {documents} GROUP BY lang, source),
 e AS (SELECT lang FROM c GROUP BY lang HAVING sum(n) >= 50 AND count(CASE WHEN n >= 10 THEN 1 END) >= 3),
@@ -55,11 +50,6 @@ t AS (SELECT source, sum(n) AS n FROM c GROUP BY source)
 SELECT e.lang AS held_out, t.source, CAST(coalesce(c.n, 0) AS BIGINT) AS test, CAST(t.n - coalesce(c.n, 0) AS BIGINT) AS train
 FROM e CROSS JOIN t LEFT JOIN c ON c.lang = e.lang AND c.source = t.source""")
 
-both("stratified_folds", """
-SELECT doc_id, CAST(rep AS BIGINT) AS rep, CAST((k - 1) % 5 AS BIGINT) AS fold FROM (
-    SELECT doc_id, rep, row_number() OVER (PARTITION BY rep, quality ORDER BY $draw('29', rep, doc_id), doc_id) AS k
-    FROM (SELECT DISTINCT doc_id, quality FROM {labels}) CROSS JOIN (SELECT $each($range(1, 10)) AS rep))""")
-
 both("matched_pairs", """
 WITH d AS (SELECT l.doc_id, l.toxic, d.lang, d.source, CAST(floor(d.n_chars / 500.0D) AS BIGINT) AS size FROM {labels} l JOIN {documents} d ON d.doc_id = l.doc_id),
 r AS (SELECT *, row_number() OVER (PARTITION BY toxic, lang, source, size ORDER BY doc_id) AS k FROM d)
@@ -75,9 +65,6 @@ p AS (SELECT s.doc, s.i, s.a, g.j, (least(s.b, g.b) - greatest(s.a, g.a)) / (gre
 r AS (SELECT *, row_number() OVER (PARTITION BY doc, i, a ORDER BY iou DESC, j) AS ki, row_number() OVER (PARTITION BY doc, j ORDER BY iou DESC, i, a) AS kj FROM p WHERE iou >= 0.5)
 SELECT doc, CAST(i AS BIGINT) AS i, a AS start, CAST(j AS BIGINT) AS j, round(iou, 6) AS iou FROM r WHERE ki = 1 AND kj = 1""")
 
-both("bootstrap_bounds", _DRAWS + " SELECT round(percentile(mean, 0.05D), 6) AS lower95, round(percentile(mean, 0.95D), 6) AS upper95 FROM m")
-ORACLES["bootstrap_bounds"] = ORACLES["bootstrap_bounds"].replace("percentile(mean, 0.05D)", "quantile_cont(mean, 0.05)").replace("percentile(mean, 0.95D)", "quantile_cont(mean, 0.95)")
-
 both("power_simulation", """
 WITH d AS (SELECT e, r, i, $draw('31', r, i, 'a') - $draw('31', r, i, 'b') + e / 20.0 AS x FROM (SELECT $each($range(0, 4)) AS e) CROSS JOIN (SELECT $each($range(1, 100)) AS r) CROSS JOIN (SELECT $each($range(1, 40)) AS i)),
 m AS (SELECT e, r, avg(CAST(x AS DOUBLE)) AS mean, stddev_samp(CAST(x AS DOUBLE)) AS sd FROM d GROUP BY e, r)

@@ -165,10 +165,6 @@ both("title_last_wins", """
 WITH l AS (SELECT conv_id, role, max(turn) AS turn FROM {conversations} GROUP BY conv_id, role)
 SELECT c.conv_id, c.role, min(c.text) AS text FROM {conversations} c JOIN l ON l.conv_id = c.conv_id AND l.role = c.role AND l.turn = c.turn GROUP BY c.conv_id, c.role""")
 
-both("append_dedup", """
-SELECT n.doc_id, n.source FROM {documents} n WHERE NOT EXISTS (SELECT 1 FROM {labels} l WHERE l.doc_id = n.doc_id)
-    AND NOT EXISTS (SELECT 1 FROM {documents} o JOIN {labels} l ON l.doc_id = o.doc_id WHERE o.text = n.text)""")
-
 both("rebuild_counters", """
 SELECT count(CASE WHEN l.quality = 1 THEN 1 END) AS ok, count(CASE WHEN l.doc_id IS NULL OR l.quality = 0 THEN 1 END) AS skipped, count(*) AS seen FROM {documents} d LEFT JOIN {labels} l ON l.doc_id = d.doc_id""")
 
@@ -179,8 +175,6 @@ LEFT JOIN {orders} o ON year(o.o_orderdate) = y AND month(o.o_orderdate) = v GRO
 both("content_address", """
 SELECT artifact, count(*) AS retrievals, min(doc_id) AS first FROM (SELECT concat('sha256:', $sha(text)) AS artifact, doc_id FROM {documents}) GROUP BY artifact""")
 
-both("exact_dedup", "SELECT doc_id, source FROM (SELECT doc_id, source, row_number() OVER (PARTITION BY $sha(text) ORDER BY doc_id) AS k FROM {documents}) WHERE k = 1")
-
 both("bool_mean_profile", """
 SELECT avg(CAST(toxic AS DOUBLE)) AS toxic_share, avg(CAST(quality AS DOUBLE)) AS quality_share, count(toxic) AS toxic_known, count(quality) AS quality_known, count(DISTINCT doc_id) AS docs FROM {labels}""")
 
@@ -190,14 +184,6 @@ both("code_collect", "SELECT p_brand, listagg(p_type, '||') WITHIN GROUP (ORDER
 ORACLES["code_collect"] = "SELECT p_brand, string_agg(p_type, '||' ORDER BY p_type) AS types FROM (SELECT DISTINCT p_brand, p_type FROM part) GROUP BY p_brand"
 
 
-@query("""WITH e AS (SELECT vec_id, list_transform(embedding[1:5], lambda x: CAST(x AS DOUBLE)) AS l FROM embeddings), m AS (SELECT *, list_max(l) AS m FROM e),
-s AS (SELECT *, list_transform(l, lambda x: exp(x - m)) AS g FROM m)
-SELECT vec_id, CAST(list_position(l, m) AS BIGINT) AS label, round(1.0 / list_sum(g), 6) AS p FROM s""")
-def softmax_argmax(spark, sf_dir):
-    e = table(spark, sf_dir, "embeddings").select("vec_id", F.transform(F.slice("embedding", 1, 5), lambda x: x.cast("double")).alias("l"))
-    return e.select("vec_id", F.array_position("l", F.array_max("l")).cast("long").alias("label"), F.round(F.array_max(T.softmax(F.col("l"))), 6).alias("p"))
-
-
 @query("""WITH z AS (SELECT conv_id, list(turn ORDER BY turn) FILTER (role = 'user') AS u, list(turn ORDER BY turn) FILTER (role = 'assistant') AS a FROM conversations GROUP BY conv_id)
 SELECT conv_id, CAST(i AS BIGINT) AS i, u[i] AS question, a[i] AS answer FROM (SELECT *, unnest(range(1, least(len(u), len(a)) + 1)) AS i FROM z WHERE u IS NOT NULL AND a IS NOT NULL)""")
 def zip_truncate(spark, sf_dir):
@@ -214,14 +200,6 @@ SELECT user_id, min(prior_id) AS run_start FROM s WHERE value >= 50 AND before >
 
 # ------------------------------------------------------------------ splits, samples, leakage
 
-_SPLIT = "CASE WHEN k <= CAST(ceil(0.8 * n) AS BIGINT) THEN 'train' WHEN k <= CAST(ceil(0.9 * n) AS BIGINT) THEN 'validation' ELSE 'test' END"
-_SPLITS = f"SELECT doc_id, lang, source, text, {_SPLIT} AS split FROM (SELECT *, row_number() OVER (PARTITION BY lang, source ORDER BY $draw('17', doc_id), doc_id) AS k, count(*) OVER (PARTITION BY lang, source) AS n FROM {{documents}})"
-both("split_assign", f"SELECT doc_id, split FROM ({_SPLITS})")
-both("split_overlap_matrix", f"WITH s AS (SELECT DISTINCT split, $sha(text) AS h FROM ({_SPLITS})) SELECT a.split AS left_split, b.split AS right_split, count(*) AS shared FROM s a JOIN s b ON a.h = b.h AND a.split < b.split GROUP BY a.split, b.split")
-both("stratified_sample", """
-SELECT doc_id, lang, population, CAST(least(20, population) AS DOUBLE) / population AS inclusion_probability FROM (
-    SELECT doc_id, lang, row_number() OVER (PARTITION BY lang ORDER BY $draw('5', doc_id), doc_id) AS k, count(*) OVER (PARTITION BY lang) AS population FROM {documents}) WHERE k <= 20""")
-both("length_decile", "SELECT doc_id, CAST(ntile(10) OVER (ORDER BY n_chars, doc_id) AS BIGINT) AS decile FROM {documents}")
 both("quota_violations", """
 SELECT lang, n, round(share, 6) AS share, CASE WHEN share > 0.4 THEN 'above' WHEN share < 0.1 THEN 'below' ELSE 'ok' END AS verdict
 FROM (SELECT lang, count(*) AS n, CAST(count(*) AS DOUBLE) / sum(count(*)) OVER () AS share FROM {documents} GROUP BY lang)""")
@@ -244,9 +222,10 @@ WITH s AS (SELECT l.quality AS a, l.toxic AS b, CAST(p.n AS DOUBLE) / 20 AS w FR
 c AS (SELECT a, b, sum(w) AS n FROM s GROUP BY a, b)""" + _KAPPA)
 both("macro_f1", _CELLS + """, k AS (SELECT v.v, coalesce(sum(CASE WHEN a = v.v AND b = v.v THEN n END), 0) AS tp, coalesce(sum(CASE WHEN a <> v.v AND b = v.v THEN n END), 0) AS fp, coalesce(sum(CASE WHEN a = v.v AND b <> v.v THEN n END), 0) AS fn
     FROM c CROSS JOIN (SELECT 0 AS v UNION ALL SELECT 1) v GROUP BY v.v)
-SELECT round(avg(coalesce(CAST(2 * tp AS DOUBLE) / nullif(2 * tp + fp + fn, 0), 0)), 6) AS macro_f1, round(sum(CAST(tp AS DOUBLE)) / CAST(sum(tp + fn) AS DOUBLE), 6) AS micro_f1, round(avg(CAST(tp AS DOUBLE) / nullif(tp + fn, 0)), 6) AS balanced_accuracy FROM k""")
-_FLAGS = """WITH c AS (SELECT a.l_returnflag AS a, b.l_linestatus AS b, count(l.l_orderkey) AS n FROM (SELECT DISTINCT l_returnflag FROM {lineitem}) a CROSS JOIN (SELECT DISTINCT l_linestatus FROM {lineitem}) b
-    LEFT JOIN {lineitem} l ON l.l_returnflag = a.l_returnflag AND l.l_linestatus = b.l_linestatus GROUP BY a.l_returnflag, b.l_linestatus),
+SELECT round(avg(coalesce(CAST(2 * tp AS DOUBLE) / nullif(2 * tp + fp + fn, 0), 0)), 6) AS macro_f1, round(sum(CAST(tp AS DOUBLE)) / CAST(sum(tp + fn) AS DOUBLE), 6) AS micro_f1, round(avg(CAST(tp AS DOUBLE) / nullif(tp + fn, 0)), 6) AS balanced_accuracy,
+    round(sum(coalesce(CAST(2 * tp AS DOUBLE) / nullif(2 * tp + fp + fn, 0), 0) * (tp + fn)) / CAST(sum(tp + fn) AS DOUBLE), 6) AS weighted_f1 FROM k""")
+_FLAGS = """WITH g AS (SELECT l_returnflag AS a, l_linestatus AS b, count(*) AS n FROM {lineitem} GROUP BY l_returnflag, l_linestatus),
+c AS (SELECT x.a, y.b, coalesce(g.n, 0) AS n FROM (SELECT DISTINCT a FROM g) x CROSS JOIN (SELECT DISTINCT b FROM g) y LEFT JOIN g ON g.a = x.a AND g.b = y.b),
 m AS (SELECT *, CAST(n AS DOUBLE) AS o, CAST(sum(n) OVER (PARTITION BY a) AS DOUBLE) AS ra, CAST(sum(n) OVER (PARTITION BY b) AS DOUBLE) AS rb, CAST(sum(n) OVER () AS DOUBLE) AS t FROM c)"""
 both("cramers_v", _FLAGS + " SELECT round(sqrt(sum((o - ra * rb / t) * (o - ra * rb / t) / (ra * rb / t)) / (max(t) * (least(count(DISTINCT a), count(DISTINCT b)) - 1))), 6) AS v FROM m")
 both("mutual_information", _FLAGS + " SELECT round(sum(CASE WHEN o > 0 THEN o / t * ln(o * t / (ra * rb)) ELSE 0 END), 6) AS nats FROM m")
@@ -254,76 +233,18 @@ both("coverage_rates", "SELECT source, count(*) AS works, round(avg(CASE WHEN n_
 both("two_level_mean", "SELECT lang, round(avg(m), 6) AS mean FROM (SELECT lang, source, avg(CAST(n_chars AS DOUBLE)) AS m FROM {documents} GROUP BY lang, source) GROUP BY lang")
 both("candidate_counts", "SELECT lang, source, count(*) AS found, count(DISTINCT $sha(text)) AS works, count(CASE WHEN n_chars >= 200 THEN 1 END) AS with_text FROM {documents} GROUP BY GROUPING SETS ((lang, source), (lang), ())")
 
-_DRAWS = """WITH u AS (SELECT d.lang AS cell, l.toxic AS y, row_number() OVER (PARTITION BY d.lang ORDER BY l.doc_id, l.toxic, l.quality) - 1 AS i, count(*) OVER (PARTITION BY d.lang) AS n FROM {labels} l JOIN {documents} d ON d.doc_id = l.doc_id),
-r AS (SELECT b, cell, i, n, CAST(floor($draw('11', b, cell, i) * n) AS BIGINT) AS pick FROM u CROSS JOIN (SELECT $each($range(1, 50)) AS b)),
-m AS (SELECT r.b, avg(CAST(u.y AS DOUBLE)) AS mean FROM r JOIN u ON u.cell = r.cell AND u.i = r.pick GROUP BY r.b)"""
-both("bootstrap_ci", _DRAWS + " SELECT round(avg(mean), 6) AS centre, round(min(mean), 6) AS low, round(max(mean), 6) AS high, count(*) AS replicates FROM m")
-
-
-@query("""WITH s AS (SELECT a.vec_id AS q, b.vec_id AS c, round(list_sum(list_transform(range(1, 9), lambda i: CAST(a.embedding[i] AS DOUBLE) * b.embedding[i])), 9) AS score, a.label = b.label AS hit
-    FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id AND a.vec_id % 50 = 0),
-r AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, c) AS k FROM s), f AS (SELECT q, min(k) FILTER (hit) AS k FROM r GROUP BY q)
-SELECT round(avg(coalesce(1.0 / k, 0)), 6) AS mrr, round(avg(CASE WHEN k <= 10 THEN 1.0 ELSE 0.0 END), 6) AS accuracy_10 FROM f""")
-def mrr_at_k(spark, sf_dir):
-    """A stated query set (ids divisible by 50) against all rows: the candidates stream past the broadcast queries.
-
-    The score is that of the first 8 dimensions only, as in the SQL; mrr_at_k_whole takes all.
-    """
-    return _first_hits(spark, sf_dir, lambda v: F.slice(v, 1, 8))
-
-
-@query()
-def mrr_at_k_whole(spark, sf_dir):
-    """mrr_at_k by the dot product of whole vectors."""
-    return _first_hits(spark, sf_dir, F.col)
-
-
-def _first_hits(spark, sf_dir, part):
-    e = table(spark, sf_dir, "embeddings")
-    q = e.where("vec_id % 50 = 0").select(F.col("vec_id").alias("q"), F.col("embedding").alias("x"), F.col("label").alias("y"))
-    dot = F.round(F.aggregate(F.zip_with(part("x"), part("embedding"), lambda a, b: a.cast("double") * b), F.lit(0.0), lambda s, v: s + v), 9)
-    scored = e.join(q, F.col("vec_id") != F.col("q")).select("q", F.col("vec_id").alias("c"), dot.alias("score"), (F.col("label") == F.col("y")).alias("hit"))
-    ranked = scored.withColumn("k", F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "c")))
-    first = ranked.groupBy("q").agg(F.min(F.when(F.col("hit"), F.col("k"))).alias("k"))
-    return first.agg(F.round(F.avg(F.coalesce(F.try_divide(F.lit(1.0), F.col("k")), F.lit(0.0))), 6).alias("mrr"), F.round(F.avg(F.when(F.col("k") <= 10, 1.0).otherwise(0.0)), 6).alias("accuracy_10"))
-
-
 both("cer", "SELECT item_id, CAST(levenshtein(text, replace(text, 'th', 't')) AS BIGINT) AS edits, round(CAST(levenshtein(text, replace(text, 'th', 't')) AS DOUBLE) / length(text), 6) AS cer FROM {benchmark}")
 
 
-@query()
-def wer(spark, sf_dir):
-    b = table(spark, sf_dir, "benchmark").withColumn("seen", F.regexp_replace("text", " th", " t"))
-    edits = T.word_edits(F.col("seen"), F.col("text"))
-    return b.select("item_id", edits.alias("edits"), F.round(F.try_divide(edits.cast("double"), F.size(F.split(F.trim("text"), "\\s+"))), 6).alias("wer"))
-
-
 both("referential_integrity", """
 SELECT 'labels.doc_id' AS relation, count(*) AS violations FROM {labels} l WHERE NOT EXISTS (SELECT 1 FROM {documents} d WHERE d.doc_id = l.doc_id)
 UNION ALL SELECT 'orders.o_custkey', count(*) FROM {orders} o WHERE NOT EXISTS (SELECT 1 FROM {customer} c WHERE c.c_custkey = o.o_custkey)
 UNION ALL SELECT 'lineitem.l_orderkey', count(*) FROM {lineitem} l WHERE NOT EXISTS (SELECT 1 FROM {orders} o WHERE o.o_orderkey = l.l_orderkey)""")
 
-both("json_extra", "SELECT event_type, count(*) AS n, count(props) AS with_props, CAST(min(length(props)) AS BIGINT) AS shortest FROM {events} GROUP BY event_type")
-
 both("formula_overlap", """
 SELECT a.l_orderkey AS doc, a.l_linenumber AS i, b.l_linenumber AS j, CAST(least(a.l_linenumber, b.l_linenumber) AS BIGINT) AS inner_lo FROM {lineitem} a JOIN {lineitem} b ON a.l_orderkey = b.l_orderkey AND a.l_linenumber < b.l_linenumber
 AND a.l_quantity < b.l_quantity + 5 AND b.l_quantity < a.l_quantity + 5""")
 
-_OVERLAP = """
-SELECT DISTINCT d.doc_id, b.item_id FROM (SELECT doc_id, unnest(s) AS s FROM (SELECT doc_id, WORDS AS s FROM documents)) d JOIN (SELECT item_id, unnest(s) AS s FROM (SELECT item_id, WORDS AS s FROM benchmark)) b ON b.s = d.s"""
-_duck8 = "list_transform(generate_series(1, greatest(len(string_split(lower(text), ' ')) - 7, 1)), lambda i: array_to_string(string_split(lower(text), ' ')[i:i + 7], ' '))"
-
-
-@query(_OVERLAP.replace("WORDS", _duck8))
-def shingle_contamination(spark, sf_dir):
-    def grams(name, key):
-        words = table(spark, sf_dir, name).select(key, F.split(F.lower("text"), " ").alias("w"))
-        at = F.sequence(F.lit(1), F.greatest(F.size("w") - 7, F.lit(1)))
-        return words.select(key, F.explode(F.transform(at, lambda i: F.xxhash64(F.array_join(F.slice("w", i, 8), " ")))).alias("s")).distinct()
-
-    return grams("documents", "doc_id").join(grams("benchmark", "item_id"), "s").select("doc_id", "item_id").distinct()
-
-
 @query("""WITH RECURSIVE e AS (SELECT DISTINCT l_suppkey AS s, l_partkey % 7 AS p FROM lineitem),
 r AS (SELECT s, s AS m FROM e UNION SELECT e2.s, r.m FROM r JOIN e e1 ON e1.s = r.s JOIN e e2 ON e2.p = e1.p),
 c AS (SELECT s, min(m) AS m FROM r GROUP BY s)
@@ -338,14 +259,6 @@ def graph_connectivity(spark, sf_dir):
     return labels.agg(F.count_distinct("label").alias("components"), F.count(F.lit(1)).alias("journals")).crossJoin(degree)
 
 
-@query()
-def schema_rules(spark, sf_dir):
-    """Proxy: `documents` read as a registry of works, against declared rules."""
-    from ..operators.rules import WORKS_PROXY, violations
-
-    return violations(table(spark, sf_dir, "documents"), "doc_id", WORKS_PROXY)
-
-
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages to text per host: main block, text, menu prefix, title, length filter."""
     p = table(spark, sf_dir, "pages").select(T.host(F.col("url")).alias("host"), T.drop_nav_prefix(T.html_to_text(_main(F.col("html")))).alias("text"))

@@ -88,3 +88,83 @@ def test_ingest_counts_equal_bytes_once(spark, tmp_path):
     ingest(spark, *where).awaitTermination()
     assert spark.read.option("recursiveFileLookup", "true").parquet(f"{where[1]}/artifacts").count() == 2
     assert spark.read.option("recursiveFileLookup", "true").parquet(f"{where[1]}/retrievals").count() == 4
+
+
+def test_a_batch_that_runs_again_changes_nothing(spark, tmp_path):
+    from lexmill.streaming.ingest import ARTIFACT, save_to
+
+    save = save_to(str(tmp_path))
+    first = spark.createDataFrame([("sha256:a", "f1", 1), ("sha256:a", "f2", 1)], ARTIFACT)
+    second = spark.createDataFrame([("sha256:a", "f3", 1), ("sha256:b", "f4", 2)], ARTIFACT)
+    for batch, number in ((first, 0), (second, 1), (second, 1), (first, 0)):
+        save(batch, number)
+    read = lambda name: spark.read.parquet(f"{tmp_path}/{name}")
+    assert sorted((r["artifact_id"], r["path"]) for r in read("artifacts").collect()) == [("sha256:a", "f1"), ("sha256:b", "f4")]
+    assert read("retrievals").count() == 4
+
+
+def test_hosts_are_fetched_one_after_another(spark):
+    def fetch(url):
+        import os
+        import time
+
+        if "gone" in url:
+            error = OSError("gone")
+            error.code = 404
+            raise error
+        return f"{os.getpid()} {time.time()}".encode()
+
+    urls = spark.createDataFrame([(f"https://h{k % 2}/{k}",) for k in range(6)] + [("https://h0/gone",), (None,)], "url string")
+    rows = R.fetch_all(urls.where("url is not null"), fetch, delay=5, pause=0.05).collect()
+    for host in ("h0", "h1"):
+        seen = sorted((bytes(r["content"]).decode().split() for r in rows if host in r["url"] and r["content"]), key=lambda x: float(x[1]))
+        assert len({p for p, _ in seen}) == 1 and all(float(b[1]) - float(a[1]) >= 0.05 for a, b in zip(seen, seen[1:]))
+    assert [r["error"] for r in rows if "gone" in r["url"]] == ["gone"]
+
+
+ATOM = """<feed xmlns="http://www.w3.org/2005/Atom"><title>f</title><entry><title>One</title><link rel="self" href="http://no/"/><link href="http://h/1"/><published>p</published><updated>u</updated>
+<category term="x"/><content type="html">&lt;p&gt;The content of the entry, long enough to be kept.&lt;/p&gt;</content><summary>s</summary></entry><entry><title>Two</title></entry></feed>"""
+
+
+def test_atom_default_and_broken_feeds(spark):
+    rows = [("n", "https://host/f", ATOM, None), ("m", "https://m/", "<rss><channel>", None), ("o", "https://o/", None, "HTTP 500"), ("p", "https://p/", "<rss><channel></channel></rss>", None)]
+    feeds = spark.createDataFrame(rows, "name string, feed string, xml string, error string")
+    got = R.parse_feed(feeds.where("name = 'n'").select("feed", "xml")).collect()
+    assert [(r["source"], r["url"], r["title"], r["text"], r["published"], r["categories"]) for r in got] == [("host:rss", "http://h/1", "One", "The content of the entry, long enough to be kept.", "p", ["x"])]
+    every = R.default_feeds(feeds).collect()
+    assert sorted((r["source"], r["title"], r["skipped"]) for r in every) == [("m", "feed_error", True), ("n:rss", "One", False), ("o", "feed_error", True)]
+
+
+def test_pages_in_columns_are_read_in_order(spark):
+    import numpy as np
+
+    from lexmill.sources import pdf
+
+    gray = np.full((825, 300), 255, np.uint8)
+    gray[40:, 20:280] = 0
+    gray[405:, 120:180] = 255
+    read = lambda g: f"{g.shape[0]}x{g.shape[1]}"
+    first, second = pdf.read_page(gray, 792.0, 0, read), pdf.read_page(gray, 792.0, 1, read)
+    assert len(first.split("\n\n")) == 3 and first.split("\n\n")[0].endswith("x300") and len(second.split("\n\n")) == 2
+    assert pdf.read_page(np.full((825, 300), 255, np.uint8), 792.0, 0, read) == "825x300"
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from lexmill.cli import main
+
+    line = "Достаточно длинная строка статьи, которая идёт первой на странице и не кончается"
+    pages = {
+        "https://j/ru/articles/": '<a href="/ru/articles/1999/9/">9</a>',
+        "https://j/ru/articles/1999/9/": '<a href="/ru/articles/1999/9/a/">Название статьи</a><a href="/ru/articles/1999/9/b/">x</a>',
+        "https://j/ru/articles/1999/9/a/": f'<div class="main"><p>{line}</p><p>{line}</p>© Успехи</div>',
+        "https://j/ru/articles/1999/9/b/": "<p>404</p>",
+    }
+    get = lambda url: pages[url].encode("cp1251")
+    out = str(tmp_path / "out")
+    assert main(["journal", "-o", out, "--delay", "0", "--base", "https://j"], spark, get) == {"saved": 1, "rejected": 1}
+    row = R.read_jsonl(spark, out).first()
+    assert (row["title"], row["text"]) == ("Название статьи", f"{line}\n{line}")
+    feeds = {"https://f/": FEED, "https://g/": "<rss"}
+    assert main(["rss", "-o", str(tmp_path / "rss"), "--delay", "0", "--feed", "https://f/", "--feed", "https://g/"], spark, lambda url: feeds[url].encode()) == {"saved": 1, "feeds with errors": 1}
+    (tmp_path / "works.jsonl").write_text('{"work_id": "w"}\n\nnot json\n')
+    assert main(["check", "works", str(tmp_path / "works.jsonl")], spark) == {"lines": 2, "rules broken": 2}
