@@ -2,10 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import re
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share; a temporary one only where all runs on one machine."""
+    where = spark.conf.get("spark.checkpoint.dir", None)
+    if where:
+        return where
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    return tempfile.mkdtemp(prefix="lexmill-")
+
+
 def label_components(edges: DataFrame) -> DataFrame:
     """(node, label): the smallest node of each component, from edges (a, b).
 
@@ -14,9 +27,7 @@ def label_components(edges: DataFrame) -> DataFrame:
     """
     spark = edges.sparkSession
     if spark.sparkContext.getCheckpointDir() is None:
-        import tempfile
-
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp())
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
     both = edges.select("a", "b").union(edges.select("b", "a")).distinct().checkpoint()
     labels = both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.min("a")).alias("label")).checkpoint()
     while True:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import layout as L
+from ..operators.graph import shared_folder
 from ..sources import crawl as W
 from ..sources import pdf as P
 from ..sources import records as S
@@ -190,8 +191,7 @@ def sidecar_files(spark, sf_dir):
 
 def scratch(spark) -> str:
     """A new folder where all executors can write."""
-    where = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{where.rstrip('/')}/scratch-{uuid.uuid4().hex}"
+    return f"{shared_folder(spark).rstrip('/')}/scratch-{uuid.uuid4().hex}"
 
 
 _KEPT = "doc_id % 10 <> 0 AND length(regexp_replace(coalesce(text, ''), '^[\\s\\x1c-\\x1f\\x85\\p{Z}]+|[\\s\\x1c-\\x1f\\x85\\p{Z}]+\\z', '', 'g')) >= 30"
