@@ -11,11 +11,16 @@ windows there:
    hashes of their anchors, packed, and get the shared ones back.
 3. Segments of shared anchors go to the task of their anchor, one copy per
    chunk with its smallest and largest doc_id.
-4. There the segments of one anchor, the anchor itself replaced by one symbol, are joined
+4. There the segments of one anchor, the anchor itself replaced by one symbol, lose the bytes on
+   either side that no other segment has, and what is left is joined
    and suffix-sorted (`suffix_array`).  Equal windows are neighbours in the
    array and get their smallest doc_id.
 5. The chunks get those back and cut their texts.
 
+An anchor that more than HOT_CHUNKS chunks hold doesn't meet in one task: its windows are dealt by the
+SIDE bytes before it where the window has as many, else by the bytes after it, which equal windows
+share, too.
+
 Equal texts are met before: all but the one with the smallest doc_id are
 covered whole.  Nothing is capped: a string that very many documents hold stands
 once per chunk, and a chunk is some megabytes of text.
@@ -41,6 +46,10 @@ CHUNK_BYTES = 2 << 20
 #: Longer texts are read in overlapping pieces.
 PIECE = 4 << 20
 _POS_BITS = 23
+#: Text for which one task keeps the anchors.
+PART_BYTES = 16 << 20
+#: Chunks that may hold an anchor before it is split, and the bytes beside it that it is split by.
+HOT_CHUNKS, SIDE = 16, 9
 #: Bytes that never occur in UTF-8 stand for the anchor and for the end of a segment.
 ANCHOR, END = b"\xff", b"\xfe"
 
@@ -169,13 +178,52 @@ def suffix_array(s: bytes) -> list[int]:
     return out
 
 
+def _shared_prefix(parts: list[bytes]) -> list[int]:
+    """For every string the length of the longest prefix that it has in common with another one."""
+    order = sorted(range(len(parts)), key=parts.__getitem__)
+    best = [0] * len(parts)
+    a = order[0]
+    for b in order[1:]:
+        n = 0
+        if parts[a] == parts[b]:
+            n = len(parts[a])
+        else:
+            for p, q in zip(parts[a], parts[b]):  # noqa: B905  one may be longer
+                if p != q:
+                    break
+                n += 1
+        best[a], best[b] = max(best[a], n), max(best[b], n)
+        a = b
+    return best
+
+
 def owners(segments: list[bytes], least: list[int]) -> list[list[int]]:
     """For every window of each distinct segment, the smallest doc_id among equal windows.
 
-    segments: with the anchor as one symbol; least: their smallest doc_id.
+    segments: with the anchor as one symbol; least: their smallest doc_id.  A window that reaches beyond
+    the bytes which another segment has, too, is its segment's own.
     """
+    low = [[owner] * (len(seg) - SPAN + 1) for seg, owner in zip(segments, least, strict=True)]
     if len(segments) == 1:
-        return [[least[0]] * (len(segments[0]) - SPAN + 1)]
+        return low
+    anchor = [seg.index(ANCHOR) for seg in segments]
+    left = _shared_prefix([seg[:a][::-1] for seg, a in zip(segments, anchor, strict=True)])
+    right = _shared_prefix([seg[a + 1 :] for seg, a in zip(segments, anchor, strict=True)])
+    cores: dict[bytes, list[tuple[int, int]]] = {}
+    for k, (seg, a, before, after) in enumerate(zip(segments, anchor, left, right, strict=True)):
+        if before + after + 1 >= SPAN:
+            cores.setdefault(seg[a - before : a + 1 + after], []).append((k, a - before))
+    names = list(cores)
+    for core, row in zip(names, _sorted_owners(names, [min(least[k] for k, _ in cores[c]) for c in names]), strict=True):
+        for k, at in cores[core]:
+            low[k][at : at + len(row)] = row
+    return low
+
+
+def _sorted_owners(segments: list[bytes], least: list[int]) -> list[list[int]]:
+    """`owners` by the suffix array of all segments."""
+    if len(segments) < 2:
+        return [[owner] * (len(seg) - SPAN + 1) for seg, owner in zip(segments, least, strict=True)]
     s = END.join(segments) + END
     first, owner = [], [-1] * len(s)
     at = 0
@@ -294,8 +342,8 @@ def _send_keys(key, left: pa.Table, right: pa.Table, parts: int) -> pa.Table:
     return pa.table(dict(part=pa.array(full, pa.int32()), chunk=pa.array([key[0].as_py()] * len(full), pa.int64()), keys=pa.array(blobs, pa.binary())))
 
 
-def _reply_keys(table: pa.Table) -> pa.Table:
-    """(chunk, keys): for each chunk its anchors that are shared."""
+def _reply_keys(key, table, hot_chunks):  # Spark reads the kind of function from hints, and takes none of a partial one
+    """(chunk, keys): for each chunk its anchors that are shared; the lowest bit says that many chunks hold it."""
     chunks = table.column("chunk").to_pylist()
     each = [np.frombuffer(b, np.uint64) for b in table.column("keys").to_pylist()]
     sent = np.concatenate(each)
@@ -306,19 +354,46 @@ def _reply_keys(table: pa.Table) -> pa.Table:
     again = np.concatenate(([False], ranked[1:] == ranked[:-1], [False]))
     head = np.flatnonzero(~again[:-1])
     in_two = np.logical_or.reduceat(several[order] | again[1:], head)
-    shared = np.empty(len(plain), bool)
-    shared[order] = np.repeat(in_two, np.diff(np.append(head, len(plain))))
+    holders = np.diff(np.append(head, len(plain)))
+    shared, told = np.empty(len(plain), bool), np.empty(len(plain), np.uint64)
+    shared[order] = np.repeat(in_two, holders)
+    told[order] = ranked | np.repeat(holders > hot_chunks, holders).astype(np.uint64)
     ends = np.cumsum([len(e) for e in each])
-    out = [plain[hi - len(e) : hi][shared[hi - len(e) : hi]].tobytes() for e, hi in zip(each, ends, strict=True)]
+    out = [told[hi - len(e) : hi][shared[hi - len(e) : hi]].tobytes() for e, hi in zip(each, ends, strict=True)]
     full = [k for k, b in enumerate(out) if b]
     return pa.table(dict(chunk=pa.array([chunks[k] for k in full], pa.int64()), keys=pa.array([out[k] for k in full], pa.binary())))
 
 
+def _split(r: Runs, hit: np.ndarray, key: np.ndarray, hot: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Key, text, first window, anchor position and number of windows of the runs `hit`; those of hot anchors are cut in two."""
+    doc, start, anchor, count = r.doc[hit], r.start[hit], r.anchor[hit], r.count[hit]
+    if not hot.any():
+        return key, doc, start, anchor, count
+    cold = ~hot
+    # windows with SIDE bytes before the anchor, and the others, which have WIDTH - GRAM - SIDE + 1 after it
+    early = hot & (start <= anchor - SIDE)
+    late = hot & (start + count > anchor - SIDE + 1)
+    a, b = anchor[early], anchor[late]
+    ends = np.minimum(start[early] + count[early], a - SIDE + 1)
+    begins = np.maximum(start[late], b - SIDE + 1)
+    before = mix64(r.pack.hash(a - SIDE, a + GRAM) ^ np.uint64(0x5851F42D4C957F2D))
+    after = mix64(r.pack.hash(b, b + WIDTH - SIDE + 1) ^ np.uint64(0x14057B7EF767814F))
+    return (
+        np.concatenate((key[cold], before, after)),
+        np.concatenate((doc[cold], doc[early], doc[late])),
+        np.concatenate((start[cold], start[early], begins)),
+        np.concatenate((anchor[cold], a, b)),
+        np.concatenate((count[cold], ends - start[early], start[late] + count[late] - begins)),
+    )
+
+
 def _shared_runs(left: pa.Table, right: pa.Table):
     """Texts of a chunk, its distinct shared segments, and where they stand."""
     ids, texts = _chunk(left, right)
     blobs = [b for b in right.column("keys").to_pylist() if b] if texts else []
     wanted = np.sort(np.frombuffer(b"".join(blobs), np.uint64))
+    hot = (wanted & np.uint64(1)).astype(bool)
+    wanted = wanted & ~np.uint64(1)
     known: dict[tuple[int, bytes], int] = {}
     where: list[tuple[int, int, int]] = []  # segment, text, first window
     if len(wanted):
@@ -327,12 +402,12 @@ def _shared_runs(left: pa.Table, right: pa.Table):
             plain = r.key & ~np.uint64(1)
             place = np.minimum(np.searchsorted(wanted, plain), len(wanted) - 1)
             hit = np.flatnonzero(wanted[place] == plain)
-            raw, doc, start, anchor = r.pack.raw, r.doc[hit], r.start[hit], r.anchor[hit]
+            key, doc, start, anchor, count = _split(r, hit, plain[hit], hot[place[hit]])
+            raw = r.pack.raw
             first = np.array([p[1] for p in pack])[doc] + start - r.pack.starts[doc]
             number_of = np.array([p[0] for p in pack])[doc]
-            stop = start + r.count[hit] + WIDTH - 1
-            for key, s, a, e, text, at in zip(*(x.tolist() for x in (plain[hit], start, anchor, stop, number_of, first)), strict=True):
-                number = known.setdefault((key, raw[s:a] + ANCHOR + raw[a + GRAM : e]), len(known))
+            for k, s, a, e, text, at in zip(*(x.tolist() for x in (key, start, anchor, start + count + WIDTH - 1, number_of, first)), strict=True):
+                number = known.setdefault((k, raw[s:a] + ANCHOR + raw[a + GRAM : e]), len(known))
                 where.append((number, text, at))
     return ids, texts, known, where
 
@@ -427,14 +502,15 @@ def _cut_texts(key, left: pa.Table, right: pa.Table) -> pa.Table:
 # ------------------------------------------------------------------ operator
 
 
-def dedup(docs: DataFrame) -> DataFrame:
+def dedup(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES, hot_chunks: int = HOT_CHUNKS) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, one row per input row.
 
     docs: doc_id, text; further columns are ignored.  Every byte of the UTF-8
     text goes that a WIDTH-byte string covers which also starts in a document
     with a smaller doc_id, all judged on the input.  Null text counts as empty.
     A null doc_id takes no part: nothing is removed from or because of it.
-    Rows that share a doc_id don't remove each other's bytes.  An empty table gives no rows.
+    Rows that share a doc_id don't remove each other's bytes.  Very long texts are read whole, in overlapping pieces.
+    Texts of fewer bytes than WIDTH lose nothing.  An empty table gives no rows.  chunk_bytes and hot_chunks change the dealing, not the rows.
     """
     spark = docs.sparkSession
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
@@ -442,7 +518,7 @@ def dedup(docs: DataFrame) -> DataFrame:
     firsts = hashed.where("doc_id is not null").groupBy("sha").agg(F.min("doc_id").alias("first"))
     info = cut(hashed.join(firsts, "sha", "left"))
     total = info.where(f"n_bytes >= {WIDTH} and doc_id = first").agg(F.sum("n_bytes").alias("n")).first()["n"] or 0
-    chunks, parts = int(total // CHUNK_BYTES) + 1, shuffle_parts(spark)
+    chunks, parts = int(total // chunk_bytes) + 1, max(shuffle_parts(spark), int(total // PART_BYTES) + 1)
     chunk = F.pmod(F.xxhash64("doc_id"), F.lit(chunks)).alias("chunk")
     texts = source.where(f"doc_id is not null and octet_length(text) >= {WIDTH}").select(chunk, "doc_id", "text").groupBy("chunk")
     none = F.lit(None).cast("binary")
@@ -452,7 +528,7 @@ def dedup(docs: DataFrame) -> DataFrame:
         return rows.groupBy("chunk")
 
     sent = texts.cogroup(told(flags)).applyInArrow(partial(_send_keys, parts=parts), "part int, chunk long, keys binary")
-    replies = cut(sent.groupBy("part").applyInArrow(_reply_keys, "chunk long, keys binary"))
+    replies = cut(sent.groupBy("part").applyInArrow(partial(_reply_keys, hot_chunks=hot_chunks), "chunk long, keys binary"))
     control = flags.unionByName(replies.select("chunk", F.lit(None).cast("long").alias("rep"), F.lit(None).cast("string").alias("sha"), "keys", none.alias("owners")))
     segments = texts.cogroup(told(control)).applyInArrow(partial(_send_segments, parts=parts), "part int, chunk long, anchors binary, numbers binary, segments binary")
     found = cut(segments.groupBy("part").applyInArrow(_find_owners, "chunk long, owners binary"))

@@ -3,7 +3,7 @@
 import gzip
 import random
 
-from lexmill.llm import chat, decontaminate, extract, minhash, quality, secrets, stages, toxicity, warc
+from lexmill.llm import chat, decontaminate, extract, minhash, quality, secrets, stages, suffix, toxicity, warc
 
 WORDS = [f"{a}{b}" for a in ("ka", "lo", "mi", "nu", "pe", "ri") for b in ("ba", "do", "fe", "gi", "hu", "jo", "ky", "la", "ma", "no")]
 
@@ -208,3 +208,36 @@ def test_rows_that_share_a_doc_id_are_one_document(spark):
     assert sorted((r["doc_id"], r["text"]) for r in stages.without_near_duplicates(full).collect()) == [(3, a + " end"), (9, c)]
     two = stages.without_near_duplicates(spark.createDataFrame([(1, a), (1, c), (1, c)], "doc_id long, text string").selectExpr("doc_id", "text", "'en' lang", "'s' source", "1L n_chars"))
     assert sorted(r["text"] for r in two.collect()) == [a, c]
+
+
+def removed(texts):
+    """Bytes of each text that a 50-byte string covers which starts in an earlier one, too."""
+    seen, out = {}, []
+    for t in texts:
+        cover = bytearray(len(t))
+        own = [t[i : i + 50] for i in range(len(t) - 49)]
+        for i, w in enumerate(own):
+            if w in seen:
+                cover[i : i + 50] = b"\x01" * 50
+        seen.update(dict.fromkeys(own))
+        out.append(sum(cover))
+    return out
+
+
+def test_hot_anchors_are_split_and_nothing_is_lost(spark):
+    """Passages that nearly all of many chunks hold, cut at any place and changed in any byte, against brute force."""
+    draw = random.Random(9)
+    common = "".join(draw.choice("abcdefgh ") for _ in range(220))
+    texts = []
+    for k in range(160):
+        a, b = sorted((draw.randrange(0, 150), draw.randrange(60, 220)))
+        piece = list(common[a:b])
+        if piece and k % 3 == 0:
+            piece[draw.randrange(len(piece))] = "#"
+        noise = "".join(draw.choice("ijklmnop ") for _ in range(draw.randrange(0, 90)))
+        texts.append(noise + "".join(piece) + noise[::-1] + " " * draw.choice((0, 70)))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    expect = removed([t.encode() for t in texts])
+    for hot in (0, 2, 1000):
+        got = {r["doc_id"]: r["n_removed"] for r in suffix.dedup(docs, chunk_bytes=1500, hot_chunks=hot).collect()}
+        assert [got[k] for k in range(len(texts))] == expect
