@@ -9,10 +9,11 @@ one class, and only its smallest doc_id takes part in the search.
 Search: every document is first compared with the smallest doc_id that any of its
 buckets starts with.  Links are confirmed on full shingle sets and joined into
 components.  Buckets whose members then lie in one component need no more work.
-The other buckets are joined into clusters, in which a document stands once with
-its full set.  A cluster is split into blocks of BLOCK documents, and pairs of
-blocks are dealt to the tasks.  A task compares members of different components,
-first by signature, then by full set, and unites components as it goes, so it
+The other buckets are joined into clusters, in which a document stands once.  A
+cluster is split into blocks of BLOCK documents, and pairs of blocks are dealt to the
+tasks twice.  First with signatures only (160 bytes a document): a task names the members that agree
+enough with one of another component.  Then these members alone come with their full sets; a
+task compares them and unites components as it goes, so it
 returns a link for each union instead of all pairs.
 
 With 32 bands of 5 a link at similarity 0.8 shares no bucket with probability
@@ -37,7 +38,7 @@ COORDINATES = BANDS * ROWS
 #: Columns of the shift table handled at once, to stay in cache.
 WIDTH = 512
 #: Documents of a cluster that a task compares with as many others.
-BLOCK = 512
+BLOCK = 1024
 
 
 def min_agree(percent: int) -> int:
@@ -136,6 +137,29 @@ def _sets(batch: pa.RecordBatch, words: int) -> pa.RecordBatch:
     return batch.set_column(at, pa.field("text", pa.binary()), sets)
 
 
+def _meet(batches, least: int, percent: int):
+    """Rows of runs of (key, side, first, second, doc_id, root, n, low) whose signature agrees with one of another component; without low."""
+    for run in runs(batches, "key"):
+        roots = run.column("root").to_pylist()
+        if len(set(roots)) < 2:
+            continue
+        owner, side = np.unique(roots, return_inverse=True)[1], run.column("side").to_numpy()
+        apart = run.column("first")[0].as_py() != run.column("second")[0].as_py()
+        low, sizes = _bytes(run.column("low")), run.column("n").to_numpy()
+        met = np.zeros(len(roots), bool)
+        for k in range(len(roots) - 1):
+            rest = slice(k + 1, len(roots))
+            fits = (owner[rest] != owner[k]) & (100 * np.minimum(sizes[rest], sizes[k]) >= percent * np.maximum(sizes[rest], sizes[k]))
+            if apart:
+                fits &= side[rest] != side[k]
+            maybe = np.flatnonzero(fits) + k + 1
+            maybe = maybe[(low[maybe] == low[k]).sum(axis=1) >= least]
+            met[maybe] = True
+            met[k] |= len(maybe) > 0
+        if met.any():
+            yield from run.drop_columns(["n", "low"]).filter(pa.array(met)).to_batches()
+
+
 def _across(batches, least: int, percent: int):
     """Links between components, from runs of (key, side, first, second, doc_id, root, low, shingles).
 
@@ -190,7 +214,7 @@ def _linked(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Dat
     return full.select("a", "b", "text_a", "text_b").mapInArrow(partial(_confirm, words=words, percent=percent), "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, block: int = BLOCK) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id, kept.
 
     docs: doc_id, text; further columns are ignored.  Two documents are linked
@@ -212,7 +236,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     chosen = cut(chosen)
     shared_ids = cut(live.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
     alone = shared_ids.isEmpty()
-    lows = chosen.select("doc_id", "low")
+    lows = chosen.select("doc_id", "low", F.col("n_shingles").alias("n"))
     entries = chosen.select("doc_id", F.col("n_shingles").alias("n"), F.explode("bands").alias("bucket"))
     buckets = entries.groupBy("bucket").agg(F.min(F.struct("doc_id", "n")).alias("first"), F.count(F.lit(1)).alias("size")).where("size > 1")
     entries = cut(entries.join(buckets.select("bucket", F.col("first.doc_id").alias("lead"), F.col("first.n").alias("lead_n")), "bucket"))
@@ -234,24 +258,28 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     split = owned.groupBy("bucket").agg(F.min("doc_id").alias("lead"), F.min("root").alias("low_root"), F.max("root").alias("high_root")).where("low_root <> high_root")
     owned = owned.join(split.select("bucket", "lead"), "bucket").groupBy("doc_id", "root", "lead").agg(F.count(F.lit(1)).alias("shared"))
     owned = cut(owned.select("doc_id", "root", "lead"))
-    across = cut(_cluster_links(owned, lows, texts, words, percent, least))
+    across = cut(_cluster_links(owned, lows, texts, words, percent, least, block))
     if count_of(across):
         roots = components(links.union(across))
     return _labelled(signed, chosen, roots)
 
 
-def _cluster_links(owned: DataFrame, lows: DataFrame, texts: DataFrame, words: int, percent: int, least: int) -> DataFrame:
+def _cluster_links(owned: DataFrame, lows: DataFrame, texts: DataFrame, words: int, percent: int, least: int, block: int) -> DataFrame:
     """(a, b): links across components within the clusters that (doc_id, root, lead) span."""
     grouped = components(owned.select(F.col("doc_id").alias("a"), F.col("lead").alias("b")))
     members = owned.select("doc_id", "root").distinct().join(grouped.withColumnsRenamed({"node": "doc_id", "root": "cluster"}), "doc_id", "left").withColumn("cluster", F.coalesce("cluster", "doc_id"))
-    sizes = members.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    sizes = members.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
     sided = members.join(sizes, "cluster").withColumn("side", F.expr("cast(pmod(xxhash64(doc_id), blocks) as int)"))
-    full = sided.join(lows, "doc_id").join(texts, "doc_id")
-    schema = "doc_id long, root long, cluster long, blocks int, side int, low binary"
-    sets = full.select("doc_id", "root", "cluster", "blocks", "side", "low", "text").mapInArrow(arrow_rows(partial(_sets, words=words)), f"{schema}, text binary")
-    dealt = sets.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).select("doc_id", "root", "cluster", "side", F.least("side", "other").alias("first"), F.greatest("side", "other").alias("second"), "low", F.col("text").alias("shingles"))
-    rows = dealt.withColumn("key", F.xxhash64("cluster", "first", "second")).repartition("key").sortWithinPartitions("key", "doc_id")
-    return rows.select("key", "side", "first", "second", "doc_id", "root", "low", "shingles").mapInArrow(partial(_across, least=least, percent=percent), "a long, b long")
+    dealt = sided.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).select("doc_id", "root", "cluster", "side", F.least("side", "other").alias("first"), F.greatest("side", "other").alias("second"))
+    dealt = dealt.withColumn("key", F.xxhash64("cluster", "first", "second"))
+    places = "key long, side int, first int, second int, doc_id long, root long"
+    names = ("key", "side", "first", "second", "doc_id", "root")
+    signed = dealt.join(lows, "doc_id").select(*names, "n", "low").repartition("key").sortWithinPartitions("key", "doc_id")
+    met = cut(signed.mapInArrow(partial(_meet, least=least, percent=percent), places).distinct())
+    full = met.join(lows.drop("n"), "doc_id").join(texts, "doc_id").select(*names, "low", "text")
+    sets = full.mapInArrow(arrow_rows(partial(_sets, words=words)), f"{places}, low binary, text binary")
+    rows = sets.withColumnRenamed("text", "shingles").repartition("key").sortWithinPartitions("key", "doc_id")
+    return rows.mapInArrow(partial(_across, least=least, percent=percent), "a long, b long")
 
 
 def _labelled(signed: DataFrame, chosen: DataFrame, roots: DataFrame) -> DataFrame:

@@ -241,3 +241,31 @@ def test_hot_anchors_are_split_and_nothing_is_lost(spark):
     for hot in (0, 2, 1000):
         got = {r["doc_id"]: r["n_removed"] for r in suffix.dedup(docs, chunk_bytes=1500, hot_chunks=hot).collect()}
         assert [got[k] for k in range(len(texts))] == expect
+
+
+def test_components_against_brute_force(spark):
+    """Many variants of few texts, at similarities around the threshold, in clusters of many blocks."""
+    draw = random.Random(11)
+    bases = [[f"{b}x{k}" for k in range(60)] for b in range(6)]
+    rows = []
+    for k in range(500):
+        words = list(draw.choice(bases))
+        for _ in range(draw.randrange(0, 6)):
+            words[draw.randrange(60)] = f"n{draw.randrange(10**9)}"
+        rows.append((k, " ".join(words)))
+    sets = [{tuple(t.split()[i : i + 5]) for i in range(56)} for _, t in rows]
+    root = list(range(len(rows)))
+
+    def top(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a in range(len(rows)):
+        for b in range(a):
+            if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                x, y = top(a), top(b)
+                root[max(x, y)] = min(x, y)
+    out = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 5, block=16).collect()
+    assert {r["doc_id"]: r["component_id"] for r in out} == {k: top(k) for k in range(len(rows))}
+    assert 20 < len({top(k) for k in range(len(rows))}) < 490
