@@ -438,33 +438,50 @@ def _send_segments(key, left: pa.Table, right: pa.Table, parts: int) -> pa.Table
 
 def _find_owners(table: pa.Table) -> pa.Table:
     """(chunk, owners): for each chunk (segment, from, to, doc_id), windows that a smaller doc_id than its largest holds."""
-    entries = []
-    for chunk, anchors, numbers, segments in zip(*(table.column(c).to_pylist() for c in ("chunk", "anchors", "numbers", "segments")), strict=True):
-        a = np.frombuffer(anchors, np.uint64).tolist()
-        entries += zip(a, segments.split(END), np.frombuffer(numbers, np.int64).reshape(-1, 3).tolist(), [chunk] * len(a), strict=True)
-    entries.sort(key=lambda e: (e[0], e[1]))
-    out: dict[int, list[tuple[int, int, int, int]]] = {}
-    at = 0
-    while at < len(entries):
-        to = at + 1
-        while to < len(entries) and entries[to][0] == entries[at][0]:
-            to += 1
+    chunks = table.column("chunk").to_pylist()
+    segments: list[bytes] = []
+    anchors, numbers, sizes = [], [], []
+    for a, n, joined in zip(*(table.column(c).to_pylist() for c in ("anchors", "numbers", "segments")), strict=True):
+        anchors.append(np.frombuffer(a, np.uint64))
+        numbers.append(np.frombuffer(n, np.int64).reshape(-1, 3))
+        sizes.append(len(anchors[-1]))
+        segments += joined.split(END)
+    keys = np.concatenate(anchors)
+    order = np.argsort(keys, kind="stable")
+    ranked = keys[order]
+    edges = np.concatenate((np.flatnonzero(np.concatenate(([True], ranked[1:] != ranked[:-1]))), [len(keys)])).tolist()
+    number, low, high = (c.tolist() for c in np.concatenate(numbers).T)
+    row_of = np.repeat(np.arange(len(sizes)), sizes).tolist()
+    out: list[list[tuple[int, int, int, int]]] = [[] for _ in chunks]
+    order = order.tolist()
+    for start, end in zip(edges, edges[1:]):  # noqa: B905
+        own = order[start:end]
+        one = segments[own[0]]
+        if all(segments[i] == one for i in own):
+            least = min(low[i] for i in own)
+            for i in own:
+                if least < high[i]:
+                    out[row_of[i]].append((number[i], 0, len(one) - SPAN + 1, least))
+            continue
         distinct: dict[bytes, int] = {}
-        for _, segment, (_, low, _), _ in entries[at:to]:
-            distinct[segment] = min(low, distinct.get(segment, low))
-        found = dict(zip(distinct, owners(list(distinct), list(distinct.values())), strict=True))
-        for _, segment, (number, _, high), chunk in entries[at:to]:
-            row = found[segment]
-            k = 0
-            while k < len(row):
-                end = k + 1
-                while end < len(row) and row[end] == row[k]:
-                    end += 1
-                if row[k] < high:
-                    out.setdefault(chunk, []).append((number, k, end, row[k]))
-                k = end
-        at = to
-    return pa.table(dict(chunk=pa.array(list(out), pa.int64()), owners=pa.array([np.array(v, np.int64).tobytes() for v in out.values()], pa.binary())))
+        for i in own:
+            distinct[segments[i]] = min(low[i], distinct.get(segments[i], low[i]))
+        names = sorted(distinct)
+        found = dict(zip(names, owners(names, [distinct[s] for s in names]), strict=True))
+        for i in own:
+            row, top, at = found[segments[i]], high[i], 0
+            while at < len(row):
+                to = at + 1
+                while to < len(row) and row[to] == row[at]:
+                    to += 1
+                if row[at] < top:
+                    out[row_of[i]].append((number[i], at, to, row[at]))
+                at = to
+    per: dict[int, list[tuple[int, int, int, int]]] = {}
+    for chunk, found_here in zip(chunks, out, strict=True):
+        if found_here:
+            per.setdefault(chunk, []).extend(found_here)
+    return pa.table(dict(chunk=pa.array(list(per), pa.int64()), owners=pa.array([np.array(v, np.int64).tobytes() for v in per.values()], pa.binary())))
 
 
 def _cut_texts(key, left: pa.Table, right: pa.Table) -> pa.Table:
