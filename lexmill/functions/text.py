@@ -219,6 +219,13 @@ def length_metrics(c: Column) -> Column:
     return F.struct(F.length(c).cast("long").alias("characters"), F.size(words).cast("long").alias("words"))
 
 
+def code_links(markup: Column) -> Column:
+    """Codes with their names, from links whose text has a digit: array of struct<code, name>, sorted, each once."""
+    link = F.lit('(?is)<a[^>]*title="([^"]*)"[^>]*>([^<]*[0-9][^<]*)</a>')
+    both = F.arrays_zip(F.regexp_extract_all(markup, link, F.lit(2)).alias("code"), F.regexp_extract_all(markup, link, F.lit(1)).alias("name"))
+    return F.array_sort(F.array_distinct(F.transform(both, lambda x: F.struct(strip(x["code"]).alias("code"), F.lower(strip(x["name"])).alias("name")))))
+
+
 def perplexity_ratio(delta: Column) -> Column:
     """Relative change of perplexity that a mean difference of losses means."""
     return F.exp(delta) - 1

@@ -216,6 +216,21 @@ def csv_round_trip(spark, sf_dir):
     return spark.read.schema("source string, n long, chars long").option("header", True).csv(path)
 
 
+_RAW_OK, _OCR_OK = "doc_id % 300 >= 200", "doc_id % 3 <> 0 AND doc_id % 2 = 0 AND doc_id % 700 >= 200"
+_METHOD = f"CASE WHEN {_RAW_OK} THEN 'pdf' WHEN ({_OCR_OK}) OR (doc_id % 3 <> 0 AND doc_id % 700 >= 500) THEN 'pdf_ocr_layout' ELSE 'pdf_unreadable' END"
+
+
+@query(f"""WITH t AS (SELECT doc_id, {_METHOD} AS method, ({_RAW_OK}) OR ({_OCR_OK}) AS readable, CASE {_METHOD} WHEN 'pdf_ocr_layout' THEN doc_id % 700 ELSE doc_id % 300 END AS n FROM documents)
+SELECT doc_id, mode, CASE WHEN mode <> 'html' AND readable AND n >= 250 THEN method ELSE 'html' END AS text_source, CASE WHEN mode <> 'html' AND readable AND n >= 250 THEN n ELSE 4 END AS n_chars, mode = 'pdf+html' AND NOT (readable AND n >= 250) AS pdf_unreadable
+FROM t, (SELECT unnest(['html', 'pdf', 'pdf+html']) AS mode) WHERE mode <> 'pdf' OR (readable AND n >= 250)""")
+def best_text_choice(spark, sf_dir):
+    """The best of layer, OCR and page for every document, in each mode; a PDF serves from 250 characters on."""
+    rows = table(spark, sf_dir, "documents").selectExpr("doc_id", "repeat('ж', cast(doc_id % 300 as int)) as raw", "if(doc_id % 3 = 0, null, repeat(if(doc_id % 2 = 0, 'д', 'x'), cast(doc_id % 700 as int))) as ocr", "'page' as html_text")
+    best = S.best_text(rows).withColumnRenamed("text", "pdf_text")
+    each = [S.article_text(best, mode, 250).select("doc_id", F.lit(mode).alias("mode"), "text_source", F.length("text").cast("long").alias("n_chars"), "pdf_unreadable") for mode in ("html", "pdf", "pdf+html")]
+    return each[0].unionByName(each[1]).unionByName(each[2])
+
+
 # ------------------------------------------------------------------ layout
 
 
@@ -300,3 +315,13 @@ def perplexity_ratio(spark, sf_dir):
     losses = docs.select("doc_id", "lang", F.explode(F.array(F.struct(F.lit("M1").alias("model"), F.log(F.col("n_chars") + 2.0).alias("loss")), F.struct(F.lit("B1").alias("model"), F.log(F.col("n_chars") + 1.0).alias("loss")))).alias("x")).select("doc_id", "lang", "x.*")
     pairs = T.paired(losses, "doc_id", "model", "loss", "M1", "B1", "lang")
     return pairs.groupBy("lang").agg(F.round(T.perplexity_ratio(F.avg("delta")), 9).alias("ratio"), F.count(F.lit(1)).alias("works"))
+
+
+@query("""SELECT doc_id, '0' || (doc_id % 9) || '.10||42.' || (10 + doc_id % 80) AS codes, 'theory||optics ' || lang AS names, '10.1/a' || doc_id || '||10.1/b' AS dois FROM documents""")
+def code_collect(spark, sf_dir):
+    """Codes and their names from the links of a page, and its DOI names, each once and sorted."""
+    page = F.expr("concat('<a title=\"Optics ', upper(lang), '\" href=x> 42.', 10 + doc_id % 80, ' </a><a href=y title=\"THEORY\">0', doc_id % 9, '.10</a><a title=\"THEORY\">0', doc_id % 9, '.10</a><a title=\"none\">text</a> https://doi.org/10.1/B doi 10.1/a', doc_id, ' ')")
+    codes = T.code_links(page)
+    dois = F.array_sort(F.array_distinct(F.transform(F.regexp_extract_all(page, F.lit("(10[.][0-9]+/[^ <]+)"), F.lit(1)), T.normalize_doi)))
+    join = lambda c, f: F.array_join(F.transform(c, lambda x: x[f]), "||")
+    return table(spark, sf_dir, "documents").select("doc_id", join(codes, "code").alias("codes"), join(codes, "name").alias("names"), F.array_join(dois, "||").alias("dois"))

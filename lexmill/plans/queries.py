@@ -146,12 +146,6 @@ def readable_script(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", F.round(T.script_ratio(c, low, high), 6).alias("ratio"), T.is_readable(c, low, high).alias("readable"))
 
 
-both("best_text_choice", """
-WITH t AS (SELECT d.doc_id, d.n_chars, l.quality = 1 AS raw_ok, l.toxic = 0 AS ocr_ok FROM {documents} d LEFT JOIN {labels} l ON l.doc_id = d.doc_id),
-c AS (SELECT *, CASE WHEN coalesce(raw_ok, false) THEN 'pdf' WHEN coalesce(ocr_ok, false) OR n_chars >= 500 THEN 'pdf_ocr_layout' ELSE 'pdf_unreadable' END AS method,
-    coalesce(raw_ok, false) OR coalesce(ocr_ok, false) AS readable FROM t)
-SELECT doc_id, method, readable, CASE WHEN readable AND n_chars >= 500 THEN method ELSE 'html' END AS text_source, NOT (readable AND n_chars >= 500) AS pdf_unreadable FROM c""")
-
 both("issue_caps", """
 WITH r AS (SELECT source, doc_id, n_chars, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS k FROM {documents}),
 s AS (SELECT source, doc_id, row_number() OVER (ORDER BY source DESC, doc_id) AS n FROM r WHERE k <= 5 AND n_chars >= 80)
@@ -180,9 +174,6 @@ SELECT avg(CAST(toxic AS DOUBLE)) AS toxic_share, avg(CAST(quality AS DOUBLE)) A
 
 both("url_distinct", "SELECT count(*) AS n_rows, count(DISTINCT url) AS n_urls FROM {pages}")
 
-both("code_collect", "SELECT p_brand, listagg(p_type, '||') WITHIN GROUP (ORDER BY p_type) AS types FROM (SELECT DISTINCT p_brand, p_type FROM {part}) GROUP BY p_brand")
-ORACLES["code_collect"] = "SELECT p_brand, string_agg(p_type, '||' ORDER BY p_type) AS types FROM (SELECT DISTINCT p_brand, p_type FROM part) GROUP BY p_brand"
-
 
 @query("""WITH z AS (SELECT conv_id, list(turn ORDER BY turn) FILTER (role = 'user') AS u, list(turn ORDER BY turn) FILTER (role = 'assistant') AS a FROM conversations GROUP BY conv_id)
 SELECT conv_id, CAST(i AS BIGINT) AS i, u[i] AS question, a[i] AS answer FROM (SELECT *, unnest(range(1, least(len(u), len(a)) + 1)) AS i FROM z WHERE u IS NOT NULL AND a IS NOT NULL)""")
@@ -200,9 +191,6 @@ SELECT user_id, min(prior_id) AS run_start FROM s WHERE value >= 50 AND before >
 
 # ------------------------------------------------------------------ splits, samples, leakage
 
-both("quota_violations", """
-SELECT lang, n, round(share, 6) AS share, CASE WHEN share > 0.4 THEN 'above' WHEN share < 0.1 THEN 'below' ELSE 'ok' END AS verdict
-FROM (SELECT lang, count(*) AS n, CAST(count(*) AS DOUBLE) / sum(count(*)) OVER () AS share FROM {documents} GROUP BY lang)""")
 both("exclusion_reasons", """
 SELECT reason, count(*) AS n FROM (
     SELECT 'short' AS reason FROM {documents} WHERE n_chars < 200 UNION ALL SELECT 'language' FROM {documents} WHERE lang <> 'en'
@@ -231,8 +219,6 @@ both("cramers_v", _FLAGS + " SELECT round(sqrt(sum((o - ra * rb / t) * (o - ra *
 both("mutual_information", _FLAGS + " SELECT round(sum(CASE WHEN o > 0 THEN o / t * ln(o * t / (ra * rb)) ELSE 0 END), 6) AS nats FROM m")
 both("coverage_rates", "SELECT source, count(*) AS works, round(avg(CASE WHEN n_chars >= 200 THEN CAST(1 AS DOUBLE) ELSE 0 END), 6) AS long_share, round(avg(CASE WHEN lang = 'en' THEN CAST(1 AS DOUBLE) ELSE 0 END), 6) AS en_share, count(DISTINCT lang) AS langs FROM {documents} GROUP BY source")
 both("two_level_mean", "SELECT lang, round(avg(m), 6) AS mean FROM (SELECT lang, source, avg(CAST(n_chars AS DOUBLE)) AS m FROM {documents} GROUP BY lang, source) GROUP BY lang")
-both("candidate_counts", "SELECT lang, source, count(*) AS found, count(DISTINCT $sha(text)) AS works, count(CASE WHEN n_chars >= 200 THEN 1 END) AS with_text FROM {documents} GROUP BY GROUPING SETS ((lang, source), (lang), ())")
-
 both("cer", "SELECT item_id, CAST(levenshtein(text, replace(text, 'th', 't')) AS BIGINT) AS edits, round(CAST(levenshtein(text, replace(text, 'th', 't')) AS DOUBLE) / length(text), 6) AS cer FROM {benchmark}")
 
 
@@ -259,6 +245,16 @@ def graph_connectivity(spark, sf_dir):
     return labels.agg(F.count_distinct("label").alias("components"), F.count(F.lit(1)).alias("journals")).crossJoin(degree)
 
 
+def operated(name: str):
+    """Registers a query that runs the library's operators; the SQL given before by `both` stays its oracle."""
+
+    def add(f):
+        QUERIES[name] = f
+        return f
+
+    return add
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages to text per host: main block, text, menu prefix, title, length filter."""
     p = table(spark, sf_dir, "pages").select(T.host(F.col("url")).alias("host"), T.drop_nav_prefix(T.html_to_text(_main(F.col("html")))).alias("text"))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..operators import checks as C
 from ..operators import resolve as R
-from .queries import query, table
+from .queries import operated, query, table
 
 #: Offenders of each check: the remainder of doc_id, and the key.
 SEEDED = (
@@ -243,3 +243,19 @@ def blinded_forms(spark, sf_dir):
     ids = docs.selectExpr("concat('w', doc_id) as work_id", "concat('item', doc_id) as annotation_item_id")
     forms = R.blinded(works, ids)
     return forms.select("annotation_item_id", T.h2_input_sha256(F.col("blinded_title"), F.col("blinded_abstract")).alias("input_sha256"))
+
+
+@operated("referential_integrity")
+def referential_integrity(spark, sf_dir):
+    """Rows whose key isn't there, by relation."""
+    of = lambda name: table(spark, sf_dir, name)
+    relations = (("labels.doc_id", "labels", "doc_id", "documents", "doc_id"), ("orders.o_custkey", "orders", "o_custkey", "customer", "c_custkey"), ("lineitem.l_orderkey", "lineitem", "l_orderkey", "orders", "o_orderkey"))
+    each = [R.missing(of(child).select(key), key, of(parent), parent_key).agg(F.lit(name).alias("relation"), F.count(F.lit(1)).alias("violations")) for name, child, key, parent, parent_key in relations]
+    return reduce(lambda a, b: a.unionByName(b), each)
+
+
+@operated("duplicate_keys")
+def duplicate_keys(spark, sf_dir):
+    """Keys that occur more than once, by table."""
+    each = [C.duplicated(table(spark, sf_dir, name).select(*keys), *keys).agg(F.lit(name).alias("registry"), F.count(F.lit(1)).alias("violations")) for name, keys in (("documents", ["doc_id"]), ("pages", ["page_id"]), ("lineitem", ["l_orderkey", "l_linenumber"]))]
+    return reduce(lambda a, b: a.unionByName(b), each)

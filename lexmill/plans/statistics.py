@@ -10,11 +10,14 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..operators import agreement as A
 from ..operators import bootstrap as B
 from ..operators import sampling as M
+from ..operators import profile as P
+from ..operators import resolve as R
 from ..operators import source_only as O
-from ..operators.resolve import stratified
-from .queries import query, table
+from .relations import labels_of
+from .queries import operated, query, table
 
 
 def _u(*parts: str) -> str:
@@ -76,7 +79,7 @@ def split_volume(spark, sf_dir):
     SELECT doc_id, lang, row_number() OVER (PARTITION BY lang ORDER BY {_u("'5'", "doc_id")}, doc_id) AS k, count(*) OVER (PARTITION BY lang) AS population FROM documents) WHERE k <= 20""")
 def stratified_sample(spark, sf_dir):
     """20 works of each language, by hashed rank."""
-    out = stratified(table(spark, sf_dir, "documents").select("doc_id", "lang"), ["lang"], "doc_id", 20, 5)
+    out = R.stratified(table(spark, sf_dir, "documents").select("doc_id", "lang"), ["lang"], "doc_id", 20, 5)
     return out.select("doc_id", "lang", F.col("stratum_population_size").alias("population"), "inclusion_probability")
 
 
@@ -362,3 +365,109 @@ def eda_profile(spark, sf_dir):
         F.round(F.avg(F.when(F.col("text").rlike("[=<>|]"), 1.0).otherwise(0.0)), 6).alias("formula_share"),
         F.round(F.avg(odd), 6).alias("noise"),
     )
+
+
+# ------------------------------------------------------------------ agreement
+
+
+def _rounded(rows, *names):
+    return rows.select(*(F.round(n, 6).alias(n) for n in names))
+
+
+def _answers(spark, sf_dir):
+    return A.cells(table(spark, sf_dir, "labels"), "quality", "toxic", (0, 1))
+
+
+@operated("confusion")
+def confusion(spark, sf_dir):
+    """All cells of two labels, empty ones, too."""
+    return _answers(spark, sf_dir).select(F.col("a").alias("quality"), F.col("b").alias("toxic"), "n")
+
+
+@operated("cohen_kappa")
+def cohen_kappa(spark, sf_dir):
+    """Agreement of two labels beyond chance."""
+    return _rounded(A.kappa(_answers(spark, sf_dir)), "observed", "expected", "kappa")
+
+
+@operated("weighted_kappa")
+def weighted_kappa(spark, sf_dir):
+    """The same with weights: how many documents of its language a labelled one stands for."""
+    docs = table(spark, sf_dir, "documents")
+    sizes = docs.groupBy("lang").agg((F.count(F.lit(1)).cast("double") / 20).alias("w"))
+    rows = table(spark, sf_dir, "labels").join(docs.select("doc_id", "lang"), "doc_id").join(F.broadcast(sizes), "lang")
+    return _rounded(A.kappa(A.cells(rows, "quality", "toxic", None, F.col("w"))), "observed", "expected", "kappa")
+
+
+@operated("macro_f1")
+def macro_f1(spark, sf_dir):
+    """F1 over classes: unweighted, weighted, over all rows; and balanced accuracy."""
+    return _rounded(A.f1_summary(A.class_scores(_answers(spark, sf_dir))), "macro_f1", "micro_f1", "weighted_f1", "balanced_accuracy")
+
+
+def _flags(spark, sf_dir):
+    return A.association(A.cells(table(spark, sf_dir, "lineitem").select("l_returnflag", "l_linestatus"), "l_returnflag", "l_linestatus"))
+
+
+@operated("cramers_v")
+def cramers_v(spark, sf_dir):
+    """Association of two columns."""
+    return _flags(spark, sf_dir).select(F.round("cramers_v", 6).alias("v"))
+
+
+@operated("mutual_information")
+def mutual_information(spark, sf_dir):
+    """Information that two columns share, in nats."""
+    return _flags(spark, sf_dir).select(F.round("mutual_information", 6).alias("nats"))
+
+
+@query("""WITH d AS (SELECT *, doc_id % 40 AS s FROM documents), p AS (SELECT 'C1' AS a, CASE s WHEN 11 THEN 'C2' WHEN 30 THEN 'C3' ELSE 'C1' END AS b FROM d WHERE s NOT IN (9, 10)),
+m AS (SELECT count(*)::DOUBLE AS t, count(*) FILTER (a = b)::DOUBLE AS same FROM p), f AS (SELECT count(*)::DOUBLE AS n, count(*) FILTER (s IN (11, 30))::DOUBLE AS bad FROM d WHERE s NOT IN (9, 10)),
+l AS (SELECT string_agg(lang || '=' || n, ',' ORDER BY lang) AS x FROM (SELECT lang, count(DISTINCT source) AS n FROM documents GROUP BY lang))
+SELECT 'a1' AS audit_id, m.t::BIGINT AS double_annotated_n, (SELECT count(*) FROM d WHERE s IN (12, 30)) AS adjudicated_n, round(same / t, 6) AS observed_agreement, CASE WHEN same = t THEN NULL ELSE 0.0 END AS cohen_kappa,
+    (SELECT count(*) FROM d WHERE s = 11) AS unresolved_n, round((SELECT avg(CASE WHEN n_chars >= 200 THEN 1.0 ELSE 0.0 END) FROM d), 6) AS title_abstract_rate, l.x AS distinct_sources, (SELECT count(DISTINCT lang || source) FROM d) AS cells FROM m, l""")
+def audit_report(spark, sf_dir):
+    """One row of figures, put together from the operators for answers, agreement, consensus and coverage."""
+    docs = table(spark, sf_dir, "documents")
+    labels = labels_of(docs)
+    pairs = A.paired_answers(labels.where("record_type = 'annotation'"))
+    agreed = _rounded(A.kappa(A.cells(pairs, "first", "second", A.OUTCOMES)), "observed", "kappa").withColumnsRenamed({"observed": "observed_agreement", "kappa": "cohen_kappa"})
+    sources = docs.groupBy("lang").agg(F.count_distinct("source").alias("n"))
+    return A.one_row(
+        docs.agg(F.lit("a1").alias("audit_id"), F.round(F.avg(F.when(F.col("n_chars") >= 200, 1.0).otherwise(0.0)), 6).alias("title_abstract_rate"), F.count_distinct(F.concat("lang", "source")).alias("cells")),
+        pairs.agg(F.count(F.lit(1)).alias("double_annotated_n")),
+        labels.agg(F.count_if(F.col("record_type") == "annotation_adjudication").alias("adjudicated_n")),
+        R.consensus(labels).agg(F.count_if(F.col("decision").isNull()).alias("unresolved_n")),
+        agreed,
+        A.as_map(sources, "lang", "n", "m").select(F.array_join(F.transform(F.array_sort(F.map_entries("m")), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))), ",").alias("distinct_sources")),
+    )
+
+
+_FLAGGED = "n_chars >= 200 AS with_text, doc_id % 2 = 0 AS any_code, doc_id % 4 = 0 AS explicit_primary, doc_id % 8 = 0 AS one_class, CASE WHEN doc_id % 3 = 0 THEN NULL ELSE doc_id % 5 = 0 END AS cleared"
+
+
+@query(f"""SELECT lang, source, class, (grouping(lang) + grouping(source) + grouping(class))::BIGINT AS level, count(*) AS found, count(DISTINCT work) AS works, {", ".join(f"count(*) FILTER ({f}) AS {f}" for f in P.FLAGS)}
+    FROM (SELECT lang, source, 'C' || (doc_id % 5) AS class, sha256(text) AS work, {_FLAGGED} FROM documents) GROUP BY ROLLUP (lang, source, class)""")
+def candidate_counts(spark, sf_dir):
+    """The counts of a candidate frame by query, journal and class, with their sums."""
+    frame = table(spark, sf_dir, "documents").selectExpr("lang", "source", "concat('C', doc_id % 5) as class", "sha2(text, 256) as work_id", *(x.strip() for x in _FLAGGED.split(", ")))
+    return P.candidates(frame, "lang", "source", "class")
+
+
+@query("SELECT lang, n, round(share, 6) AS share, CASE WHEN share > 0.4 THEN 'above' WHEN share < 0.1 THEN 'below' ELSE 'ok' END AS verdict FROM (SELECT lang, count(*) AS n, count(*)::DOUBLE / sum(count(*)) OVER () AS share FROM documents GROUP BY lang)")
+def quota_violations(spark, sf_dir):
+    """Shares of groups against their least and greatest."""
+    return P.quotas(table(spark, sf_dir, "documents"), "lang", 0.1, 0.4, 4).withColumn("share", F.round("share", 6))
+
+
+@query("""SELECT 'C' || (doc_id % 5) AS class, source, count(*) AS n, CASE WHEN count(DISTINCT source) OVER (PARTITION BY doc_id % 5) < 2 THEN 'too few' WHEN count(*)::DOUBLE / sum(count(*)) OVER (PARTITION BY doc_id % 5) > 0.1 THEN 'above' ELSE 'ok' END AS verdict FROM documents GROUP BY doc_id % 5, source""")
+def source_quotas(spark, sf_dir):
+    """Shares of sources within each class."""
+    rows = table(spark, sf_dir, "documents").selectExpr("concat('C', doc_id % 5) as class", "source")
+    return P.quotas(rows, "source", None, 0.1, 2, ("class",)).select("class", "source", "n", "verdict")
+
+
+@query(" UNION ALL ".join(f"SELECT '{c}' AS name, count({c}) AS known, count(*) - count({c}) AS missing FROM documents" for c in ("doc_id", "text", "lang", "source", "n_chars")))
+def frame_profile(spark, sf_dir):
+    """Known and missing values of every column."""
+    return P.columns(table(spark, sf_dir, "documents")).select("name", "known", "missing")
