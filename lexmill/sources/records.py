@@ -12,7 +12,6 @@ from collections.abc import Callable
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType
 
 from ..functions import text as T
 
@@ -123,22 +122,15 @@ def default_feeds(feeds: DataFrame, limit: int | None = 15) -> DataFrame:
     blank = {"error": F.lit(None).cast("string"), "skipped": F.lit(False)}
     good = feeds.where("error is null")
     items = parse_feed(good.select("feed", "xml"), None, limit).join(good.select("feed", "name"), "feed").withColumn("source", F.concat("name", F.lit(":rss"))).withColumns(blank)
-    broken = feeds.where(F.col("error").isNotNull() | ~F.coalesce(_well_formed("xml"), F.lit(False)))
+    broken = feeds.where(F.col("error").isNotNull() | ~F.coalesce(_well_formed(F.col("xml")), F.lit(False)))
     holes = broken.select("feed", F.col("name").alias("source"), F.col("feed").alias("url"), F.lit("feed_error").alias("title"), F.lit("").alias("text"), F.coalesce("error", F.lit("no feed")).alias("error"), F.lit(True).alias("skipped"))
     return items.drop("name").unionByName(holes, allowMissingColumns=True)
 
 
-@F.pandas_udf(BooleanType())
-def _well_formed(xml: pd.Series) -> pd.Series:
-    from xml.etree import ElementTree
-
-    def ok(x: str | None) -> bool:
-        try:
-            return x is not None and ElementTree.fromstring(x) is not None
-        except (ElementTree.ParseError, ValueError):
-            return False
-
-    return xml.map(ok)
+def _well_formed(xml: Column) -> Column:
+    """Whether a string is XML that can be read."""
+    read = F.from_xml(xml, "_corrupt_record string, channel string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
+    return F.length(T.strip(xml)).cast("boolean") & read["_corrupt_record"].isNull()
 
 
 def journal_rss(feeds: DataFrame, source: str, limit: int | None = 50) -> DataFrame:
@@ -170,6 +162,11 @@ def sidecars(docs: DataFrame) -> DataFrame:
     return docs.select(F.concat("stem", F.lit("_"), "method", F.lit(".txt")).alias("name"), F.concat(F.concat_ws("\n", *head), F.lit("\n\n"), "text").alias("text"))
 
 
+def save_sidecars(docs: DataFrame, path: str) -> None:
+    """Writes each sidecar text to a folder of its own, `name=...`; texts that are there already stay."""
+    sidecars(docs).write.mode("append").partitionBy("name").option("lineSep", "\n").text(path)
+
+
 def fetch_all(urls: DataFrame, fetch: Callable[[str], bytes], retries: int = 3, delay: float = 1.0, pause: float = 0.0) -> DataFrame:
     """(url, content, error): every url fetched with linear back-off between tries.
 
