@@ -178,12 +178,13 @@ def threads(messages: DataFrame) -> DataFrame:
     asking = rows.where("n_quotes > 0").select("conv_id", "turn", F.explode("quoted").alias("q")).select("conv_id", "turn", "q.*").distinct()
     hashes = [r["hash"] for r in asking.select("hash").distinct().limit(MAX_SENT_TILES + 1).toLocalIterator()]
     wanted = messages.sparkSession.sparkContext.broadcast(frozenset(hashes)) if len(hashes) <= MAX_SENT_TILES else None
-    talks = rows.join(asking.select("conv_id").distinct(), "conv_id", "left_semi").select("conv_id", "turn", "text")
+    # of equal own texts only the earliest can be the original, and equal passages have the same one
+    talks = rows.join(asking.select("conv_id").distinct(), "conv_id", "left_semi").groupBy("conv_id", "text").agg(F.min("turn").alias("turn")).select("conv_id", "turn", "text")
     held = talks.mapInArrow(arrow_rows(partial(_held, wanted=wanted)), f"conv_id {types['conv_id']}, origin {types['turn']}, place long, hash long").distinct()
-    found = asking.join(held, ["conv_id", "hash"]).where("origin < turn")
-    unit = ["conv_id", "turn", "depth", "whole", "unit"]
-    holders = found.groupBy(*unit, "need", "origin", (F.col("place") - F.col("at")).alias("shift")).agg(F.count_distinct("at").alias("n")).where("n = need")
-    links = holders.groupBy(*unit).agg(F.min("origin").alias("origin"))
+    found = asking.select("conv_id", "unit", "need", "at", "hash").distinct().join(held, ["conv_id", "hash"])
+    holders = found.groupBy("conv_id", "unit", "need", "origin", (F.col("place") - F.col("at")).alias("shift")).agg(F.count_distinct("at").alias("n")).where("n = need")
+    originals = holders.groupBy("conv_id", "unit").agg(F.min("origin").alias("origin"))
+    links = asking.select("conv_id", "turn", "depth", "whole", "unit").distinct().join(originals, ["conv_id", "unit"]).where("origin < turn")
     best = F.min(F.struct("depth", (~F.col("whole")).alias("part"), (-F.col("origin")).alias("late"))).alias("b")
     parents = cut(links.groupBy("conv_id", "turn").agg(best).select("conv_id", "turn", (-F.col("b.late")).alias("reply_to")))
     placed = parents.join(_walk(parents), ["conv_id", "turn"], "right")

@@ -6,17 +6,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import decontaminate, minhash, mixing, quality, secrets
-from .common import count_of, cut
+from .common import cut
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
-#: Lists of so many keys at most are sent to all executors (at most 40 MB).
-MAX_SENT_KEYS = 300_000
+#: Tables of keys, and what goes with them, are sent to all executors up to this size.
+MAX_SENT_BYTES = 40 << 20
+ROW_BYTES, SPAN_BYTES = 130, 100
 
 
-def _sendable(df: DataFrame) -> DataFrame:
-    """`df`, materialised; marked for broadcast if its counted size allows it."""
+def _sendable(df: DataFrame, spans: str | None = None) -> DataFrame:
+    """`df`, materialised; marked for broadcast if its measured size allows it: a key a row, and the entries of the array `spans`."""
     kept = cut(df)
-    return F.broadcast(kept) if count_of(kept) <= MAX_SENT_KEYS else kept
+    entries = F.coalesce(F.sum(F.size(spans)), F.lit(0)) if spans else F.lit(0)
+    size = kept.agg((F.count(F.lit(1)) * ROW_BYTES + entries * SPAN_BYTES).alias("bytes")).first()["bytes"]
+    return F.broadcast(kept) if size <= MAX_SENT_BYTES else kept
 
 
 def _key(*columns: str) -> Column:
@@ -74,7 +77,7 @@ def without_secrets(docs: DataFrame) -> DataFrame:
     """
     data = docs.select(*COLUMNS).withColumn("_key", F.sha2("text", 256))
     spans = secrets.scan(data, keep=("_key",)).where("size(found) > 0").groupBy("_key").agg(F.first("found").alias("_found"))
-    joined = data.join(_sendable(spans), "_key", "left")
+    joined = data.join(_sendable(spans, "_found"), "_key", "left")
     text = F.when(F.col("_found").isNull(), F.col("text")).otherwise(secrets.masked(F.col("text"), F.col("_found")))
     n_chars = F.when(F.col("_found").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long"))
     return joined.withColumn("text", text).withColumn("n_chars", n_chars).select(*COLUMNS)
