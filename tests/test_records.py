@@ -168,3 +168,22 @@ def test_command_line(spark, tmp_path, capsys):
     assert main(["rss", "-o", str(tmp_path / "rss"), "--delay", "0", "--feed", "https://f/", "--feed", "https://g/"], spark, lambda url: feeds[url].encode()) == {"saved": 1, "feeds with errors": 1}
     (tmp_path / "works.jsonl").write_text('{"work_id": "w"}\n\nnot json\n')
     assert main(["check", "works", str(tmp_path / "works.jsonl")], spark) == {"lines": 2, "rules broken": 2}
+
+
+def test_only_answers_with_status_200_count(spark):
+    rows = spark.createDataFrame([(200, ["a"]), (404, ["b"]), (None, ["c"])], "status int, items array<string>")
+    assert [r["items"] for r in R.answered(rows, "items").collect()] == [["a"], None, None]
+
+
+def test_sidecars_and_tables_that_are_there_stay(spark, tmp_path):
+    docs = spark.createDataFrame([("f1", "pdf", "text\nof it")], "stem string, method string, text string")
+    R.save_sidecars(docs, str(tmp_path / "s"))
+    written = [p.read_text() for p in (tmp_path / "s").glob("name=f1_pdf.txt/part-*")]
+    assert written == ["# extracted via pdf\n# source pdf: f1.pdf\n# chars: 10\n# layout: top=1 col (title/PACS/DOI), bottom=left col then right col\n\ntext\nof it\n"]
+    R.write_once(docs, str(tmp_path / "t"))
+    try:
+        R.write_once(docs, str(tmp_path / "t"))
+    except Exception as e:  # noqa: BLE001
+        assert "exists" in str(e).lower()
+    else:
+        raise AssertionError("the table was written twice")
