@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import PACK_BYTES, Pack, cut, mix64, shuffle_parts
+from .common import PACK_BYTES, Pack, count_of, cut, mix64, shuffle_parts
 
 WIDTH = 50
 GRAM = 32
@@ -50,6 +50,8 @@ _POS_BITS = 23
 PART_BYTES = 16 << 20
 #: Chunks that may hold an anchor before it is split, and the bytes beside it that it is split by.
 HOT_CHUNKS, SIDE = 16, 9
+#: Repeated texts of so many at most are sent to all executors by hash (100 bytes each).
+MAX_SENT_FIRSTS = 300_000
 #: Bytes that never occur in UTF-8 stand for the anchor and for the end of a segment.
 ANCHOR, END = b"\xff", b"\xfe"
 
@@ -532,8 +534,11 @@ def dedup(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES, hot_chunks: int = HOT
     spark = docs.sparkSession
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     hashed = source.select("doc_id", F.sha2("text", 256).alias("sha"), F.octet_length("text").cast("long").alias("n_bytes"))
-    firsts = hashed.where("doc_id is not null").groupBy("sha").agg(F.min("doc_id").alias("first"))
-    info = cut(hashed.join(firsts, "sha", "left"))
+    # only texts that several rows hold are joined: sent where they are few, else split where one has very many rows
+    firsts = cut(hashed.where("doc_id is not null").groupBy("sha").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("sha", "first"))
+    if count_of(firsts) <= MAX_SENT_FIRSTS:
+        firsts = F.broadcast(firsts)
+    info = cut(hashed.join(firsts, "sha", "left").withColumn("first", F.coalesce("first", "doc_id")))
     total = info.where(f"n_bytes >= {WIDTH} and doc_id = first").agg(F.sum("n_bytes").alias("n")).first()["n"] or 0
     chunks, parts = int(total // chunk_bytes) + 1, max(shuffle_parts(spark), int(total // PART_BYTES) + 1)
     chunk = F.pmod(F.xxhash64("doc_id"), F.lit(chunks)).alias("chunk")
