@@ -39,7 +39,7 @@ def fit(x: np.ndarray, y: np.ndarray, weight: np.ndarray, n_classes: int) -> np.
     return w
 
 
-def _score(key, table: pd.DataFrame) -> pd.DataFrame:
+def _score(key, table):
     """Confusion counts of one repeat: every fold predicted from the others."""
     classes = sorted(table["h2_class_id"].unique())
     x = np.hstack([(table[[f]].to_numpy() == np.unique(table[f].to_numpy())[None, :]).astype(float) for f in FEATURES])
