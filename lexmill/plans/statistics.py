@@ -13,6 +13,7 @@ from ..functions import text as T
 from ..operators import agreement as A
 from ..operators import bootstrap as B
 from ..operators import sampling as M
+from ..operators import pairs as X
 from ..operators import profile as P
 from ..operators import resolve as R
 from ..operators import source_only as O
@@ -471,3 +472,41 @@ def source_quotas(spark, sf_dir):
 def frame_profile(spark, sf_dir):
     """Known and missing values of every column."""
     return P.columns(table(spark, sf_dir, "documents")).select("name", "known", "missing")
+
+
+# ------------------------------------------------------------------ pairs
+
+
+@operated("span_match")
+def span_match(spark, sf_dir):
+    """Spans of two annotations that match one to one."""
+    rows = table(spark, sf_dir, "lineitem")
+    found = rows.selectExpr("l_orderkey as doc", "l_linenumber as i", "cast(l_quantity as double) as start", "cast(l_quantity as double) + 10 as end")
+    gold = rows.selectExpr("l_orderkey as doc", "l_linenumber as j", "cast(10 * l_linenumber as double) as start", "cast(10 * l_linenumber as double) + 10 as end")
+    return X.match_spans(found, gold).select("doc", F.col("i").cast("long").alias("i"), "start", F.col("j").cast("long").alias("j"), F.round("iou", 6).alias("iou"))
+
+
+@operated("matched_pairs")
+def matched_pairs(spark, sf_dir):
+    """Marked documents with controls of the same language, source and size."""
+    rows = table(spark, sf_dir, "labels").select("doc_id", "toxic").join(table(spark, sf_dir, "documents").selectExpr("doc_id", "lang", "source", "cast(floor(n_chars / 500.0D) as bigint) as size"), "doc_id")
+    return X.matched(rows, F.col("toxic") == 1, ["lang", "source", "size"], "doc_id")
+
+
+@operated("leave_one_source_out")
+def leave_one_source_out(spark, sf_dir):
+    """Every language that is large enough, left out in turn; sources stand in for classes."""
+    return X.leave_out(table(spark, sf_dir, "documents"), "lang", "source")
+
+
+@operated("mask_sets")
+def mask_sets(spark, sf_dir):
+    """Five sets of masked words of every item."""
+    words = F.split("text", " ", -1)
+    return X.masks(table(spark, sf_dir, "benchmark"), "item_id", words)
+
+
+@operated("discovery_paths")
+def discovery_paths(spark, sf_dir):
+    """The sources in which each text was found."""
+    return X.discovery(table(spark, sf_dir, "documents"), F.sha2("text", 256), "source")

@@ -76,3 +76,38 @@ def test_source_only_scores(spark):
     rows = [(k, f"C{1 + k % 2}", f"s{k % 2 if k % 10 else 5}", "early", k % 3) for k in range(400)]
     out = O.scores(spark.createDataFrame(rows, "work_id long, h2_class_id string, journal_id string, period string, decile long"), 1, repeats=2).collect()
     assert len(out) == 2 and all(r["macro_f1"] > 0.9 for r in out)
+
+
+def test_spans_pairs_and_sources_left_out(spark):
+    from lexmill.operators import pairs as X
+
+    found = spark.createDataFrame([(1, 1, 0.0, 10.0), (1, 1, 0.0, 10.0), (1, 2, 4.0, 14.0), (2, 1, 0.0, 10.0), (None, 1, 0.0, 1.0)], "doc long, i long, start double, end double")
+    gold = spark.createDataFrame([(1, 7, 1.0, 11.0), (1, 8, 30.0, 40.0), (2, 9, 6.0, 16.0), (None, 1, 0.0, 1.0)], "doc long, j long, start double, end double")
+    assert [(r["doc"], r["i"], r["j"], round(r["iou"], 3)) for r in X.match_spans(found, gold).collect()] == [(1, 1, 7, 0.818)]
+    rows = spark.createDataFrame([(k, k % 3 == 0, None if k > 7 else "b") for k in range(12)], "k long, marked boolean, bucket string")
+    assert sorted((r["marked"], r["control"], r["bucket"]) for r in X.matched(rows, F.col("marked"), ["bucket"], "k").collect() if r["bucket"]) == [(0, 1, "b"), (3, 2, "b"), (6, 4, "b")]
+    works = spark.createDataFrame([(f"s{k % 2}", f"C{k % 4}") for k in range(100)] + [("few", "C0")], "source string, c string")
+    got = X.leave_out(works, "source", "c", 50, 2, 10).collect()
+    assert {r["held_out"] for r in got} == {"s0", "s1"} and sum(r["test"] for r in got) == 100 and all(r["test"] + r["train"] == (26 if r["c"] == "C0" else 25) for r in got)
+    assert X.masks(spark.createDataFrame([(1, "a b c d"), (2, None)], "k long, t string"), "k", F.split("t", " "), 2, 0.5).count() == 4
+
+
+def test_agreement_of_empty_and_equal_answers(spark):
+    from lexmill.operators import agreement as A
+
+    pairs = spark.createDataFrame([("C1", "C1"), ("C1", "C2"), (None, "C1")], "a string, b string")
+    table = A.cells(pairs, "a", "b", ("C1", "C2", "C3"))
+    assert table.count() == 9 and {(r["a"], r["b"]): r["n"] for r in table.collect()}[("C1", "C2")] == 1
+    assert A.kappa(A.cells(pairs.where("a = b"), "a", "b", ("C1", "C2"))).first()["kappa"] is None
+    assert A.kappa(A.cells(pairs.limit(0), "a", "b", ("C1", "C2"))).first()["observed"] is None
+    scores = {r["c"]: r for r in A.class_scores(A.cells(spark.createDataFrame([("C1", "C1"), ("C1", "OTHER"), ("C2", "C1")], "a string, b string"), "a", "b", A.OUTCOMES), ("C1", "C2")).collect()}
+    assert (scores["C1"]["tp"], scores["C1"]["fn"], scores["C1"]["fp"], scores["C2"]["f1"]) == (1.0, 1.0, 1.0, 0.0)
+
+
+def test_profiles(spark):
+    from lexmill.operators import profile as P
+
+    rows = spark.createDataFrame([("a", 1), ("a", None), ("b", 2)], "k string, `odd name` long")
+    assert [(r["name"], r["type"], r["known"], r["missing"]) for r in P.columns(rows).collect()] == [("k", "string", 3, 0), ("odd name", "bigint", 2, 1)]
+    assert {r["k"]: r["verdict"] for r in P.quotas(rows, "k", 0.4, 0.6, 2).collect()} == {"a": "above", "b": "below"}
+    assert {r["verdict"] for r in P.quotas(rows, "k", groups=3).collect()} == {"too few"} and P.quotas(rows.limit(0), "k").count() == 0
