@@ -59,3 +59,13 @@ def masks(texts: DataFrame, key: str, words: Column, sets: int = 5, share: float
 def discovery(rows: DataFrame, work: Column, path: str) -> DataFrame:
     """(work, paths, found_in): one row per work, with all the ways it was found, sorted."""
     return rows.select(work.alias("work"), path).distinct().groupBy("work").agg(F.count(F.lit(1)).alias("paths"), F.array_join(F.sort_array(F.collect_list(path)), ",").alias("found_in"))
+
+
+def zipped(rows: DataFrame, group: str, side: str, order: str, first: str, second: str) -> DataFrame:
+    """(group, i, first, second): the i-th row (by `order`, from 1) of one side of a group with the i-th of the other; the longer side's rest is left out.
+
+    Rows are numbered and meet by their number, so a large group is no array.
+    """
+    placed = rows.where(F.col(side).isin(first, second)).withColumn("i", F.row_number().over(Window.partitionBy(group, side).orderBy(order)).cast("long"))
+    of = lambda s: F.max(F.when(F.col(side) == s, F.col(order)))
+    return placed.groupBy(group, "i").agg(of(first).alias("first"), of(second).alias("second")).where("first is not null and second is not null")

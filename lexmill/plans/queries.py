@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..operators.pairs import zipped
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -178,11 +179,9 @@ both("url_distinct", "SELECT count(*) AS n_rows, count(DISTINCT url) AS n_urls F
 @query("""WITH z AS (SELECT conv_id, list(turn ORDER BY turn) FILTER (role = 'user') AS u, list(turn ORDER BY turn) FILTER (role = 'assistant') AS a FROM conversations GROUP BY conv_id)
 SELECT conv_id, CAST(i AS BIGINT) AS i, u[i] AS question, a[i] AS answer FROM (SELECT *, unnest(range(1, least(len(u), len(a)) + 1)) AS i FROM z WHERE u IS NOT NULL AND a IS NOT NULL)""")
 def zip_truncate(spark, sf_dir):
-    c = table(spark, sf_dir, "conversations")
-    of = lambda role: F.sort_array(F.collect_list(F.when(F.col("role") == role, F.col("turn"))))
-    z = c.groupBy("conv_id").agg(of("user").alias("u"), of("assistant").alias("a"))
-    zipped = F.slice(F.arrays_zip("u", "a"), 1, F.least(F.size("u"), F.size("a")))
-    return z.select("conv_id", F.posexplode(zipped).alias("i", "z")).select("conv_id", (F.col("i") + 1).cast("long").alias("i"), F.col("z.u").alias("question"), F.col("z.a").alias("answer"))
+    """The i-th question of a conversation with its i-th answer."""
+    out = zipped(table(spark, sf_dir, "conversations"), "conv_id", "role", "turn", "user", "assistant")
+    return out.select("conv_id", "i", F.col("first").alias("question"), F.col("second").alias("answer"))
 
 
 both("run_detect", """
