@@ -425,7 +425,7 @@ def mutual_information(spark, sf_dir):
 @query("""WITH d AS (SELECT *, doc_id % 40 AS s FROM documents), p AS (SELECT 'C1' AS a, CASE s WHEN 11 THEN 'C2' WHEN 30 THEN 'C3' ELSE 'C1' END AS b FROM d WHERE s NOT IN (9, 10)),
 m AS (SELECT count(*)::DOUBLE AS t, count(*) FILTER (a = b)::DOUBLE AS same FROM p), f AS (SELECT count(*)::DOUBLE AS n, count(*) FILTER (s IN (11, 30))::DOUBLE AS bad FROM d WHERE s NOT IN (9, 10)),
 l AS (SELECT string_agg(lang || '=' || n, ',' ORDER BY lang) AS x FROM (SELECT lang, count(DISTINCT source) AS n FROM documents GROUP BY lang))
-SELECT 'a1' AS audit_id, m.t::BIGINT AS double_annotated_n, (SELECT count(*) FROM d WHERE s IN (12, 30)) AS adjudicated_n, round(same / t, 6) AS observed_agreement, CASE WHEN same = t THEN NULL ELSE 0.0 END AS cohen_kappa,
+SELECT 'a1' AS audit_id, m.t::BIGINT AS double_annotated_n, (SELECT count(*) FROM d WHERE s IN (12, 30)) AS adjudicated_n, round(same / t, 6) AS observed_agreement, CASE WHEN same < t THEN 0.0::DOUBLE END AS cohen_kappa,
     (SELECT count(*) FROM d WHERE s = 11) AS unresolved_n, round((SELECT avg(CASE WHEN n_chars >= 200 THEN 1.0 ELSE 0.0 END) FROM d), 6) AS title_abstract_rate, l.x AS distinct_sources, (SELECT count(DISTINCT lang || source) FROM d) AS cells FROM m, l""")
 def audit_report(spark, sf_dir):
     """One row of figures, put together from the operators for answers, agreement, consensus and coverage."""
