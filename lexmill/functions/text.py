@@ -54,9 +54,11 @@ def _code_points(c: Column) -> Column:
         char = F.decode(F.unhex(F.lpad(F.hex(F.when(good, number).otherwise(0xFFFD)), 8, "0")), "UTF-32")
         return F.when(number.isNotNull(), F.concat(char, F.regexp_replace(p, "^#[0-9a-zA-Z]+;", ""))).otherwise(F.concat(F.lit("&"), p))
 
-    parts = F.split(c, "&", -1)
-    read = F.concat(F.element_at(parts, 1), F.array_join(F.transform(F.slice(parts, 2, F.size(parts)), piece), ""))
-    return F.when(c.rlike("&#[0-9xX]"), read).otherwise(c)
+    def read(text: Column) -> Column:
+        parts = F.split(text, "&", -1)
+        return F.concat(F.element_at(parts, 1), F.array_join(F.transform(F.slice(parts, 2, F.size(parts)), piece), ""))
+
+    return let(c, lambda text: F.when(F.contains(text, F.lit("&#")), read(text)).otherwise(text))
 
 
 def unescape_listed(c: Column) -> Column:
