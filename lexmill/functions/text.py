@@ -123,11 +123,14 @@ def extract_authors(markup: Column) -> Column:
 
 def script_ratio(c: Column, low: str = "\\u0400", high: str = "\\u04FF") -> Column:
     """Share of letters within a script range; 0 without letters."""
-    return F.coalesce(F.try_divide(F.regexp_count(c, F.lit(f"[\\p{{L}}&&[{low}-{high}]]")).cast("double"), F.regexp_count(c, F.lit("\\p{L}"))), F.lit(0.0))
+    # the range is counted among the letters only, which are taken out once
+    letters = F.regexp_replace(c, "\\P{L}+", "")
+    return let(letters, lambda x: F.coalesce(F.try_divide(F.length(F.regexp_replace(x, f"[^{low}-{high}]+", "")).cast("double"), F.length(x)), F.lit(0.0)))
 
 
-def is_readable(c: Column, low: str = "\\u0400", high: str = "\\u04FF", min_chars: int = 200, min_ratio: float = 0.12) -> Column:
-    return (F.length(strip(c)) >= min_chars) & (script_ratio(c, low, high) >= min_ratio)
+def is_readable(c: Column, low: str = "\\u0400", high: str = "\\u04FF", min_chars: int = 200, min_ratio: float = 0.12, ratio: Column | None = None) -> Column:
+    """Whether a text is long enough and has enough letters of a script; `ratio` if it is known already."""
+    return (F.length(strip(c)) >= min_chars) & ((script_ratio(c, low, high) if ratio is None else ratio) >= min_ratio)
 
 
 def file_name(url: Column) -> Column:

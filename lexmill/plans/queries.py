@@ -143,8 +143,10 @@ _RATIO_SQL = "coalesce(CAST(len(regexp_extract_all(array_to_string(regexp_extrac
 
 @query(f"SELECT doc_id, round(r, 6) AS ratio, length({_strip_sql('text')}) >= 200 AND r >= 0.12 AS readable FROM (SELECT doc_id, text, {_RATIO_SQL} AS r FROM documents)")
 def readable_script(spark, sf_dir):
+    """Share of a script, and whether a text is readable by it."""
     c, low, high = F.col("text"), "\\u00C0", "\\u00FF"
-    return table(spark, sf_dir, "documents").select("doc_id", F.round(T.script_ratio(c, low, high), 6).alias("ratio"), T.is_readable(c, low, high).alias("readable"))
+    both_of = T.let(T.script_ratio(c, low, high), lambda r: F.struct(F.round(r, 6).alias("ratio"), T.is_readable(c, low, high, ratio=r).alias("readable")))
+    return table(spark, sf_dir, "documents").select("doc_id", both_of.alias("x")).select("doc_id", "x.*")
 
 
 both("issue_caps", """
