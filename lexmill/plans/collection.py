@@ -176,6 +176,14 @@ def rebuild_limit(spark, sf_dir):
     return P.rebuild(*_rebuild_input(spark, sf_dir), limit=40)[0].select("line", "text_source", F.length("text").cast("long").alias("n_chars"))
 
 
+@query(f"""SELECT count(*) FILTER (readable AND doc_id % 8 < 6) AS ok, count(*) FILTER (NOT (readable AND doc_id % 8 < 6)) AS skipped, count(*) AS seen FROM ({_FILE_SQL})""")
+def rebuild_counters(spark, sf_dir):
+    """How many documents could be read anew, and how many were skipped."""
+    outcomes = P.rebuild(*_rebuild_input(spark, sf_dir))[1]
+    ok = F.col("outcome") == "ok"
+    return outcomes.agg(F.count_if(ok).alias("ok"), F.count_if(~ok).alias("skipped"), F.count(F.lit(1)).alias("seen"))
+
+
 def _rebuild_input(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     rows = docs.selectExpr("doc_id as line", "concat('u', doc_id) as url", "if(doc_id % 8 = 5, concat('https://h/', doc_id, '.pdf'), null) as pdf_url", "case doc_id % 8 when 7 then '' when 6 then 'none.pdf' when 5 then null else concat(doc_id, '.pdf') end as pdf_file", "'' as text")

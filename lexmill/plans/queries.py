@@ -162,9 +162,6 @@ both("title_last_wins", """
 WITH l AS (SELECT conv_id, role, max(turn) AS turn FROM {conversations} GROUP BY conv_id, role)
 SELECT c.conv_id, c.role, min(c.text) AS text FROM {conversations} c JOIN l ON l.conv_id = c.conv_id AND l.role = c.role AND l.turn = c.turn GROUP BY c.conv_id, c.role""")
 
-both("rebuild_counters", """
-SELECT count(CASE WHEN l.quality = 1 THEN 1 END) AS ok, count(CASE WHEN l.doc_id IS NULL OR l.quality = 0 THEN 1 END) AS skipped, count(*) AS seen FROM {documents} d LEFT JOIN {labels} l ON l.doc_id = d.doc_id""")
-
 both("year_volume_grid", """
 SELECT CAST(y AS BIGINT) AS year, CAST(v AS BIGINT) AS volume, count(o.o_orderkey) AS orders FROM (SELECT $each($range(1992, 1998)) AS y) CROSS JOIN (SELECT $each($range(1, 12)) AS v)
 LEFT JOIN {orders} o ON year(o.o_orderdate) = y AND month(o.o_orderdate) = v GROUP BY y, v""")
@@ -192,11 +189,6 @@ SELECT user_id, min(prior_id) AS run_start FROM s WHERE value >= 50 AND before >
 
 # ------------------------------------------------------------------ splits, samples, leakage
 
-both("exclusion_reasons", """
-SELECT reason, count(*) AS n FROM (
-    SELECT 'short' AS reason FROM {documents} WHERE n_chars < 200 UNION ALL SELECT 'language' FROM {documents} WHERE lang <> 'en'
-    UNION ALL SELECT 'long' FROM {documents} WHERE n_chars > 10000 UNION ALL SELECT 'no letters' FROM {documents} WHERE length(text) = 0) GROUP BY reason""")
-
 # ------------------------------------------------------------------ agreement and association
 
 _CELLS = "WITH d AS (SELECT a.v AS a, b.v AS b FROM (SELECT 0 AS v UNION ALL SELECT 1) a CROSS JOIN (SELECT 0 AS v UNION ALL SELECT 1) b), c AS (SELECT d.a, d.b, count(l.doc_id) AS n FROM d LEFT JOIN {labels} l ON l.quality = d.a AND l.toxic = d.b GROUP BY d.a, d.b)"

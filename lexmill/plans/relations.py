@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
@@ -259,3 +260,12 @@ def duplicate_keys(spark, sf_dir):
     """Keys that occur more than once, by table."""
     each = [C.duplicated(table(spark, sf_dir, name).select(*keys), *keys).agg(F.lit(name).alias("registry"), F.count(F.lit(1)).alias("violations")) for name, keys in (("documents", ["doc_id"]), ("pages", ["page_id"]), ("lineitem", ["l_orderkey", "l_linenumber"]))]
     return reduce(lambda a, b: a.unionByName(b), each)
+
+
+@operated("issue_caps")
+def issue_caps(spark, sf_dir):
+    """Five articles of each issue, sixty in all, in the order of the crawl; sources stand in for issues."""
+    docs = table(spark, sf_dir, "documents").select(F.col("source").alias("issue_path"), F.lpad(F.col("doc_id").cast("string"), 19, "0").alias("path"), "text", "doc_id")
+    chosen = R.capped(docs, 5, 60)
+    place = F.row_number().over(Window.orderBy(F.desc("issue_path"), "path"))  # 60 rows
+    return chosen.select(F.col("issue_path").alias("source"), "doc_id", place.cast("long").alias("place"))

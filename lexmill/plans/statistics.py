@@ -138,13 +138,23 @@ _RULES_SQL = {
 @query("SELECT doc_id, doc_id % 14 = 0 AS included, CASE doc_id % 14 " + " ".join(f"WHEN {k} THEN '{v[0]}'" for k, v in _RULES_SQL.items()) + " ELSE '' END AS failed, CASE doc_id % 14 " + " ".join(f"WHEN {k} THEN '{v[1]}'" for k, v in _RULES_SQL.items()) + " ELSE '' END AS reasons FROM documents")
 def inclusion_rules(spark, sf_dir):
     """The rules of inclusion and the reasons of exclusion, each broken by some works."""
+    return M.included(_works(spark, sf_dir)).select("doc_id", "included", F.array_join("failed_rules", "|").alias("failed"), F.array_join("exclusion_reasons", "|").alias("reasons"))
+
+
+@query("SELECT reason, count(*) AS n FROM documents JOIN (VALUES " + ", ".join(f"({k}, '{v[1]}')" for k, v in _RULES_SQL.items() if v[1]) + ") t(k, reason) ON doc_id % 14 = k GROUP BY reason")
+def exclusion_reasons(spark, sf_dir):
+    """Works by the reason they are left out for; a work may have several."""
+    return M.included(_works(spark, sf_dir)).select(F.explode("exclusion_reasons").alias("reason")).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _works(spark, sf_dir):
+    """Works that break one rule each, by doc_id modulo 14."""
     s = "doc_id % 14"
-    works = table(spark, sf_dir, "documents").selectExpr(
+    return table(spark, sf_dir, "documents").selectExpr(
         "doc_id", f"if({s} = 13, 'en', 'ru') as language", f"if({s} = 1, 'other', 'review_article') as genre", f"if({s} = 2, 1999, 2010) as year", "'t' as title", f"if({s} = 3, ' ', 'a') as abstract", f"if({s} = 4, null, 'https://h/') as canonical_url",
         f"{s} <> 5 as is_primary_explicit", f"case {s} when 10 then '29' when 11 then '29.03.01' when 12 then '29.37' else '29.05.01' end as code", "'e' as evidence_sha256",
         f"case when {s} = 6 then array('C1', 'C2') when {s} in (10, 11, 12) then array() else array('C1', 'C1') end as classes", f"if({s} = 7, 'w', null) as duplicate_of_work_id", f"if({s} = 8, null, true) as permitted", f"{s} = 9 as leaks",
     )
-    return M.included(works).select("doc_id", "included", F.array_join("failed_rules", "|").alias("failed"), F.array_join("exclusion_reasons", "|").alias("reasons"))
 
 
 @query("SELECT doc_id, CAST(ntile(10) OVER (ORDER BY n_chars, doc_id) AS BIGINT) AS decile FROM documents")
