@@ -181,4 +181,13 @@ SELECT n.doc_id, n.n AS n_bytes, coalesce(removed, 0) AS n_removed, coalesce(spa
 FROM n LEFT JOIN c USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
 
-ORACLES: dict[str, str] = {"op3_suffix_dedup": OP3_SQL, "op5_warc": OP5_SQL, "op1_minhash_dedup": OP1_SQL, "op4_secret_scan": OP4_SQL, "op10_quality_rules": OP10_SQL}
+#: On the given tables every page marks its article, which holds headings and paragraphs only, so SQL can say what must
+#: come out: the article's paragraphs.  The operator doesn't rely on the mark; see tests/llm for pages without it.
+OP2_SQL = """
+WITH a AS (SELECT page_id, url, regexp_replace(string_split(substr(html, strpos(html, '<article>') + 9), '</article>')[1], '<(?:br|b)>|</b>', ' ', 'g') AS body FROM pages),
+p AS (SELECT page_id, url, list_filter(list_transform(regexp_split_to_array(body, '</?(?:p|h1)>'),
+    lambda x: trim(regexp_replace(regexp_replace(replace(regexp_replace(x, '<[^>]*>?', '', 'g'), '&quot;', '"'), '&amp;?', '&', 'g'), '\\s+', ' ', 'g'))), lambda x: x <> '') AS parts FROM a)
+SELECT page_id, url, array_to_string(parts, chr(10)) AS text, CAST(length(array_to_string(parts, chr(10))) AS BIGINT) AS n_chars FROM p
+"""
+
+ORACLES: dict[str, str] = {"op2_html_extract": OP2_SQL, "op3_suffix_dedup": OP3_SQL, "op5_warc": OP5_SQL, "op1_minhash_dedup": OP1_SQL, "op4_secret_scan": OP4_SQL, "op10_quality_rules": OP10_SQL}
