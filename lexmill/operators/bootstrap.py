@@ -1,12 +1,13 @@
 """Bootstrap by hash: a draw depends on seed, replicate, cell and place alone, never on the partitioning.
 
-Draws are made per cell and joined with the units by place, so that nothing but
-(replicate, cell, place) is spread.  Estimates are sums, combined map-side.
+A cell of n units has places 1 to n and as many draws of each replicate, so the unit at a place makes the
+draws of that number.  They go to the unit they hit in one shuffle, where it stands before them: no join, so
+neither driver nor task ever holds all draws, or all of a cell.  Estimates are sums, combined map-side.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import uniform
@@ -18,15 +19,14 @@ def draws(units: DataFrame, cells: list[str], key: str, seed: int, replicates: i
 
     Of each cell as many units are drawn as it has, with repetition.
     """
-    placed = ranked(units, cells, uniform(seed, F.col(key)), key)
-    sizes = placed.groupBy(*cells).agg(F.max("population").alias("n"))
-    slots = sizes.withColumn("b", F.explode(F.sequence(F.lit(1), F.lit(replicates)))).withColumn("i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))))
-    pick = F.least(F.floor(uniform(seed, F.col("b"), *map(F.col, cells), F.col("i")) * F.col("n")) + 1, F.col("n"))
-    times = slots.select("b", *(F.col(c).alias(f"_c{k}") for k, c in enumerate(cells)), pick.alias("_pick")).groupBy("b", *(f"_c{k}" for k in range(len(cells))), "_pick").agg(F.count(F.lit(1)).alias("times"))
-    on = F.col("rank") == F.col("_pick")
-    for k, c in enumerate(cells):
-        on &= F.col(c).eqNullSafe(F.col(f"_c{k}"))
-    return placed.join(times, on).select(*units.columns, "b", "times")
+    placed = ranked(units, cells, uniform(seed, F.col(key)), key).withColumn("_b", F.explode(F.sequence(F.lit(0), F.lit(replicates))))
+    n, itself = F.col("population"), F.col("_b") == 0
+    pick = F.least(F.floor(uniform(seed, F.col("_b"), *map(F.col, cells), F.col("rank")) * n) + 1, n)
+    at = ["_at", *(f"_c{k}" for k in range(len(cells)))]  # places first: they sort faster than cells
+    rows = placed.select(F.when(itself, F.col("rank")).otherwise(pick).alias("_at"), *(F.col(c).alias(f"_c{k}") for k, c in enumerate(cells)), "_b", F.when(itself, F.struct(*units.columns)).alias("_unit"))
+    met = rows.withColumn("_unit", F.first("_unit").over(Window.partitionBy(*at).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)))
+    times = met.where("_b > 0").groupBy(*at, "_b").agg(F.first("_unit").alias("_unit"), F.count(F.lit(1)).alias("times"))
+    return times.select("_unit.*", F.col("_b").alias("b"), "times")
 
 
 def means(units: DataFrame, cells: list[str], key: str, value: Column, seed: int, replicates: int, weight: Column | None = None) -> DataFrame:

@@ -64,6 +64,46 @@ def test_bootstrap_draws_as_many_as_there_are(spark):
     assert abs(B.interval(B.crossed(grid, ["seed", "k"], "d", 4, 200)).first()["centre"] - 25.5) < 1.5
 
 
+def _nodes(plan):
+    yield plan
+    kind, children = plan.getClass().getSimpleName(), plan.children()
+    below = [plan.executedPlan()] if kind == "AdaptiveSparkPlanExec" else [plan.plan()] if kind.endswith("QueryStageExec") else [children.apply(k) for k in range(children.size())]
+    for b in below:
+        yield from _nodes(b)
+
+
+def _most_sent(df):
+    """Rows of the largest table that the driver sent to all tasks, once `df` was collected."""
+    plan = df._jdf.queryExecution().executedPlan()
+    return max((p.metrics().apply("numOutputRows").value() for p in _nodes(plan) if p.getClass().getSimpleName() == "BroadcastExchangeExec"), default=0)
+
+
+def test_bootstrap_draws_are_not_sent_by_the_driver(spark):
+    units = spark.range(3000).select("id", F.when(F.col("id") % 3 > 0, "a").alias("cell"), (F.col("id") % 7).cast("double").alias("v"))
+    out = B.means(units, ["cell"], "id", F.col("v"), 5, 50)
+    assert {r["b"] for r in out.collect()} == set(range(1, 51))
+    assert _most_sent(out) <= 3000
+
+
+def test_bootstrap_draws_as_written_plainly(spark):
+    rows = [(k, None if k % 5 == 0 else "ab"[k % 2], k % 4 and float(k) or None) for k in range(60)] + [(7, "b", 7.0), (60, "alone", 1.0)]
+    units = spark.createDataFrame(rows, "k long, cell string, v double")
+    cells = {}
+    for r in units.withColumn("u", uniform(3, F.col("k"))).collect():
+        cells.setdefault(r["cell"], []).append((r["u"], r["k"], r["v"]))
+    slots = spark.createDataFrame([(b, c, i, len(x)) for c, x in cells.items() for b in range(1, 10) for i in range(1, len(x) + 1)], "b int, cell string, i long, n long")
+    plain = {}
+    for r in slots.withColumn("u", uniform(3, F.col("b"), F.col("cell"), F.col("i"))).collect():
+        _, k, v = sorted(cells[r["cell"]], key=lambda x: x[:2])[min(int(r["u"] * r["n"]) + 1, r["n"]) - 1]
+        plain[k, r["cell"], v, r["b"]] = plain.get((k, r["cell"], v, r["b"]), 0) + 1
+    got = {}
+    for r in B.draws(units, ["cell"], "k", 3, 9).collect():
+        at = r["k"], r["cell"], r["v"], r["b"]
+        got[at] = got.get(at, 0) + r["times"]
+    assert got == plain
+    assert B.draws(units.limit(0), ["cell"], "k", 3, 9).count() == 0
+
+
 def test_classifier_finds_what_the_source_tells():
     x = np.array([[1, 0], [0, 1]] * 2, float)
     w = O.fit(x, np.array([0, 1, 1, 0]), np.array([90.0, 90.0, 10.0, 10.0]), 2)
