@@ -85,6 +85,23 @@ def test_bootstrap_draws_are_not_sent_by_the_driver(spark):
     assert _most_sent(out) <= 3000
 
 
+def test_bootstrap_ci_sends_no_draws_and_agrees_with_its_sql(spark, tmp_path):
+    import duckdb
+
+    from lexmill.plans.queries import ORACLES, QUERIES
+
+    docs = [(k, "en" if k < 2000 else f"l{k % 5}", "big" if k < 2000 else f"s{k}" if k > 2490 else f"s{k % 3}") for k in range(2500)]
+    spark.createDataFrame(docs, "doc_id long, lang string, source string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.range(2500).selectExpr("id as doc_id", "cast(id % 4 as int) as quality", "cast(id % 11 = 0 as int) as toxic").coalesce(1).write.parquet(f"{tmp_path}/labels.parquet")
+    out = QUERIES["bootstrap_ci"](spark, str(tmp_path))
+    got = [tuple(r) for r in out.collect()]
+    assert _most_sent(out) <= 2500
+    db = duckdb.connect()
+    for t in ("documents", "labels"):
+        db.execute(f"create view {t} as select * from '{tmp_path}/{t}.parquet/*.parquet'")
+    assert got == db.execute(ORACLES["bootstrap_ci"]).fetchall()
+
+
 def test_bootstrap_draws_as_written_plainly(spark):
     rows = [(k, None if k % 5 == 0 else "ab"[k % 2], k % 4 and float(k) or None) for k in range(60)] + [(7, "b", 7.0), (60, "alone", 1.0)]
     units = spark.createDataFrame(rows, "k long, cell string, v double")
